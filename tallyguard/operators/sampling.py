@@ -150,7 +150,7 @@ def has_at_least(df: DataFrame, n: int) -> bool:
     return len(df.select(F.lit(1)).take(n)) >= n
 
 
-def test_set_with_fallback(
+def choose_test_set(
     synthetic: DataFrame | None,
     fallback: DataFrame,
     key: Sequence[str],
@@ -168,7 +168,6 @@ def test_set_with_fallback(
     return fixed_test_set(fallback, key, size, seed, label, category, normal, targets), False
 
 
-test_set_with_fallback.__test__ = False  # not a test case
 
 
 def _match_rows(
