@@ -22,6 +22,7 @@ from ..session import join_path
 from ..sources import tables
 
 WATERMARK = "10 minutes"
+DEDUP_SALTS = 32
 
 
 def read_stream(
@@ -184,8 +185,16 @@ def stream_summary(
 def deduplicate(
     rows: DataFrame, key: Sequence[str], ts: str = "ts", watermark: str = WATERMARK
 ) -> DataFrame:
-    """First row of each key; a key is remembered for the watermark's length."""
-    return rows.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
+    """One row of each key; a key is remembered for the watermark's length.
+
+    A first round works per key and salt, where the salt is the task that read
+    the row: however hot a key is, the second round sees it once per salt.
+    """
+    salted = rows.withWatermark(ts, watermark).withColumn(
+        "__salt", F.pmod(F.spark_partition_id(), F.lit(DEDUP_SALTS))
+    )
+    once = salted.dropDuplicatesWithinWatermark([*key, "__salt"]).drop("__salt")
+    return once.dropDuplicatesWithinWatermark(list(key))
 
 
 def stream_dedup(
