@@ -4,6 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(fields: str) -> T.StructType:
+    """Schema from ``name type, name type``; needs no running session."""
+    pairs = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # Column order and types of a flow file.
 FLOW_COLUMNS = (
     "dur proto service state spkts dpkts sbytes dbytes rate sttl dttl sload dload "
@@ -25,14 +40,14 @@ def _flow_type(name: str) -> T.DataType:
 
 FLOW = T.StructType([T.StructField(c, _flow_type(c)) for c in FLOW_COLUMNS])
 
-MODEL = T.StructType.fromDDL(
+MODEL = _struct(
     "model_id string, created_at timestamp, feature string, pos int, mean double, "
     "std double, n bigint, z_threshold double, model_type string"
 )
 
 # An alert file may come from the detector or from the log rules, so the
 # schema is the union of both.
-ALERT = T.StructType.fromDDL(
+ALERT = _struct(
     "alert_id string, timestamp timestamp, sample_id bigint, prediction string, "
     "anomaly_type string, type string, confidence double, container string, "
     "alert_type string, severity string, description string, anomaly_score double, "
@@ -57,7 +72,7 @@ def rate_column(name: str) -> str:
     return f"{name}_detection_rate"
 
 
-RETRAIN_EVENT = T.StructType.fromDDL(
+RETRAIN_EVENT = _struct(
     "iteration int, ts timestamp, status string, message string, "
     "duration_seconds double, model_id string"
 )

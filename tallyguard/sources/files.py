@@ -13,6 +13,8 @@ from ..functions import time_cutoff
 from ..operators.encode import encode_features
 from ..schema import ALERT
 
+ALERTS_PER_FILE = 1_000
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -64,7 +66,7 @@ def scan_alert_files(
     """
     schema = T.StructType([*ALERT.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = spark.read.schema(schema).json(
-        path, multiLine=True, columnNameOfCorruptRecord=_CORRUPT, pathGlobFilter="*.json"
+        path, multiLine=True, columnNameOfCorruptRecord=_CORRUPT
     )
     alerts = rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
     if window:
@@ -73,6 +75,22 @@ def scan_alert_files(
     return alerts
 
 
+def write_alert_documents(
+    alerts: DataFrame, path: str, key: Sequence[str], per_file: int = ALERTS_PER_FILE
+) -> None:
+    """Alerts as JSON array documents of about ``per_file`` alerts, one per file.
+
+    The number of documents follows the number of alerts, and the row key
+    decides the document, so no document grows with the data.
+    """
+    documents = max(1, -(-alerts.count() // per_file))
+    spread = F.pmod(F.xxhash64(*key), F.lit(documents))
+    arrays = alerts.groupBy(spread.alias("document")).agg(
+        F.to_json(F.collect_list(F.struct(*alerts.columns))).alias("value")
+    )
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Report rows as JSON documents, NULL fields kept."""
     report.write.mode("append").json(path, ignoreNullFields=False)
