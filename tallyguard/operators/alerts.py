@@ -65,10 +65,13 @@ def alert_kpis(
     )
 
 
+def filled_alerts(alerts: DataFrame) -> DataFrame:
+    """Drop the all-NULL rows that broken documents are read as."""
+    return alerts.where(F.coalesce(*[F.col(c).cast("string") for c in ALERT.names]).isNotNull())
+
+
 def normalize_alerts(documents: DataFrame, value: str = "value") -> DataFrame:
     """One row per alert from documents that hold an array or a single alert."""
     schema = f"array<{ALERT.simpleString()}>"
     parsed = documents.select(F.from_json(value, schema).alias("alerts"))
-    return parsed.select(F.inline("alerts")).where(
-        F.coalesce(*[F.col(c).cast("string") for c in ALERT.names]).isNotNull()
-    )
+    return filled_alerts(parsed.select(F.inline("alerts")))

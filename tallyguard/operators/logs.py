@@ -196,31 +196,41 @@ def anomaly_statistics(
     )
 
 
-def temporal_patterns(rows: DataFrame, ts: str = "ts", top: int = PEAK_HOURS) -> DataFrame:
-    """First and last time, rows per hour of the day, and the busiest hours.
-
-    ``ts`` may be a timestamp or ISO text.  The first step leaves one row per
-    hour of the day, at most 25.
-    """
+def _hour_counts(rows: DataFrame, ts: str, *extra: Column) -> DataFrame:
+    """Counts per hour of the day, at most 25 rows; ``ts`` is a time or ISO text."""
     at = F.col(ts)
-    is_text = dict(rows.dtypes)[ts] == "string"
-    by_hour = (
-        rows.where(at.isNotNull() & ((at != "") if is_text else F.lit(True)))
-        .groupBy((hour_of_iso(at) if is_text else F.hour(at)).alias("hour"))
-        .agg(F.count("*").alias("n"), F.min(at).alias("first"), F.max(at).alias("last"))
+    if dict(rows.dtypes)[ts] == "string":
+        timed, hour = F.coalesce(at != "", F.lit(False)), hour_of_iso(at)
+    else:
+        timed, hour = at.isNotNull(), F.hour(at)
+    return rows.groupBy(hour.alias("hour")).agg(
+        F.count_if(timed).alias("n"),
+        F.min(F.when(timed, at)).alias("first"),
+        F.max(F.when(timed, at)).alias("last"),
+        *extra,
     )
-    busiest = F.array_sort(
-        F.collect_list(
-            F.when(F.col("hour").isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col("hour")))
-        )
+
+
+def _pattern_columns(top: int) -> list[Column]:
+    """Time range, rows per hour of the day and the busiest hours from hour counts."""
+    has_hour = F.col("hour").isNotNull()
+    ranked = F.array_sort(
+        F.collect_list(F.when(has_hour, F.struct((-F.col("n")).alias("neg"), F.col("hour"))))
     )
-    return by_hour.agg(
+    entries = F.coalesce(F.sum("n"), F.lit(0))
+    return [
         F.min("first").alias("first_seen"),
         F.max("last").alias("last_seen"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("entries"),
+        entries.alias("entries"),
         F.count("hour").alias("hours"),
-        F.transform(F.slice(busiest, 1, top), lambda e: e["hour"]).alias("peak_hours"),
-    ).withColumn("detection_frequency", F.col("entries") / F.greatest(F.col("hours"), F.lit(1)))
+        F.transform(F.slice(ranked, 1, top), lambda e: e["hour"]).alias("peak_hours"),
+        (entries / F.greatest(F.count("hour"), F.lit(1))).alias("detection_frequency"),
+    ]
+
+
+def temporal_patterns(rows: DataFrame, ts: str = "ts", top: int = PEAK_HOURS) -> DataFrame:
+    """First and last time, rows per hour of the day, and the busiest hours."""
+    return _hour_counts(rows, ts).agg(*_pattern_columns(top))
 
 
 def log_report(
@@ -229,21 +239,40 @@ def log_report(
     as_of: Column | None = None,
     min_confidence: float = LOG_ALERT_CONFIDENCE,
 ) -> DataFrame:
-    """Statistics, time pattern and alert count as one nested row."""
+    """Statistics, time pattern and alert count as one nested row.
+
+    The lines are read once: every figure is first summed per hour of the day.
+    """
     now = F.current_timestamp() if as_of is None else as_of
-    stats = anomaly_statistics(logs, min_confidence)
-    temporal = temporal_patterns(logs)
-    counts = logs.agg(F.count("*").alias("total_logs_processed"))
-    alerted = alerts.agg(F.count("*").alias("total_alerts_generated"))
-    return (
-        counts.crossJoin(one_row(stats))
-        .crossJoin(one_row(temporal))
-        .crossJoin(one_row(alerted))
-        .select(
-            now.alias("ts"),
-            "total_logs_processed",
-            F.struct(*stats.columns).alias("anomaly_statistics"),
-            F.struct(*temporal.columns).alias("temporal_analysis"),
-            F.struct("total_alerts_generated").alias("alert_summary"),
-        )
+    detection = F.col("type") == DETECTION
+    confidence = F.when(detection, F.coalesce("confidence", F.lit(0.0)))
+    by_hour = _hour_counts(
+        logs,
+        "ts",
+        F.count("*").alias("logs"),
+        F.count_if(detection).alias("detections"),
+        F.count_if(detection & (F.col("prediction") == 1)).alias("positives"),
+        F.sum(confidence).alias("confidence"),
+        F.count_if(confidence >= F.lit(float(min_confidence))).alias("confident"),
+    )
+    zero = F.lit(0)
+    detections = F.coalesce(F.sum("detections"), zero)
+    stats = F.struct(
+        detections.alias("total_detections"),
+        ratio(F.sum("positives"), detections).alias("anomaly_rate"),
+        ratio(F.sum("confidence"), detections).alias("average_confidence"),
+        F.coalesce(F.sum("confident"), zero).alias("high_confidence_alerts"),
+    )
+    summed = by_hour.agg(
+        F.coalesce(F.sum("logs"), zero).alias("total_logs_processed"),
+        stats.alias("anomaly_statistics"),
+        F.struct(*_pattern_columns(PEAK_HOURS)).alias("temporal_analysis"),
+    )
+    alerted = alerts.agg(F.struct(F.count("*").alias("total_alerts_generated")).alias("alert_summary"))
+    return summed.crossJoin(one_row(alerted)).select(
+        now.alias("ts"),
+        "total_logs_processed",
+        "anomaly_statistics",
+        "temporal_analysis",
+        "alert_summary",
     )

@@ -295,22 +295,25 @@ def align_schema(spark, sf):
 
 @query(
     "split_features_label",
-    f"""WITH {EV} SELECT event_id, category, label, {r('x1')} AS f1, {r('x2')} AS f2, {r('x3')} AS f3,
-  {r('x4')} AS f4, {r(sql_bucket('category'))} AS f5, 4 AS evaluation_width, 5 AS training_width FROM ev""",
+    f"""WITH {EV} SELECT event_id, 'training' AS layout, category, label, 5 AS width, {r('x1')} AS f1, {r('x2')} AS f2,
+    {r('x3')} AS f3, {r('x4')} AS f4, {r(sql_bucket('category'))} AS f5 FROM ev UNION ALL
+  SELECT event_id, 'evaluation', category, label, 4, {r('x1')}, {r('x2')}, {r('x3')}, {r('x4')}, NULL FROM ev""",
 )
 def split_features_label(spark, sf):
-    flows = D.ev(spark, sf)
-    train = E.split_features_label(flows, D.EV_FEATURES, include_category=True, keep=["event_id"])
-    evaluated = E.split_features_label(flows, D.EV_FEATURES, keep=["event_id"])
-    short = evaluated.select("event_id", F.size("features").alias("evaluation_width"))
-    return train.join(short, "event_id").select(
-        "event_id",
-        "category",
-        "label",
-        *[F.col("features")[i].alias(f"f{i + 1}") for i in range(5)],
-        "evaluation_width",
-        F.size("features").alias("training_width"),
-    )
+    def layout(name: str, include_category: bool) -> DataFrame:
+        split = E.split_features_label(
+            D.ev(spark, sf), D.EV_FEATURES, include_category=include_category, keep=["event_id"]
+        )
+        return split.select(
+            "event_id",
+            F.lit(name).alias("layout"),
+            "category",
+            "label",
+            F.size("features").alias("width"),
+            *[F.get("features", i).alias(f"f{i + 1}") for i in range(5)],
+        )
+
+    return layout("training", True).union(layout("evaluation", False))
 
 
 @query("filter_normal", f"WITH {EV} SELECT event_id, {r('x1')} AS x1 FROM ev WHERE category = 'view'")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import time_cutoff
+from ..operators.alerts import filled_alerts
 from ..operators.encode import encode_features
 from ..schema import ALERT
 
 ALERTS_PER_FILE = 1_000
-
-_CORRUPT = "_corrupt_record"
+# Full precision; the JSON default stops at milliseconds.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _text_schema(columns: Sequence[str]) -> T.StructType:
@@ -64,11 +65,7 @@ def scan_alert_files(
 
     One file is one record, so files are spread over tasks, not their parts.
     """
-    schema = T.StructType([*ALERT.fields, T.StructField(_CORRUPT, T.StringType())])
-    rows = spark.read.schema(schema).json(
-        path, multiLine=True, columnNameOfCorruptRecord=_CORRUPT
-    )
-    alerts = rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    alerts = filled_alerts(spark.read.schema(ALERT).json(path, multiLine=True))
     if window:
         now = F.current_timestamp() if as_of is None else as_of
         alerts = alerts.where(F.col("timestamp") >= time_cutoff(now, window))
@@ -86,15 +83,17 @@ def write_alert_documents(
     documents = max(1, -(-alerts.count() // per_file))
     spread = F.pmod(F.xxhash64(*key), F.lit(documents))
     arrays = alerts.groupBy(spread.alias("document")).agg(
-        F.to_json(F.collect_list(F.struct(*alerts.columns))).alias("value")
+        F.to_json(
+            F.collect_list(F.struct(*alerts.columns)), {"timestampFormat": TIME_FORMAT}
+        ).alias("value")
     )
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
     """Report rows as JSON documents, NULL fields kept."""
-    report.write.mode("append").json(path, ignoreNullFields=False)
+    report.write.mode("append").json(path, ignoreNullFields=False, timestampFormat=TIME_FORMAT)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(path, timestampFormat=TIME_FORMAT)

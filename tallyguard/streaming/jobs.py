@@ -13,16 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.accumulate import combine_training
-from ..operators.baseline import fit_baseline
 from ..operators.evaluate import evaluate_model
 from ..operators.logs import route_alerts
+from ..operators.moments import feature_moments, merge_moments
 from ..operators.score import score, score_alerts
 from ..session import join_path
 from ..sources import tables
 
 WATERMARK = "10 minutes"
 DEDUP_SALTS = 32
+ORIGINAL_PART = -1
 
 
 def read_stream(
@@ -92,32 +92,45 @@ def retrain_step(
     folder: str,
     min_new: int,
     normal: Column,
-    ts: str = "ts",
     label: str = "label",
     category: str = "category",
+    keep_snapshots: bool = True,
 ) -> Callable[[DataFrame, int], None]:
-    """What one tick does: snapshot, gate, combine, fit, store, evaluate, record.
+    """What one tick does: snapshot, gate, fit, store, evaluate, record.
 
+    The fit covers the original rows and every snapshot so far, yet a tick
+    reads only its own batch: the moments of each part are kept and merged.
     All outputs are parts named after the batch, so a batch that is run again
     after a failure replaces its own rows and adds none.
     """
     snapshots, models = join_path(folder, "snapshots"), join_path(folder, "models")
     history, events = join_path(folder, "history"), join_path(folder, "events")
+    moments = join_path(folder, "moments")
+
+    def remember(rows: DataFrame, part: int) -> None:
+        tables.write_part(feature_moments(rows, features, normal), moments, "part", part)
 
     def tick(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.capture_snapshot(batch, snapshots, batch_id)
-        seen = tables.read_table(spark, snapshots)
+        if tables.read_table(spark, join_path(moments, f"part={ORIGINAL_PART}")) is None:
+            remember(original, ORIGINAL_PART)
+        if keep_snapshots:
+            tables.capture_snapshot(batch, snapshots, batch_id)
+        remember(batch, batch_id)
+        # A batch that is run again must not see parts of later batches.
+        seen = tables.read_table(spark, moments).where(F.col("part") <= batch_id)
         now = F.current_timestamp()
-        combined = None if seen is None else combine_training(original, seen, min_new)
-        if combined is None:
+        new_rows = (
+            seen.where((F.col("part") != ORIGINAL_PART) & (F.col("feature") == features[0]))
+            .agg(F.coalesce(F.sum("part_rows"), F.lit(0)))
+            .first()[0]
+        )
+        if new_rows < min_new:
             tables.log_retrain_event(spark, events, batch_id, "skipped", now, "too few new rows")
             return
         model_id = f"cycle_{batch_id:06d}"
         try:
-            model = tables.save_model(
-                fit_baseline(combined, features, normal), models, model_id, now
-            )
+            model = tables.save_model(merge_moments(seen, features), models, model_id, now)
         except ValueError as error:
             tables.log_retrain_event(spark, events, batch_id, "failed", now, str(error))
             return
@@ -240,11 +253,12 @@ def stream_running_totals(
 
 
 def latest_totals(spark: SparkSession, out: str) -> DataFrame | None:
+    """Totals of the newest batch; only its folder is read."""
     totals = tables.read_table(spark, out)
     if totals is None:
         return None
-    newest = totals.agg(F.max("batch_id").alias("batch_id"))
-    return totals.join(F.broadcast(newest), "batch_id", "left_semi").drop("batch_id")
+    newest = totals.agg(F.max("batch_id")).first()[0]
+    return totals.where(F.col("batch_id") == newest).drop("batch_id")
 
 
 def late_rows(
