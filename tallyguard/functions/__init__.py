@@ -1,3 +1,4 @@
+from .once import compute_once
 from .scalar import (
     alert_id,
     bucket,
@@ -18,6 +19,7 @@ __all__ = [
     "bucket",
     "capped_ratio",
     "clean_name",
+    "compute_once",
     "finite",
     "hour_of_iso",
     "key_hash",

@@ -8,18 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import finite
-
-# Fixed values.
-Z_THRESHOLD = 1.4
-Z_THRESHOLD_IF_MISSING = 1.5
-MODEL_TYPE = "statistical_anomaly_detector"
-STD_FLOOR = 1e-12
-
-
-def clean_std(mean: Column, std: Column) -> Column:
-    """Deviation with rounding noise of a constant feature set to 0."""
-    noise = F.lit(STD_FLOOR) * F.greatest(F.lit(1.0), F.abs(mean))
-    return F.when(std < noise, F.lit(0.0)).otherwise(std)
+from .rules import MODEL_TYPE, WIDE_FEATURES, Z_THRESHOLD, Z_THRESHOLD_IF_MISSING
+from .vectors import clean_std, fit_vectors
 
 
 def fit_baseline(
@@ -34,7 +24,12 @@ def fit_baseline(
     Without normal rows ``n`` is 0 and the statistics are NULL: such a model
     predicts nothing, and saving it is refused.
     """
+    names = F.array(*[F.lit(f) for f in features])
     rows = df if normal is None else df.where(normal)
+    if len(features) > WIDE_FEATURES:
+        vector = F.array(*[F.col(f).cast("double") for f in features])
+        fitted = fit_vectors(rows.select(vector.alias("__v")), "__v", None, z_threshold)
+        return fitted.withColumn("features", names)
     stats = [F.count("*").alias("n")]
     for i, name in enumerate(features):
         value = finite(F.col(name))
@@ -43,7 +38,7 @@ def fit_baseline(
     means = [F.col(f"mean_{i}") for i in range(len(features))]
     stds = [F.col(f"std_{i}") for i in range(len(features))]
     return rows.agg(*stats).select(
-        F.array(*[F.lit(f) for f in features]).alias("features"),
+        names.alias("features"),
         F.array(*means).alias("means"),
         F.array(*[clean_std(m, s) for m, s in zip(means, stds)]).alias("stds"),
         "n",

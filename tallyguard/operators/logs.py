@@ -1,7 +1,7 @@
 """Classify JSON log lines, route alerts and roll up reports.
 
-A line is parsed once, into a map of its keys to their JSON text: which rule
-applies depends on which keys a line has, also when their value is null.
+Which rule applies to a line depends on which keys it has, also when their
+value is null, so a line is read into its fields and its list of keys.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import alert_id, hour_of_iso, ratio, time_cutoff
+from ..functions import alert_id, compute_once, hour_of_iso, ratio, time_cutoff
 from ..session import one_row
 
 # Fixed values.
@@ -21,36 +21,58 @@ DETECTION, TRAINING, SYSTEM, UNKNOWN = (
     "system_event",
     "unknown",
 )
+TEXT_FIELDS = ("timestamp", "level", "message", "component", "error_code")
+NUMBER_FIELDS = (
+    "anomaly_score",
+    "confidence",
+    "prediction",
+    "accuracy",
+    "precision",
+    "recall",
+    "f1_score",
+    "training_samples",
+    "previous_accuracy",
+    "degradation_percent",
+)
 
-_ENTRY = "__entry"
+_ENTRY, _KEYS = "__entry", "__keys"
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Keep the lines that are JSON objects, with the parsed entry beside."""
-    return lines.withColumn(_ENTRY, F.from_json(F.trim(value), "map<string,string>")).where(
-        F.col(_ENTRY).isNotNull()
+    """Keep the lines that are JSON objects, with their fields and keys beside."""
+    fields = [f"{f} string" for f in TEXT_FIELDS] + [f"{f} double" for f in NUMBER_FIELDS]
+    text = F.trim(value)
+    parsed = compute_once(
+        lines, {_ENTRY: F.from_json(text, ", ".join(fields)), _KEYS: F.json_object_keys(text)}
     )
+    return parsed.where(F.col(_KEYS).isNotNull())
 
 
 def _has(key: str) -> Column:
-    return F.map_contains_key(_ENTRY, key)
+    return F.array_contains(_KEYS, key)
+
 
+def _field(key: str) -> Column:
+    return F.col(f"{_ENTRY}.{key}")
 
-def _text(key: str, default: str | None = "") -> Column:
-    return F.when(_has(key), F.col(_ENTRY)[key]).otherwise(F.lit(default))
+
+def _text(key: str, default: str = "") -> Column:
+    """The text under ``key``, a default if the key is absent, NULL if its value is null."""
+    return F.coalesce(_field(key), F.when(~_has(key), F.lit(default)))
 
 
 def _number(key: str) -> Column:
-    """The number under ``key``, 0 if the key is absent, NULL if its value is null."""
-    return F.when(_has(key), F.col(_ENTRY)[key].try_cast("double")).otherwise(F.lit(0.0))
+    return F.coalesce(_field(key), F.when(~_has(key), F.lit(0.0)))
 
 
 def _filled(key: str) -> Column:
-    return F.coalesce(F.col(_ENTRY)[key] != "", F.lit(False))
+    return F.coalesce(_field(key) != "", F.lit(False))
 
 
 def _time(as_of: Column) -> Column:
-    return F.when(_has("timestamp"), F.try_to_timestamp(F.col(_ENTRY)["timestamp"])).otherwise(as_of)
+    return F.coalesce(
+        F.try_to_timestamp(_field("timestamp")), F.when(~_has("timestamp"), as_of)
+    )
 
 
 def log_type() -> Column:
@@ -69,7 +91,7 @@ def alert_type(min_confidence: float = LOG_ALERT_CONFIDENCE) -> Column:
     return (
         F.when(_has("anomaly_score"), F.when(confident, "high_confidence_anomaly"))
         .when(_has("degradation_percent"), "performance_degradation")
-        .when(_text("level", None) == "ERROR", "system_error")
+        .when(_field("level") == "ERROR", "system_error")
     )
 
 
@@ -97,8 +119,8 @@ def classify_logs(
 ) -> DataFrame:
     """One row per usable line: type, time, severity and the fields of its type."""
     now = F.current_timestamp() if as_of is None else as_of
-    typed = parse_lines(lines, value).withColumns(
-        {"type": log_type(), "__alert": alert_type(min_confidence)}
+    typed = compute_once(
+        parse_lines(lines, value), {"type": log_type(), "__alert": alert_type(min_confidence)}
     )
 
     def only(kinds: tuple[str, ...], col: Column) -> Column:
@@ -133,7 +155,7 @@ def route_alerts(
 ) -> DataFrame:
     """Alerts of the lines.  Also a line that cannot be classified may alert."""
     now = F.current_timestamp() if as_of is None else as_of
-    routed = parse_lines(lines, value).withColumn("alert_type", alert_type(min_confidence))
+    routed = compute_once(parse_lines(lines, value), {"alert_type": alert_type(min_confidence)})
     kind = F.col("alert_type")
 
     def only(name: str, col: Column) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import finite
-from .baseline import Z_THRESHOLD, clean_std
+from .rules import Z_THRESHOLD
+from .vectors import clean_std
 
 
 def feature_moments(df: DataFrame, features: Sequence[str], normal: Column) -> DataFrame:

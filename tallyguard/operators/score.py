@@ -9,71 +9,58 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import finite, ratio
+from ..functions import compute_once, finite, ratio
 from ..session import one_row
-
-# Fixed values.
-VOTE_SHARE = 0.10
-ALERT_CONFIDENCE = 0.4
-CONFIDENCE_DIVISOR = 5
-
-
-def _z_name(i: int) -> str:
-    return f"__z{i}"
+from .rules import ALERT_CONFIDENCE, CONFIDENCE_DIVISOR, VOTE_SHARE, WIDE_FEATURES
+from .vectors import model_side, score_vectors, z_array
 
 
 def _with_model(df: DataFrame, model: DataFrame) -> DataFrame:
     """Every row beside the one model row: a broadcast of a global aggregate."""
     stats = model.select(
         F.col("means").alias("__means"),
-        F.col("stds").alias("__stds"),
-        F.col("z_threshold").alias("__z_threshold"),
+        F.transform("stds", lambda s: F.nullif(s, F.lit(0.0))).alias("__stds"),
+        F.col("z_threshold").alias("__limit"),
     )
     return df.crossJoin(one_row(stats))
 
 
-def _z_columns(features: Sequence[str]) -> dict[str, Column]:
+def _z(i: int, name: str) -> Column:
     """NULL for a feature without deviation and for a value that is not finite."""
-    return {
-        _z_name(i): F.abs(finite(F.col(name)) - F.col("__means")[i])
-        / F.nullif(F.col("__stds")[i], F.lit(0.0))
-        for i, name in enumerate(features)
-    }
-
-
-def _drop_helpers(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    helpers = [_z_name(i) for i in range(len(features))]
-    return df.drop("__means", "__stds", "__z_threshold", "__votes", "__z_sum", *helpers)
+    return F.abs(finite(F.col(name)) - F.get("__means", i)) / F.get("__stds", i)
 
 
 def z_scores(df: DataFrame, model: DataFrame, features: Sequence[str]) -> DataFrame:
     """Add ``z_<feature>`` for each feature."""
-    scored = _with_model(df, model).withColumns(_z_columns(features))
-    named = scored.withColumns({f"z_{f}": F.col(_z_name(i)) for i, f in enumerate(features)})
-    return _drop_helpers(named, features)
-
-
-def _with_votes(df: DataFrame, model: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Each z once, then the number of votes and the sum of the voting z."""
-    with_z = _with_model(df, model).withColumns(_z_columns(features))
-    zs = [F.col(_z_name(i)) for i in range(len(features))]
-    limit = F.col("__z_threshold")
-    return with_z.withColumns(
-        {
-            "__votes": reduce(add, [F.when(z > limit, 1).otherwise(0) for z in zs]),
-            "__z_sum": reduce(add, [F.when(z > limit, z).otherwise(F.lit(0.0)) for z in zs]),
-        }
-    )
+    named = {f"z_{f}": _z(i, f) for i, f in enumerate(features)}
+    return _with_model(df, model).withColumns(named).drop("__means", "__stds", "__limit")
 
 
-def _prediction(n_features: int, vote_share: float) -> Column:
-    """Skipped features still count in the denominator."""
-    return (F.col("__votes") > F.lit(n_features * float(vote_share))).cast("int")
+def _vector(features: Sequence[str]) -> Column:
+    return F.array(*[F.col(f).cast("double") for f in features])
 
 
-def _confidence() -> Column:
+def _score_columns(
+    df: DataFrame, model: DataFrame, features: Sequence[str], vote_share: float
+) -> DataFrame:
+    """Each z once, then the votes and the sum of the voting z."""
+    zs = {f"__z{i}": _z(i, f) for i, f in enumerate(features)}
+    votes = [F.when(F.col(z) > F.col("__limit"), 1).otherwise(0) for z in zs]
+    sums = [F.when(F.col(z) > F.col("__limit"), F.col(z)).otherwise(F.lit(0.0)) for z in zs]
+    voted = compute_once(
+        _with_model(df, model).withColumns(zs),
+        {"__votes": reduce(add, votes), "__z_sum": reduce(add, sums)},
+    )
     share = F.col("__z_sum") / (F.col("__votes") * F.lit(CONFIDENCE_DIVISOR))
-    return F.when(F.col("__votes") > 0, F.least(share, F.lit(1.0))).otherwise(F.lit(0.0))
+    enough = F.col("__votes") > F.lit(len(features) * float(vote_share))
+    return voted.withColumns(
+        {
+            "prediction": enough.cast("int"),
+            "confidence": F.when(F.col("__votes") > 0, F.least(share, F.lit(1.0))).otherwise(
+                F.lit(0.0)
+            ),
+        }
+    ).drop("__means", "__stds", "__limit", "__votes", "__z_sum", *zs)
 
 
 def score(
@@ -84,13 +71,13 @@ def score(
 ) -> DataFrame:
     """Add ``prediction`` (0 or 1) and ``confidence`` (0..1).
 
-    A row whose values are close to the baseline, or a model without
-    statistics, gives prediction 0 and confidence 0.
+    A row is anomalous if more than ``vote_share`` of all features lie beyond
+    the model's threshold; features without deviation never vote but count.
     """
-    voted = _with_votes(df, model, features).withColumns(
-        {"prediction": _prediction(len(features), vote_share), "confidence": _confidence()}
-    )
-    return _drop_helpers(voted, features)
+    if len(features) <= WIDE_FEATURES:
+        return _score_columns(df, model, features, vote_share)
+    with_vector = df.withColumn("__v", _vector(features))
+    return score_vectors(with_vector, model, "__v", vote_share).drop("__v")
 
 
 def predict(
@@ -137,24 +124,17 @@ def contributing_features(
 ) -> DataFrame:
     """One row per alert and voting feature, ranked by z within the alert.
 
-    The array per row has one entry per feature, so ranking needs no shuffle.
+    Only alerts are looked at, and the array of an alert has one entry per
+    feature, so ranking needs no shuffle.
     """
-    voted = _with_votes(df, model, features).withColumns(
-        {"prediction": _prediction(len(features), vote_share), "confidence": _confidence()}
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                (-F.col(_z_name(i))).alias("neg_z"),
-                F.lit(name).alias("feature"),
-            )
-            for i, name in enumerate(features)
-        ]
+    alerts = select_alerts(score(df, model, features, vote_share), min_confidence)
+    entries = F.zip_with(
+        z_array("__v"), "__stats", lambda z, s: F.struct((-z).alias("neg_z"), s["feature"].alias("feature"))
     )
-    limit = F.col("__z_threshold")
-    hot = F.array_sort(F.filter(entries, lambda e: -e["neg_z"] > limit))
+    hot = F.array_sort(F.filter(entries, lambda e: -e["neg_z"] > F.col("__limit")))
     return (
-        select_alerts(voted, min_confidence)
+        alerts.select(*key, "confidence", _vector(features).alias("__v"))
+        .crossJoin(model_side(model))
         .select(*key, "confidence", F.posexplode(hot).alias("pos", "entry"))
         .select(
             *key,

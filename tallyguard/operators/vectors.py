@@ -1,7 +1,6 @@
 """Fit and score when the features are one array column.
 
-Use this form for some hundred features or more: the expressions do not grow
-with the number of positions.
+The expressions do not grow with the number of positions.
 """
 
 from __future__ import annotations
@@ -9,10 +8,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import finite
+from ..functions import compute_once, finite
 from ..session import one_row
-from .baseline import Z_THRESHOLD, clean_std
-from .score import CONFIDENCE_DIVISOR, VOTE_SHARE
+from .rules import CONFIDENCE_DIVISOR, STD_FLOOR, VOTE_SHARE, Z_THRESHOLD
+
+
+def clean_std(mean: Column, std: Column) -> Column:
+    """Deviation with rounding noise of a constant feature set to 0."""
+    noise = F.lit(STD_FLOOR) * F.greatest(F.lit(1.0), F.abs(mean))
+    return F.when(std < noise, F.lit(0.0)).otherwise(std)
 
 
 def fit_vectors(
@@ -48,33 +52,35 @@ def fit_vectors(
     )
 
 
+def model_side(model: DataFrame) -> DataFrame:
+    """The model row as rows are scored with it; a deviation of 0 becomes NULL."""
+    divisors = F.transform("stds", lambda s: F.nullif(s, F.lit(0.0)))
+    stats = F.arrays_zip(
+        F.col("features").alias("feature"), F.col("means").alias("mean"), divisors.alias("std")
+    )
+    return one_row(model.select(stats.alias("__stats"), F.col("z_threshold").alias("__limit")))
+
+
+def z_array(vector: str) -> Column:
+    """z of each position; NULL without deviation and for a value that is not finite."""
+    return F.zip_with(vector, "__stats", lambda x, s: F.abs(finite(x) - s["mean"]) / s["std"])
+
+
 def score_vectors(
     df: DataFrame, model: DataFrame, vector: str, vote_share: float = VOTE_SHARE
 ) -> DataFrame:
     """Add ``prediction`` and ``confidence`` for a vector column."""
-    stats = model.select(
-        F.arrays_zip(F.col("means").alias("mean"), F.col("stds").alias("std")).alias("__stats"),
-        F.col("z_threshold").alias("__z_threshold"),
-    )
-    z = F.zip_with(
-        vector,
-        "__stats",
-        lambda x, s: F.abs(finite(x) - s["mean"]) / F.nullif(s["std"], F.lit(0.0)),
-    )
-    hot = F.filter(z, lambda v: v > F.col("__z_threshold"))
-    votes = F.size("__hot")
-    z_sum = F.aggregate("__hot", F.lit(0.0), lambda acc, v: acc + v)
+    voting = F.filter(z_array(vector), lambda z: z > F.col("__limit"))
+    votes, z_sum = F.size("__hot"), F.aggregate("__hot", F.lit(0.0), lambda acc, z: acc + z)
     confidence = F.least(z_sum / (votes * F.lit(CONFIDENCE_DIVISOR)), F.lit(1.0))
+    enough = votes > F.size(vector) * F.lit(float(vote_share))
     return (
-        df.crossJoin(one_row(stats))
-        .withColumn("__hot", hot)
+        compute_once(df.crossJoin(model_side(model)), {"__hot": voting})
         .withColumns(
             {
-                "prediction": F.coalesce(
-                    (votes > F.size(vector) * F.lit(float(vote_share))).cast("int"), F.lit(0)
-                ),
+                "prediction": F.coalesce(enough.cast("int"), F.lit(0)),
                 "confidence": F.when(votes > 0, confidence).otherwise(F.lit(0.0)),
             }
         )
-        .drop("__stats", "__z_threshold", "__hot")
+        .drop("__stats", "__limit", "__hot")
     )

@@ -37,8 +37,26 @@ SLICE_DATES = ("2024-01-11", "2024-01-21", "2100-01-01")
 MODEL_TIMES = ("2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00")
 
 
+# Schemas are stated, so that opening a table runs no job.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(join_path(sf, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(join_path(sf, f"{name}.parquet"))
 
 
 # EV -------------------------------------------------------------------------
@@ -89,9 +107,8 @@ def newest_time(df: DataFrame, ts: str = "ts") -> Column:
 
 
 def events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf)
     )

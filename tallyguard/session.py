@@ -20,6 +20,8 @@ def build_session(app: str = "tallyguard", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every expression doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.accumulate import SNAPSHOT_ID
-from ..operators.baseline import MODEL_TYPE, model_from_rows, model_rows
+from ..operators.baseline import model_from_rows, model_rows
 from ..operators.history import rounded
 from ..operators.models import latest_rows
+from ..operators.rules import MODEL_TYPE
 from ..schema import MODEL, RETRAIN_EVENT
 from ..session import join_path
 
