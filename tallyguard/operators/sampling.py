@@ -20,9 +20,13 @@ SEED = 42
 TARGET_SHARE = 0.2
 NORMAL_SHARE = 0.8
 
-# Leading hex digits of the row digest that make a histogram bucket.
-HASH_DIGITS = 5
+# Leading hex digits of the row digest that make a histogram bucket.  Each task
+# sends at most 2 * 16**4 histogram rows, and the bucket that is ranked holds one
+# row in 16**4: 1.5 million of 100 billion.
+HASH_DIGITS = 4
 COPIES_PER_CHUNK = 65_536
+# Ways in which a hot row is spread when the other side is too big to broadcast.
+SALTS = 16
 
 Quotas = Callable[[Column, Column], tuple[Column, Column]]
 
@@ -53,7 +57,7 @@ def sample_two_strata(
     """The rows with the smallest seeded digest in each stratum, up to its quota.
 
     The same rows come out under any partitioning.  No stratum is sorted as a
-    whole: a histogram over digest prefixes (at most 16**5 rows per stratum)
+    whole: a histogram over digest prefixes (at most 16**4 rows per stratum)
     finds the bucket in which the quota is reached; rows of earlier buckets are
     taken unseen and only single buckets are ranked.  ``key`` has to be unique,
     see ``with_copy_number``.
@@ -170,6 +174,24 @@ def choose_test_set(
 
 
 
+def _salted_join(
+    df: DataFrame, side: DataFrame, same: Column, how: str, max_rows: int | None
+) -> DataFrame:
+    """Semi or anti join with a side that is broadcast only if it is small.
+
+    A bigger side is joined by shuffle: its distinct rows are repeated once per
+    salt, and a row of ``df`` takes the salt of the task that read it, so the
+    copies of a hot row spread over the salts.
+    """
+    small = bounded_broadcast(side, max_rows)
+    if small is not side:
+        return df.join(small, same, how)
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    repeated = side.distinct().withColumn("__side_salt", F.explode(salts))
+    return salted.join(repeated, same & (F.col("__salt") == F.col("__side_salt")), how).drop("__salt")
+
+
 def _match_rows(
     df: DataFrame, other: DataFrame, how: str, max_rows: int | None
 ) -> DataFrame:
@@ -177,7 +199,7 @@ def _match_rows(
     cols = df.columns
     side = other.select(*[F.col(c).alias(f"__t_{c}") for c in cols])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in cols])
-    return df.join(bounded_broadcast(side, max_rows), same, how)
+    return _salted_join(df, side, same, how, max_rows)
 
 
 def train_minus_test(
@@ -185,8 +207,8 @@ def train_minus_test(
 ) -> DataFrame:
     """Rows whose whole content is not in the test set; all copies of a test row go.
 
-    Give the size of the test set where it is known: it is then broadcast and
-    the large side is not shuffled.
+    Give the size of the test set where it is known: if small it is broadcast
+    and the large side is not shuffled.
     """
     return _match_rows(df, test, "left_anti", max_test_rows)
 
@@ -211,8 +233,9 @@ def exclude_by_fingerprint(
     df: DataFrame, test: DataFrame, fingerprint: str, max_test_rows: int | None = None
 ) -> DataFrame:
     """Drop every row that shares its fingerprint with a test row."""
-    ids = test.select(fingerprint).distinct()
-    return df.join(bounded_broadcast(ids, max_test_rows), fingerprint, "left_anti")
+    ids = test.select(F.col(fingerprint).alias("__id"))
+    same = F.col(fingerprint) == F.col("__id")
+    return _salted_join(df, ids, same, "left_anti", max_test_rows)
 
 
 def leakage_check(

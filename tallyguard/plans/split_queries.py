@@ -9,7 +9,7 @@ from ..operators import encode as E
 from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import sampling as T
-from ..session import work_folder
+from ..session import join_path, work_folder
 from ..sources import tables
 from . import bindings as D
 from .registry import query
@@ -255,9 +255,14 @@ def exclude_by_fingerprint(spark, sf):
   SELECT total_rows, total_rows - test_rows AS train_rows, test_rows, 0 AS overlap, true AS adds_up, true AS leak_free FROM c""",
 )
 def leakage_check(spark, sf):
-    rows, test = D.doc(spark, sf), _doc_test(spark, sf)
-    train = T.train_minus_test(rows, test, DOC_SIZE)
-    return T.leakage_check(rows, train, test.select(*rows.columns), DOC_SIZE)
+    """Checks a split as it is stored."""
+    folder = work_folder(spark, "split")
+    rows = D.doc(spark, sf)
+    tables.add_test_set(_doc_test(spark, sf), join_path(folder, "test"))
+    test = tables.read_test_set(spark, join_path(folder, "test")).select(*rows.columns)
+    T.train_minus_test(rows, test, DOC_SIZE).write.parquet(join_path(folder, "train"))
+    train = spark.read.parquet(join_path(folder, "train")).select(*rows.columns)
+    return T.leakage_check(rows, train, test, DOC_SIZE)
 
 
 @query(

@@ -115,6 +115,27 @@ def test_exclude_by_fingerprint(spark):
     assert [r.x for r in T.exclude_by_fingerprint(rows, test, "p", 2).collect()] == [3]
 
 
+def test_hot_row_in_a_shuffled_join_spreads_over_salts(spark):
+    """A third of the rows are equal; no task of the join gets all of them."""
+    rows = spark.range(0, 9000, 1, 32).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
+        F.lit("x").alias("v"),
+    )
+    test = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x")], "k long, v string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = T.train_minus_test(rows, test)
+        sizes = left.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 3000 and left.count() == 8998
+        assert max(r["count"] for r in sizes) < 1500
+        kept = T.exclude_by_fingerprint(rows, test, "k")
+        assert kept.count() == 8998
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_leakage_check(spark):
     rows = flows(spark, 80, 20)
     test = T.synthetic_test_set(rows, ["id"], 10)
