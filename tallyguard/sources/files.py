@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import time_cutoff
 from ..operators.alerts import filled_alerts
-from ..operators.encode import encode_features
+from ..operators.encode import align_schema, encode_features
 from ..schema import ALERT
 
 ALERTS_PER_FILE = 1_000
@@ -32,16 +32,24 @@ def scan_flows(
 ) -> DataFrame:
     """Headered CSV as text columns, with ``features`` encoded as numbers.
 
-    A missing file gives no rows; short rows are filled with NULL and extra
-    cells of long rows are dropped.
+    Columns are found by their name in the header, spaces aside.  A missing
+    file gives no rows; short rows are filled with NULL and extra cells of long
+    rows are dropped.
     """
-    schema = _text_schema(columns)
     try:
-        rows = spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
+        header = spark.read.csv(path, header=True).columns
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], schema)
+        return _encoded(spark.createDataFrame([], _text_schema(columns)), features, label)
+    # With enforceSchema off, a file whose header differs is an error, not a mix-up.
+    rows = spark.read.schema(_text_schema(header)).csv(
+        path, header=True, mode="PERMISSIVE", enforceSchema=False
+    )
+    return _encoded(align_schema(rows, {c: "string" for c in columns}), features, label)
+
+
+def _encoded(rows: DataFrame, features: Sequence[str], label: str | None) -> DataFrame:
     encoded = encode_features(rows, features)
     if label:
         encoded = encoded.withColumn(label, F.col(label).try_cast("int"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.accumulate import SNAPSHOT_ID
 from ..operators.evaluate import evaluate_model
 from ..operators.logs import route_alerts
 from ..operators.moments import feature_moments, merge_moments
@@ -94,7 +95,6 @@ def retrain_step(
     normal: Column,
     label: str = "label",
     category: str = "category",
-    keep_snapshots: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """What one tick does: snapshot, gate, fit, store, evaluate, record.
 
@@ -114,8 +114,9 @@ def retrain_step(
         spark = batch.sparkSession
         if tables.read_table(spark, join_path(moments, f"part={ORIGINAL_PART}")) is None:
             remember(original, ORIGINAL_PART)
-        if keep_snapshots:
-            tables.capture_snapshot(batch, snapshots, batch_id)
+        if tables.capture_snapshot(batch, snapshots, batch_id):
+            # Read the rows back from the snapshot, not again from the source.
+            batch = spark.read.parquet(join_path(snapshots, f"{SNAPSHOT_ID}={batch_id}"))
         remember(batch, batch_id)
         # A batch that is run again must not see parts of later batches.
         seen = tables.read_table(spark, moments).where(F.col("part") <= batch_id)

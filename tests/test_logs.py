@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.operators import alerts as A
 from tallyguard.operators import logs as L
+from tallyguard.schema import FLOW_COLUMNS, FLOW_FEATURES
 from tallyguard.sources import files, tables
 
 AT = "2025-01-01T12:00:00"
@@ -191,9 +192,21 @@ def test_log_lines_and_flows(spark, tmp_path):
     got = files.scan_flows(spark, str(csv), columns, ["dur", "proto"], "label").collect()
     assert [(r.dur, r.label) for r in got] == [(1.5, 0), (2.0, None), (3.0, 1)]
     assert [r.proto for r in got][::2] == [282.0, 692.0]
+    csv.write_text("la bel,proto,more,dur\n1,udp,9,4\n")
+    moved = files.scan_flows(spark, str(csv), columns, ["dur"], "label")
+    assert [tuple(r) for r in moved.collect()] == [(4.0, "udp", 1)]
     assert files.scan_flows(spark, str(tmp_path / "absent.csv"), columns, ["dur"]).count() == 0
 
 
+def test_flow_file_with_all_columns(spark, tmp_path, flow_sample):
+    path = str(tmp_path / "flows")
+    files.write_flows(flow_sample, path)
+    got = files.scan_flows(spark, path, FLOW_COLUMNS, FLOW_FEATURES, "label")
+    assert got.columns == FLOW_COLUMNS and got.count() == 8
+    row = got.where("label = 1").first()
+    assert (row.proto, row.service, row.sbytes, row.attack_cat) == (282.0, 692.0, 50000.0, "Backdoors")
+
+
 def alert_rows(spark):
     rows = [(i, f"2025-01-01 {i:02d}:00:00", c) for i, c in enumerate([0.71, 0.7, 0.3, 0.29, 0.9])]
     return spark.createDataFrame(rows, "id int, t string, confidence double").select(
