@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__checkpoint__dir=str(shared),
     )
     session.sparkContext.setLogLevel("ERROR")

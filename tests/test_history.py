@@ -22,10 +22,6 @@ def series(spark, values, name="accuracy"):
     return spark.createDataFrame(rows, f"iteration int, {name} double").repartition(3)
 
 
-def by_metric(df):
-    return {r.metric: r for r in df.collect()}
-
-
 @pytest.mark.parametrize("width", [1, 2, 10_000])
 @pytest.mark.parametrize(
     "values, expected",
