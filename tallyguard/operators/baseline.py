@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import finite
-from .rules import MODEL_TYPE, WIDE_FEATURES, Z_THRESHOLD, Z_THRESHOLD_IF_MISSING
+from .rules import MODEL_TYPE, WIDE_FIT, Z_THRESHOLD, Z_THRESHOLD_IF_MISSING
 from .vectors import clean_std, fit_vectors
 
 
@@ -26,7 +26,7 @@ def fit_baseline(
     """
     names = F.array(*[F.lit(f) for f in features])
     rows = df if normal is None else df.where(normal)
-    if len(features) > WIDE_FEATURES:
+    if len(features) > WIDE_FIT:
         vector = F.array(*[F.col(f).cast("double") for f in features])
         fitted = fit_vectors(rows.select(vector.alias("__v")), "__v", None, z_threshold)
         return fitted.withColumn("features", names)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import compute_once, finite, ratio
 from ..session import one_row
-from .rules import ALERT_CONFIDENCE, CONFIDENCE_DIVISOR, VOTE_SHARE, WIDE_FEATURES
+from .rules import ALERT_CONFIDENCE, CONFIDENCE_DIVISOR, SCORE_GROUP, VOTE_SHARE, WIDE_SCORE
 from .vectors import model_side, score_vectors, z_array
 
 
@@ -43,24 +43,28 @@ def _vector(features: Sequence[str]) -> Column:
 def _score_columns(
     df: DataFrame, model: DataFrame, features: Sequence[str], vote_share: float
 ) -> DataFrame:
-    """Each z once, then the votes and the sum of the voting z."""
-    zs = {f"__z{i}": _z(i, f) for i, f in enumerate(features)}
-    votes = [F.when(F.col(z) > F.col("__limit"), 1).otherwise(0) for z in zs]
-    sums = [F.when(F.col(z) > F.col("__limit"), F.col(z)).otherwise(F.lit(0.0)) for z in zs]
-    voted = compute_once(
-        _with_model(df, model).withColumns(zs),
-        {"__votes": reduce(add, votes), "__z_sum": reduce(add, sums)},
-    )
-    share = F.col("__z_sum") / (F.col("__votes") * F.lit(CONFIDENCE_DIVISOR))
-    enough = F.col("__votes") > F.lit(len(features) * float(vote_share))
+    """Each z once, then the votes and the sum of the voting z, group by group."""
+    voted = _with_model(df, model)
+    votes, sums = [], []
+    for start in range(0, len(features), SCORE_GROUP):
+        group = list(enumerate(features))[start : start + SCORE_GROUP]
+        zs = {f"__z{i}": _z(i, f) for i, f in group}
+        beyond = {z: F.col(z) > F.col("__limit") for z in zs}
+        counted = reduce(add, [F.when(beyond[z], 1).otherwise(0) for z in zs])
+        summed = reduce(add, [F.when(beyond[z], F.col(z)).otherwise(F.lit(0.0)) for z in zs])
+        totals = {f"__votes{start}": counted, f"__sum{start}": summed}
+        voted = compute_once(voted.withColumns(zs), totals).drop(*zs)
+        votes.append(f"__votes{start}")
+        sums.append(f"__sum{start}")
+    n_votes = reduce(add, [F.col(v) for v in votes])
+    z_sum = reduce(add, [F.col(s) for s in sums])
+    confidence = F.least(z_sum / (n_votes * F.lit(CONFIDENCE_DIVISOR)), F.lit(1.0))
     return voted.withColumns(
         {
-            "prediction": enough.cast("int"),
-            "confidence": F.when(F.col("__votes") > 0, F.least(share, F.lit(1.0))).otherwise(
-                F.lit(0.0)
-            ),
+            "prediction": (n_votes > F.lit(len(features) * float(vote_share))).cast("int"),
+            "confidence": F.when(n_votes > 0, confidence).otherwise(F.lit(0.0)),
         }
-    ).drop("__means", "__stds", "__limit", "__votes", "__z_sum", *zs)
+    ).drop("__means", "__stds", "__limit", *votes, *sums)
 
 
 def score(
@@ -74,7 +78,7 @@ def score(
     A row is anomalous if more than ``vote_share`` of all features lie beyond
     the model's threshold; features without deviation never vote but count.
     """
-    if len(features) <= WIDE_FEATURES:
+    if len(features) <= WIDE_SCORE:
         return _score_columns(df, model, features, vote_share)
     with_vector = df.withColumn("__v", _vector(features))
     return score_vectors(with_vector, model, "__v", vote_share).drop("__v")
