@@ -54,6 +54,27 @@ def encoding(vocabulary: str):
     )
 
 
+# White space beyond ASCII, as UTF-8.
+WIDE_SPACES = [
+    chr(c).encode()
+    for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+]
+
+
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space of any kind."""
+    space = SPACE[data]
+    for char in WIDE_SPACES:
+        if len(data) >= len(char):
+            n = len(data) - len(char) + 1
+            at = np.flatnonzero(data[:n] == char[0])
+            for k in range(1, len(char)):
+                at = at[data[at + k] == char[k]]
+            for k in range(len(char)):
+                space[at + k] = True
+    return space
+
+
 def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the texts can be cut so that the parts have the tokens of the whole.
 
@@ -62,13 +83,17 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     So a cut is right before the last white space of a run, after it if it is
     no space, and at the end of each word.
     """
-    space = SPACE[data]
     cut = np.zeros(len(data) + 1, bool)
     if len(data):
-        starts_word = ~space[1:] & space[:-1]  # at i + 1 a word starts after white space
-        at = np.flatnonzero(starts_word) + 1
-        cut[at - 1] = True
-        cut[at[data[at - 1] != 0x20]] = True
+        space = white_space(data)
+        cut[offsets] = True
+        # A word starts after white space of the same text.
+        at = np.flatnonzero(~space[1:] & space[:-1] & ~cut[1:-1]) + 1
+        last = at - 1
+        for _ in range(2):  # to the first byte of that character
+            last = last - ((data[last] & 0xC0) == 0x80)
+        cut[last] = True
+        cut[at[data[last] != 0x20]] = True
         cut[1:-1] |= space[1:] & ~space[:-1]
     cut[offsets] = True
     return np.flatnonzero(cut)
