@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Modules that define ``query(spark, sf)`` and, where SQL can express it, ``ORACLE_SQL``.
 MODULES = {
+    "op7_decontaminate": "decontaminate",
     "op2_token_packing": "packing",
     "op4_mix_sources": "mixing",
     "op9_license_scan": "licenses",
