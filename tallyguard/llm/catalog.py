@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Modules that define ``query(spark, sf)`` and, where SQL can express it, ``ORACLE_SQL``.
 MODULES = {
+    "op1_minhash_near_dedup": "neardup",
     "op7_decontaminate": "decontaminate",
     "op2_token_packing": "packing",
     "op4_mix_sources": "mixing",
@@ -24,9 +25,15 @@ def _modules():
 
 
 def queries() -> dict[str, Query]:
-    return {name: module.query for name, module in _modules().items()}
+    import corpus_pipeline
+
+    found = {name: module.query for name, module in _modules().items()}
+    return {**found, "pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
+    import corpus_pipeline
+
     found = {name: getattr(module, "ORACLE_SQL", None) for name, module in _modules().items()}
+    found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {name: sql for name, sql in found.items() if sql}
