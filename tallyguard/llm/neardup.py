@@ -3,7 +3,7 @@
 A document is the multiset of its five-word shingles (lower-cased A-Z, words
 between ASCII white space).  Shingles are sampled by improved consistent
 weighted sampling with weight tf * idf, so that a passage found in very many
-documents seldom fills a band.  Three samples make a band, sixteen bands a
+documents seldom fills a band.  Four samples make a band, twenty bands a
 signature; documents that share a band are candidates, and a candidate pair is a
 link if the weighted Jaccard similarity of the two multisets is 0.8 or more.
 There the weights are the term frequencies alone: a link should not be lost
@@ -32,19 +32,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.session import bounded_broadcast
 
 from .tables import Steps, components, with_ids, without_ids
-from .words import LOWER, Prefix, U, mix, shingles, slices, text_bytes, word_spans
+from .words import LOWER, Prefix, U, mix, shingles, slices, small_batches, text_bytes, word_spans
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 3
+BANDS, ROWS = 20, 4
 COUNTERS = 1 << 22
 CHUNK = 1 << 16
+BINS = 256
 _KEEP = U((1 << 44) - 1)
 
 
@@ -154,11 +155,15 @@ def signatures(row: np.ndarray, hashes: np.ndarray, weight: np.ndarray) -> tuple
     return row[starts], bands.view(np.int64)
 
 
-SIGNED = "doc_id bigint, fp string, bands array<bigint>"
+SIGNED = "doc_id bigint, fp string, size bigint, counts array<smallint>, bands array<bigint>"
 
 
 def signed(texts: DataFrame, frequencies: np.ndarray, n_docs: int) -> DataFrame:
-    """doc_id, fp (digest of the text) and bands, NULL without a word."""
+    """doc_id, fp (digest of the text), size (sum of tf), counts and bands.
+
+    ``counts`` are the term frequencies summed by some bits of the shingle, NULL
+    if one does not fit; ``bands`` are NULL without a word.
+    """
     idf = np.log1p(n_docs / np.maximum(frequencies, 1).astype(np.float64)).astype(np.float32)
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
@@ -171,9 +176,14 @@ def signed(texts: DataFrame, frequencies: np.ndarray, n_docs: int) -> DataFrame:
                 lists: list = [None] * part.num_rows
                 for i, keys in zip(rows.tolist(), bands.tolist()):
                     lists[i] = keys
+                size = pa.array(np.bincount(row, tf, part.num_rows).astype(np.int64))
+                counts = np.bincount(row * BINS + (hashes & U(BINS - 1)).astype(np.int64), tf, part.num_rows * BINS)
+                counts = counts.reshape(-1, BINS)
+                fits = counts.max(axis=1) < 1 << 15
+                counts = pa.array([c if ok else None for c, ok in zip(counts.astype(np.int16), fits)], pa.list_(pa.int16()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("fp"), pa.array(lists, pa.list_(pa.int64()))],
-                    ["doc_id", "fp", "bands"],
+                    [part.column("doc_id"), part.column("fp"), size, counts, pa.array(lists, pa.list_(pa.int64()))],
+                    ["doc_id", "fp", "size", "counts", "bands"],
                 )
 
     return texts.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text").mapInArrow(run, SIGNED)
@@ -211,30 +221,49 @@ def verified(steps: Steps, texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return steps.write(rows.mapInArrow(_links, "u bigint, v bigint").distinct())
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    """A pair whose sizes differ by more cannot reach the similarity."""
+    return F.least(a, b) >= F.greatest(a, b) * F.lit(SIMILARITY)
+
+
 def duplicate_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, class_id for each row of ``docs``; the class is named by its smallest id."""
+    small_batches(spark)
     steps = Steps(spark, "near-duplicates")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = steps.write(signed(texts, document_frequencies(texts), texts.count()))
 
-    same = table.where("bands IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    same = table.where("bands IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "counts", "bands")]
+    )
     same = steps.write(same)
-    member = steps.write(same.where("rep IS NOT NULL").select("rep", F.explode("bands").alias("band")).distinct())
-    shared = member.groupBy("band").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = steps.write(shared.select("band", "low"))
-    stars = member.join(shared, "band").where("rep <> low")
+    member = same.where("rep IS NOT NULL").select("rep", "size", F.explode("bands").alias("band"))
+    member = steps.write(member.distinct())
+    low = F.min(F.struct("rep", "size")).alias("low")
+    shared = member.groupBy("band").agg(low, F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = steps.write(shared.select("band", F.col("low.rep").alias("low"), F.col("low.size").alias("low_size")))
+    stars = member.join(shared, "band").where("rep <> low").where(_sizes_allow("size", "low_size"))
     stars = steps.write(stars.select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct())
     links = verified(steps, texts, stars)
     roots = components(steps, links)
 
     # Members of one band that the links so far leave in different components.
+    # What two documents share is at most the sum of the lesser counts, so pairs
+    # that cannot reach the similarity end in the join.
     open_ = member.join(shared.select("band"), "band").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     open_ = steps.write(open_.select("band", "rep", F.coalesce("root", "rep").alias("root")))
     mixed = open_.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-    open_ = open_.join(mixed.select("band"), "band")
-    x = open_.select("band", F.col("rep").alias("u"), F.col("root").alias("ru"))
-    y = open_.select("band", F.col("rep").alias("v"), F.col("root").alias("rv"))
-    rest = x.join(y, "band").where("u < v AND ru <> rv").select("u", "v").distinct()
+    open_ = open_.join(mixed.select("band"), "band").join(same.select("rep", "size", "counts"), "rep")
+    open_ = steps.write(open_)
+    x = open_.select("band", *[F.col(c).alias(f"{c}_u") for c in ("rep", "root", "size", "counts")])
+    y = open_.select("band", *[F.col(c).alias(f"{c}_v") for c in ("rep", "root", "size", "counts")])
+    shared_most = F.aggregate(
+        F.zip_with("counts_u", "counts_v", lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
+    )
+    enough = shared_most * F.lit(1 + SIMILARITY) >= (F.col("size_u") + F.col("size_v")) * F.lit(SIMILARITY - 1e-9)
+    rest = x.join(y, "band").where("rep_u < rep_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
+    rest = rest.where(F.coalesce(enough, F.lit(True)))
+    rest = rest.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")).distinct()
     rest = steps.write(rest.join(stars, ["u", "v"], "left_anti"))
     more = verified(steps, texts, rest)
     roots = roots if more.isEmpty() else components(steps, links.unionByName(more))

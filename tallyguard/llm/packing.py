@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import SPACE, slices, text_bytes
+from .words import SPACE, slices, small_batches, text_bytes
 
 ROW_TOKENS = 2048
 BLOCK_TOKENS = 1 << 22
@@ -246,6 +246,7 @@ def pack(
         if pieces:
             yield from _packed(pieces, row_tokens, end, kind)
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     return rows.mapInArrow(run, PACKED)
 

@@ -1,6 +1,6 @@
 """Words and their hashes over Arrow text columns, a batch of rows at a time.
 
-A task gets Arrow batches; each is cut into slices of a few megabytes of text,
+A task gets Arrow batches; each is cut into slices of about a megabyte of text,
 and every step works on the bytes of a whole slice at once.  The memory of a
 task is a small multiple of one slice or of the longest single text.
 """
@@ -12,12 +12,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
+BATCH_ROWS = 1000
 U = np.uint64
 _A, _B, _C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets Spark hand out few rows at a time, as single texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values evenly."""
     x = (x ^ (x >> U(30))) * _B
