@@ -11,6 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Modules that define ``query(spark, sf)`` and, where SQL can express it, ``ORACLE_SQL``.
 MODULES = {
+    "op5_suffix_dedup": "suffix",
+    "op8_katz_scores": "katz",
     "op3_language_id": "langid",
     "op6_html_main_text": "html_main",
     "op1_minhash_near_dedup": "neardup",
