@@ -31,21 +31,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.session import BROADCAST_ROWS, bounded_broadcast
+from tallyguard.session import bounded_broadcast
 
 from .katz import _BLOCK, _from_planes, _join, _planes, _runs, _split
-from .tables import Steps, with_ids
+from .tables import Steps
 from .words import Prefix, U, mix, slices, small_batches, text_bytes
 
 LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 16_000_000
+BROADCAST_SPANS = 2_000_000
 _HIGH = U(((1 << 40) - 1) << 24)
 BLOCK = "p int, block binary"
-FOUND = "checked boolean, doc_id bigint, lo bigint, hi bigint"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -148,12 +148,82 @@ class Levels:
         return run, [later] if len(later) else []
 
 
-def _found(checked: bool, run: Run) -> pa.RecordBatch:
-    n = len(run)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, checked)), pa.array(run.doc), pa.array(run.at), pa.array(run.at + run.count)],
-        ["checked", "doc_id", "lo", "hi"],
-    )
+class Spans:
+    """Collects spans of documents and packs them by document for the next exchange."""
+
+    def __init__(self, classes: int):
+        self.classes, self.held, self.n = classes, {}, 0
+
+    def add(self, checked: bool, run: Run, extra: int) -> Iterator[pa.RecordBatch]:
+        if len(run):
+            self.held.setdefault(checked, []).append((run.doc, run.at, run.count + extra))
+            self.n += len(run)
+        if self.n >= 1_000_000:
+            yield from self.blocks()
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        for checked, held in self.held.items():
+            doc, lo, size = (np.concatenate(x) for x in zip(*held))
+            p = (mix(doc.astype(U)) % U(self.classes)).astype(np.int64)
+            order = np.lexsort((lo, doc, p))
+            doc, lo, size, p = doc[order], lo[order], size[order], p[order]
+            cuts = np.searchsorted(p, np.arange(self.classes + 1))
+            for k in range(self.classes):
+                if cuts[k] < cuts[k + 1]:
+                    own = slice(cuts[k], cuts[k + 1])
+                    first = _runs(doc[own])
+                    block = _join([
+                        _planes(np.diff(doc[own][first], prepend=0)),
+                        _planes(np.diff(np.append(first, cuts[k + 1] - cuts[k])).astype(np.uint32)),
+                        _planes(np.diff(lo[own], prepend=0)), _planes(size[own].astype(np.uint32)),
+                    ])
+                    yield pa.RecordBatch.from_pydict({"checked": [checked], "p": [k], "block": [block]}, schema=_SPANS)
+        self.held, self.n = {}, 0
+
+
+FOUND = "checked boolean, p int, block binary"
+_SPANS = pa.schema([("checked", pa.bool_()), ("p", pa.int32()), ("block", pa.binary())])
+BY_DOCUMENT = "_doc bigint, los array<bigint>, his array<bigint>"
+
+
+def _by_document(merge: bool):
+    """The spans of each document in order; touching ones become one if ``merge``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for p, block in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                found.setdefault(p, []).append(block)
+        for p in sorted(found):
+            parts = []
+            for block in found.pop(p):
+                a = _split(block, 4)
+                doc = np.repeat(np.cumsum(_from_planes(a[0], np.int64)), _from_planes(a[1], np.uint32))
+                parts.append((doc, np.cumsum(_from_planes(a[2], np.int64)), _from_planes(a[3], np.uint32).astype(np.int64)))
+            doc, lo, size = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((lo, doc))
+            doc, lo, hi = doc[order], lo[order], lo[order] + size[order]
+            of_doc = _runs(doc)
+            if merge:
+                # Places of all documents in one line, so that one running maximum serves all.
+                shift = np.zeros(len(of_doc), np.int64)
+                tops = np.maximum.reduceat(hi, of_doc) + 1
+                shift[1:] = np.cumsum(tops)[:-1]
+                shift = np.repeat(shift, np.diff(np.append(of_doc, len(doc))))
+                reach = np.maximum.accumulate(hi + shift)
+                new = np.ones(len(lo), bool)
+                new[1:] = lo[1:] + shift[1:] > reach[:-1]
+                first = np.flatnonzero(new)
+                hi = np.maximum.reduceat(hi, first)
+                doc, lo = doc[first], lo[first]
+                of_doc = _runs(doc)
+            offsets = pa.array(np.append(of_doc, len(doc)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[of_doc]), pa.ListArray.from_arrays(offsets, pa.array(lo)), pa.ListArray.from_arrays(offsets, pa.array(hi))],
+                ["_doc", "los", "his"],
+            )
+
+    return run
 
 
 def _send(classes: int):
@@ -161,17 +231,6 @@ def _send(classes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-
-        def blocks() -> Iterator[pa.RecordBatch]:
-            array = joined(held).in_order()
-            p = (mix(array.gram) % U(classes)).astype(np.int64)
-            order = np.argsort(p, kind="stable")
-            cuts = np.searchsorted(p[order], np.arange(classes + 1))
-            for k in range(classes):
-                if cuts[k] < cuts[k + 1]:
-                    own = array.take(order[cuts[k] : cuts[k + 1]])
-                    yield pa.RecordBatch.from_pydict({"p": [k], "block": [_encode(own)]}, schema=_BLOCK)
-
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
@@ -180,18 +239,29 @@ def _send(classes: int):
                 held.append(Run(gram, context, doc[text], low, count))
                 size += len(data)
                 if size >= BATCH_BYTES:
-                    yield from blocks()
+                    yield from _array_blocks(held, classes)
                     held, size = [], 0
         if held:
-            yield from blocks()
+            yield from _array_blocks(held, classes)
 
     return run
 
 
+def _array_blocks(held: list[Run], classes: int) -> Iterator[pa.RecordBatch]:
+    array = joined(held).in_order()
+    p = (mix(array.gram) % U(classes)).astype(np.int64)
+    order = np.argsort(p, kind="stable")
+    cuts = np.searchsorted(p[order], np.arange(classes + 1))
+    for k in range(classes):
+        if cuts[k] < cuts[k + 1]:
+            block = _encode(array.take(order[cuts[k] : cuts[k + 1]]))
+            yield pa.RecordBatch.from_pydict({"p": [k], "block": [block]}, schema=_BLOCK)
+
+
 def _encode(run: Run) -> bytes:
     ids, doc = np.unique(run.doc, return_inverse=True)
     return _join([
-        _planes(run.gram), _planes(run.context),
+        _planes(np.diff(run.gram, prepend=U(0))), _planes(run.context),
         _planes(np.diff(ids, prepend=0)), _planes(doc.astype(np.uint32)), _planes(run.at), _planes(run.count.astype(np.uint32)),
     ])
 
@@ -199,82 +269,91 @@ def _encode(run: Run) -> bytes:
 def _decode(block: bytes) -> Run:
     a = _split(block, 6)
     ids = np.cumsum(_from_planes(a[2], np.int64))
-    return Run(_from_planes(a[0], U), _from_planes(a[1], U), ids[_from_planes(a[3], np.uint32)],
+    return Run(np.cumsum(_from_planes(a[0], U), dtype=U), _from_planes(a[1], U), ids[_from_planes(a[3], np.uint32)],
                _from_planes(a[4], np.int64), _from_planes(a[5], np.uint32).astype(np.int64))
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches, and the anchors that occur with several contexts."""
-    families: dict[int, Levels] = {}
-    for batch in batches:
-        for p, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            run, later = earliest(_decode(block))
-            if len(later):
-                yield _found(False, later)
-            for match in families.setdefault(p, Levels()).add(run):
-                yield _found(False, match)
-    for p in sorted(families):
-        run, later = families.pop(p).finish()
-        for match in later:
-            yield _found(False, match)
-        if run is not None:
-            order = np.argsort(run.gram, kind="stable")
-            first = _runs(run.gram[order])
-            n = np.diff(np.append(first, len(run)))
-            several = order[np.repeat(n > 1, n)]
-            if len(several):
-                yield _found(True, run.take(several))
-
-
-WINDOWS = "hash bigint, doc_id bigint, lo bigint"
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of each window that has to be compared."""
-    for batch in batches:
-        for part in slices(batch, "text"):
-            data, offsets = text_bytes(part.column("text"))
-            prefix = Prefix(data)
-            lo, hi = part.column("lo"), part.column("hi")
-            row = np.repeat(np.arange(part.num_rows), lo.value_lengths().to_numpy(zero_copy_only=False))
-            low, high = (c.flatten().to_numpy(zero_copy_only=False) for c in (lo, hi))
-            inside = high + LENGTH - 1 <= np.diff(offsets)[row]  # another row of the same doc_id may be shorter
-            row, low, high = row[inside], low[inside], high[inside]
-            n = high - low
-            at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            row = np.repeat(row, n)
-            begin = at + offsets[:-1][row]
-            doc = part.column("doc_id").to_numpy(zero_copy_only=False)[row]
-            hashes = prefix.of(begin, begin + LENGTH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(doc), pa.array(at)], ["hash", "doc_id", "lo"])
+def _merge(classes: int, extra: int):
+    """Matches, and the anchors that occur with several contexts, packed by document.
+
+    ``extra`` is what the last window of an entry covers beyond its start.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        families: dict[int, Levels] = {}
+        spans = Spans(classes)
+        for batch in batches:
+            for p, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                array, later = earliest(_decode(block))
+                for match in [later, *families.setdefault(p, Levels()).add(array)]:
+                    yield from spans.add(False, match, extra)
+        for p in sorted(families):
+            array, later = families.pop(p).finish()
+            for match in later:
+                yield from spans.add(False, match, extra)
+            if array is not None:
+                order = np.argsort(array.gram, kind="stable")
+                first = _runs(array.gram[order])
+                n = np.diff(np.append(first, len(array)))
+                yield from spans.add(True, array.take(order[np.repeat(n > 1, n)]), 0)
+        yield from spans.blocks()
+
+    return run
+
+
+def _send_windows(classes: int):
+    """Each window that has to be compared, as an entry whose gram is the whole window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, offsets = text_bytes(part.column("text"))
+                prefix = Prefix(data)
+                lo, hi = part.column("los"), part.column("his")
+                row = np.repeat(np.arange(part.num_rows), lo.value_lengths().to_numpy(zero_copy_only=False))
+                low, high = (c.flatten().to_numpy(zero_copy_only=False) for c in (lo, hi))
+                inside = high + LENGTH - 1 <= np.diff(offsets)[row]  # another row of the same doc_id may be shorter
+                row, low, high = row[inside], low[inside], high[inside]
+                n = high - low
+                at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                row = np.repeat(row, n)
+                begin = at + offsets[:-1][row]
+                doc = part.column("doc_id").to_numpy(zero_copy_only=False)[row]
+                whole = prefix.of(begin, begin + LENGTH)
+                held.append(Run(whole, np.zeros(len(at), U), doc, at, np.ones(len(at), np.int64)))
+                size += len(at)
+                if size >= BATCH_BYTES // 16:
+                    yield from _array_blocks(held, classes)
+                    held, size = [], 0
+        if held:
+            yield from _array_blocks(held, classes)
+
+    return run
+
+
+def _joined_by_document(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    """``docs`` with the spans of each; these are broadcast only while they are few."""
+    n = spans.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.size("los")), F.lit(0)).alias("all")).first()
+    rows = n["docs"] if n["all"] <= BROADCAST_SPANS else None
+    return docs.join(bounded_broadcast(spans, rows), F.col("doc_id") == F.col("_doc"), how)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, steps: Steps) -> DataFrame:
-    """doc_id, los, his: the maximal removed runs of each document that has any."""
+    """_doc, los, his: the maximal removed runs of each document that has any."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.mapInArrow(_send(2 * parts), BLOCK).repartition(parts, "p").mapInArrow(_merge, FOUND)
-    found = steps.write(found)
+    classes = 2 * parts
+    found = docs.mapInArrow(_send(classes), BLOCK).repartition(parts, "p")
+    found = steps.write(found.mapInArrow(_merge(classes, LENGTH - 1), FOUND))
 
     # Windows of anchors with several contexts, in the documents that have them.
-    open_ = found.where("checked").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("w"))
-    open_ = steps.write(open_.select("doc_id", F.col("w.lo").alias("lo"), F.col("w.hi").alias("hi")))
-    texts = with_ids(steps, docs, open_).withColumnRenamed("doc_id", "_doc")
-    texts = texts.join(bounded_broadcast(open_, open_.count()), F.col("_doc") == F.col("doc_id"))
-    windows = steps.write(texts.select("doc_id", "text", "lo", "hi").mapInArrow(_windows, WINDOWS))
-    first = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "lo")).alias("x"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select(F.col("hash").alias("h"), F.col("x.doc_id").alias("d"), F.col("x.lo").alias("l"))
-    later = windows.join(first, F.col("hash") == F.col("h")).where("doc_id <> d OR lo <> l")
-    spans = found.where(~F.col("checked")).select("doc_id", "lo", (F.col("hi") + (LENGTH - 1)).alias("hi"))
-    spans = spans.unionByName(later.select("doc_id", "lo", (F.col("lo") + LENGTH).alias("hi")))
-
-    # Touching spans of a document become one run.
-    order = Window.partitionBy("doc_id").orderBy("lo", "hi")
-    before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.withColumn("new", (F.coalesce(before, F.lit(-1)) < F.col("lo")).cast("int"))
-    spans = spans.withColumn("run", F.sum("new").over(order))
-    spans = spans.groupBy("doc_id", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    spans = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("w"))
-    return steps.write(spans.select("doc_id", F.col("w.lo").alias("los"), F.col("w.hi").alias("his")))
+    open_ = found.where("checked").repartition(parts, "p").mapInArrow(_by_document(False), BY_DOCUMENT)
+    open_ = steps.write(open_)
+    texts = _joined_by_document(docs, open_, "inner").select("doc_id", "text", "los", "his")
+    windows = texts.mapInArrow(_send_windows(classes), BLOCK).repartition(parts, "p")
+    windows = steps.write(windows.mapInArrow(_merge(classes, LENGTH - 1), FOUND))
+    spans = found.where(~F.col("checked")).unionByName(windows.where(~F.col("checked"))).repartition(parts, "p")
+    return steps.write(spans.mapInArrow(_by_document(True), BY_DOCUMENT))
 
 
 KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -309,10 +388,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_bytes: bool = True
     steps = Steps(spark, "suffix")
     lowest = -(1 << 63)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    runs = repeats(spark, docs, steps).withColumnRenamed("doc_id", "_doc")
-    n = runs.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.size("los")), F.lit(0)).alias("runs")).first()
-    small = n["docs"] if n["runs"] <= 10 * BROADCAST_ROWS else None
-    joined_ = docs.join(bounded_broadcast(runs, small), F.col("doc_id") == F.col("_doc"), "left")
+    joined_ = _joined_by_document(docs, repeats(spark, docs, steps), "left")
     out = joined_.select("doc_id", "text", "los", "his").mapInArrow(_remove(with_bytes), KEPT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != lowest, F.col("doc_id")))
 
