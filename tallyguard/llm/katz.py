@@ -283,12 +283,12 @@ def _counts_of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_pydict({"r": np.arange(len(total), dtype=np.int32), "n": total})
 
 
-SCORED = "kind int, key bigint, doc_id bigint, n double, value double"
+SCORED = "kind int, key bigint, doc_id bigint, n double, value double, block binary"
 _SUM, _RARE, _SPLIT, _WEIGHT = range(4)
 
 
-def _score_pairs(shared):
-    """Sums by document; what needs another partition's knowledge goes out as rows.
+def _score_pairs(shared, classes: int):
+    """Sums by document, packed; what needs another partition's knowledge goes out as rows.
 
     ``_RARE``: an unseen bigram with a rare word, known or not; ``_SPLIT``: an
     unseen bigram after a split history, and ``_WEIGHT``: its parts of a(h).
@@ -340,15 +340,37 @@ def _score_pairs(shared):
         if docs:
             doc, value = np.concatenate(docs), np.concatenate(sums)
             ids, place = np.unique(doc, return_inverse=True)
-            yield _rows(_SUM, np.zeros(len(ids), np.int64), ids, np.zeros(len(ids)), np.bincount(place, value))
+            total = np.bincount(place, value)
+            p = (mix(ids.astype(U)) % U(classes)).astype(np.int64)
+            order = np.argsort(p, kind="stable")
+            cuts = np.searchsorted(p[order], np.arange(classes + 1))
+            for k in range(classes):
+                own = order[cuts[k] : cuts[k + 1]]
+                if len(own):
+                    block = _join([_planes(np.diff(ids[own], prepend=0)), total[own].tobytes()])
+                    yield _rows(_SUM, np.array([k]), np.zeros(1, np.int64), [0], [0], [block])
 
     return run
 
 
-def _rows(kind: int, key, doc, n, value) -> pa.RecordBatch:
+def _sum_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the packed sums of each document."""
+    ids, values = [], []
+    for batch in batches:
+        for block in batch.column(1).to_pylist():
+            a, b = _split(block, 2)
+            ids.append(np.cumsum(_from_planes(a, np.int64)))
+            values.append(np.frombuffer(b, float))
+    if ids:
+        doc, place = np.unique(np.concatenate(ids), return_inverse=True)
+        yield pa.RecordBatch.from_pydict({"doc_id": doc, "value": np.bincount(place, np.concatenate(values))})
+
+
+def _rows(kind: int, key, doc, n, value, block=None) -> pa.RecordBatch:
     columns = [pa.array(np.full(len(key), kind, np.int32)), pa.array(np.ascontiguousarray(key)), pa.array(doc)]
     columns += [pa.array(np.asarray(n, float)), pa.array(np.asarray(value, float))]
-    return pa.RecordBatch.from_arrays(columns, ["kind", "key", "doc_id", "n", "value"])
+    columns.append(pa.array(block or [None] * len(key), pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, ["kind", "key", "doc_id", "n", "value", "block"])
 
 
 def _frequent_tokens(shared):
@@ -431,8 +453,9 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     pairs = docs.mapInArrow(_send_pairs(shared, classes), BLOCK).repartition(parts, "p")
     counted = pairs.mapInArrow(_counts_of_counts, "r int, n bigint")
     n_r = counted.agg(*[F.sum(F.when(F.col("r") == r, F.col("n"))).alias(f"n{r}") for r in range(1, MOST_DISCOUNTED + 2)])
-    scored = steps.write(pairs.crossJoin(F.broadcast(n_r)).mapInArrow(_score_pairs(shared), SCORED))
-    sums = scored.where(F.col("kind") == _SUM).select("doc_id", "value")
+    scored = steps.write(pairs.crossJoin(F.broadcast(n_r)).mapInArrow(_score_pairs(shared, classes), SCORED))
+    sums = scored.where(F.col("kind") == _SUM).select(F.col("key").cast("int").alias("p"), "block")
+    sums = sums.repartition(parts, "p").mapInArrow(_sum_documents, "doc_id bigint, value double")
     back = scored.where(F.col("kind") == _RARE).withColumnRenamed("key", "w40")
     vocabulary = words.select(F.col("w").bitwiseAND(F.lit(int(W40))).alias("k40")).distinct().withColumn("known", F.lit(True))
     back = back.join(vocabulary, F.col("w40") == F.col("k40"), "left")
