@@ -34,8 +34,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.session import bounded_broadcast
-
 from .katz import _BLOCK, _from_planes, _join, _planes, _runs, _split
 from .tables import Steps
 from .words import Prefix, U, mix, slices, small_batches, text_bytes
@@ -43,7 +41,6 @@ from .words import Prefix, U, mix, slices, small_batches, text_bytes
 LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 16_000_000
-BROADCAST_SPANS = 2_000_000
 _HIGH = U(((1 << 40) - 1) << 24)
 BLOCK = "p int, block binary"
 
@@ -332,13 +329,6 @@ def _send_windows(classes: int):
     return run
 
 
-def _joined_by_document(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    """``docs`` with the spans of each; these are broadcast only while they are few."""
-    n = spans.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.size("los")), F.lit(0)).alias("all")).first()
-    rows = n["docs"] if n["all"] <= BROADCAST_SPANS else None
-    return docs.join(bounded_broadcast(spans, rows), F.col("doc_id") == F.col("_doc"), how)
-
-
 def repeats(spark: SparkSession, docs: DataFrame, steps: Steps) -> DataFrame:
     """_doc, los, his: the maximal removed runs of each document that has any."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -349,7 +339,7 @@ def repeats(spark: SparkSession, docs: DataFrame, steps: Steps) -> DataFrame:
     # Windows of anchors with several contexts, in the documents that have them.
     open_ = found.where("checked").repartition(parts, "p").mapInArrow(_by_document(False), BY_DOCUMENT)
     open_ = steps.write(open_)
-    texts = _joined_by_document(docs, open_, "inner").select("doc_id", "text", "los", "his")
+    texts = docs.join(open_.hint("merge"), F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "los", "his")
     windows = texts.mapInArrow(_send_windows(classes), BLOCK).repartition(parts, "p")
     windows = steps.write(windows.mapInArrow(_merge(classes, LENGTH - 1), FOUND))
     spans = found.where(~F.col("checked")).unionByName(windows.where(~F.col("checked"))).repartition(parts, "p")
@@ -388,7 +378,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_bytes: bool = True
     steps = Steps(spark, "suffix")
     lowest = -(1 << 63)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined_ = _joined_by_document(docs, repeats(spark, docs, steps), "left")
+    joined_ = docs.join(repeats(spark, docs, steps).hint("merge"), F.col("doc_id") == F.col("_doc"), "left")
     out = joined_.select("doc_id", "text", "los", "his").mapInArrow(_remove(with_bytes), KEPT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != lowest, F.col("doc_id")))
 
