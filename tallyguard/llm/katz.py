@@ -39,7 +39,7 @@ from .words import LOWER, Prefix, U, mix, slices, small_batches, text_bytes, wor
 MOST_DISCOUNTED = 5
 FREQUENT = 1 << 21
 BUCKETS = 1 << 20
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 START, END = U(0x1234567890ABCDEF), U(0x0FEDCBA987654321)
 W40 = U((1 << 40) - 1)
 BLOCK = "p int, block binary"
@@ -408,7 +408,7 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
     )
-    classes = 2 * parts
+    classes = 4 * parts
     train = docs.where(~F.col("held_out")).select("text")
     words = train.mapInArrow(_count_words(classes), BLOCK).repartition(parts, "p")
     words = steps.write(words.mapInArrow(_sum_words, "w bigint, c bigint"))
@@ -432,7 +432,7 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     mass[at], kinds[at] = buckets.column("m").to_numpy(), buckets.column("k").to_numpy()
     w, c = top.column("w").to_numpy().view(U), top.column("c").to_numpy()
     n_train = int(c[w == END][0]) if (w == END).any() else docs.where(~F.col("held_out")).count()
-    share = max(1.0, n / (2 * classes))
+    share = max(1.0, n / classes)
     hot = {int(x): int(np.ceil(y / share)) for x, y in zip(w, c) if y > share and x != END}
     if n_train > share:
         hot[int(START)] = int(np.ceil(n_train / share))
@@ -463,7 +463,7 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     back = back.select("doc_id", (F.col("n") * log_rare).alias("value"))
     weights = scored.where(F.col("kind") == _WEIGHT).groupBy("key").agg(F.sum("n").alias("mass"), F.sum("value").alias("taken"))
     alpha = F.greatest("mass", F.lit(1e-12)) / F.greatest(1 - F.col("taken"), F.lit(unknown))
-    weights = F.broadcast(weights.select(F.col("key").alias("h"), F.log10(alpha).alias("log_alpha")))  # 4 x partitions at most
+    weights = F.broadcast(weights.select(F.col("key").alias("h"), F.log10(alpha).alias("log_alpha")))  # split histories: at most twice the classes
     late = scored.where(F.col("kind") == _SPLIT).join(weights, F.col("key") == F.col("h"))
     late = late.select("doc_id", (F.col("n") * F.col("log_alpha")).alias("value"))
     zero = F.lit(0).cast("long")
