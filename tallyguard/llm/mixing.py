@@ -145,25 +145,31 @@ def mixing_plan(spark: SparkSession, docs: DataFrame, **how) -> tuple[DataFrame,
     return sized, bounded_broadcast(plan, n_sources)
 
 
-SAME_SOURCE = F.col("source").eqNullSafe(F.col("s_source"))
-TIMES = F.col("s_rounds") + F.when(F.col("h") < F.col("s_cut"), 1).otherwise(0)
+def _same_source() -> Column:
+    return F.col("source").eqNullSafe(F.col("s_source"))
+
+
+def _times() -> Column:
+    return F.col("s_rounds") + F.when(F.col("h") < F.col("s_cut"), 1).otherwise(0)
 
 
 def mix(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each row of ``docs``."""
     sized, plan = mixing_plan(spark, docs, **how)
-    return sized.join(plan, SAME_SOURCE).select(
+    return sized.join(plan, _same_source()).select(
         "doc_id", "source", "size", F.col("s_source_size").alias("source_size"),
-        F.col("s_target").alias("target"), (TIMES * F.col("size")).cast("long").alias("taken"),
+        F.col("s_target").alias("target"), (_times() * F.col("size")).cast("long").alias("taken"),
     )
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     _, plan = mixing_plan(spark, docs, **how)
-    rows = docs.withColumn("h", hash_of("doc_id")).join(plan, SAME_SOURCE).withColumn("times", TIMES)
-    rows = rows.where("times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return rows.select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), "source", hash_of("doc_id").alias("h")).join(plan, _same_source())
+    rows = rows.select("row", _times().alias("times")).where("times > 0")
+    rows = rows.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf: str) -> DataFrame:
