@@ -80,4 +80,4 @@ def clean_name(name: str) -> str:
 def alert_id(when: Column, *parts: Column) -> Column:
     """Id made from the alert's own content, so a replayed row keeps its id."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.concat_ws("_", F.lit("ALT"), F.date_format(when, "yyyyMMdd"), F.substring(digest, 1, 12))
+    return F.concat_ws("_", F.lit("ALT"), F.date_format(when, "yyyyMMdd"), digest)

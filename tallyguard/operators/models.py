@@ -48,10 +48,10 @@ def version_tags(models: DataFrame) -> DataFrame:
 
 
 def compare_models(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Shift of mean and deviation per feature between two versions."""
+    """Shift of mean and deviation per feature between two versions, NULL for a feature of one only."""
     a = left.select("feature", F.col("mean").alias("mean_before"), F.col("std").alias("std_before"))
     b = right.select("feature", F.col("mean").alias("mean_after"), F.col("std").alias("std_after"))
-    return a.join(b, "feature").withColumns(
+    return a.join(b, "feature", "full").withColumns(
         {
             "mean_shift": F.col("mean_after") - F.col("mean_before"),
             "std_shift": F.col("std_after") - F.col("std_before"),

@@ -15,8 +15,7 @@ from .rules import CONFIDENCE_DIVISOR, STD_FLOOR, VOTE_SHARE, Z_THRESHOLD
 
 def clean_std(mean: Column, std: Column) -> Column:
     """Deviation with rounding noise of a constant feature set to 0."""
-    noise = F.lit(STD_FLOOR) * F.greatest(F.lit(1.0), F.abs(mean))
-    return F.when(std < noise, F.lit(0.0)).otherwise(std)
+    return F.when(std <= F.lit(STD_FLOOR) * F.abs(mean), F.lit(0.0)).otherwise(std)
 
 
 def fit_vectors(

@@ -449,7 +449,7 @@ def score_alerts(spark, sf):
 @query(
     "fit_score_vectors",
     f"""WITH p AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos FROM embeddings),
-  m AS (SELECT pos, avg(x) AS mean, CASE WHEN stddev_pop(x) < 1e-12 * greatest(1, abs(avg(x))) THEN 0
+  m AS (SELECT pos, avg(x) AS mean, CASE WHEN stddev_pop(x) <= 1e-12 * abs(avg(x)) THEN 0
     ELSE stddev_pop(x) END AS std FROM p WHERE label = 0 GROUP BY pos),
   z AS (SELECT vec_id, p.label, abs(x - mean) / nullif(std, 0) AS z FROM p JOIN m USING (pos)),
   v AS (SELECT vec_id, label, count(*) AS k, count_if(z > 1.4::DOUBLE) AS votes,
@@ -879,7 +879,7 @@ def fn_percent_format(spark, sf):
 @query(
     "fn_alert_id",
     f"""WITH {EV_ALERTS} SELECT event_id, 'ALT_' || strftime(ts, '%Y%m%d') || '_' ||
-  substring(md5(concat_ws('|', 'score', event_id)), 1, 12) AS alert_id FROM alerts""",
+  md5(concat_ws('|', 'score', event_id)) AS alert_id FROM alerts""",
 )
 def fn_alert_id(spark, sf):
     ident = alert_id(F.col("ts"), F.lit("score"), F.col("event_id"))

@@ -55,7 +55,7 @@ def model(
     for i, f in enumerate(features):
         stats.append(f"avg({f}) AS m{i}")
         stats.append(
-            f"CASE WHEN stddev_pop({f}) < 1e-12 * greatest(1, abs(avg({f}))) THEN 0 "
+            f"CASE WHEN stddev_pop({f}) <= 1e-12 * abs(avg({f})) THEN 0 "
             f"ELSE stddev_pop({f}) END AS s{i}"
         )
     head = f"{keys}, " if keys else ""
