@@ -14,6 +14,7 @@ left as they are, because all work is done under names of its own.
 from __future__ import annotations
 
 import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,6 @@ WINDOW = 5
 SAMPLE_ROWS = 1000
 
 
-
 def words(text: Column) -> Column:
     """Words of a text that is not null, as an array."""
     inner = F.btrim(text, F.lit(SPACE_CHARS))
@@ -106,12 +106,12 @@ HELPERS = ("_qt", "_qw", "_qh", "_qg", "_qp", "_qs", "_ql")
 
 
 def with_figures(df: DataFrame, text: str = "text", names: tuple[str, ...] = tuple(FIGURES)) -> DataFrame:
-    """Adds the struct ``_q`` of the named figures; other columns stay."""
+    """Adds the struct ``_q`` of the named figures, computed once per row; other columns stay."""
     df, fields = _with_text(df, text), []
     for name in names:
         df, figure = FIGURES[name](df)
         fields.append(figure.cast("long").alias(name))
-    return df.withColumn("_q", F.struct(*fields)).drop(*HELPERS)
+    return compute_once(df, {"_q": F.struct(*fields)}).drop(*HELPERS)
 
 
 def _q(name: str) -> Column:
