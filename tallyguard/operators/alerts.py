@@ -65,13 +65,18 @@ def alert_kpis(
     )
 
 
-def filled_alerts(alerts: DataFrame) -> DataFrame:
-    """Drop the all-NULL rows that broken documents are read as."""
-    return alerts.where(F.coalesce(*[F.col(c).cast("string") for c in ALERT.names]).isNotNull())
+def readable_alerts(alerts: DataFrame, broken: str) -> DataFrame:
+    """Drop the all-NULL rows of documents whose text landed in ``broken``.
+
+    An alert without any of the known fields is an alert all the same.
+    """
+    filled = F.coalesce(*[F.col(c).cast("string") for c in ALERT.names]).isNotNull()
+    return alerts.where(F.col(broken).isNull() | filled).drop(broken)
 
 
 def normalize_alerts(documents: DataFrame, value: str = "value") -> DataFrame:
     """One row per alert from documents that hold an array or a single alert."""
     schema = f"array<{ALERT.simpleString()}>"
     parsed = documents.select(F.from_json(value, schema).alias("alerts"))
-    return filled_alerts(parsed.select(F.inline("alerts")))
+    rows = parsed.select(F.explode("alerts").alias("alert"))
+    return rows.where(F.col("alert").isNotNull()).select("alert.*")

@@ -3,7 +3,8 @@
 A window without partition keys would send the whole series to one task.
 These cut the order column into chunks, work inside each chunk, and carry one
 summary row per chunk across: only the summaries, ``width`` times fewer, meet
-in one place.
+in one place.  Rows without an order value come first, as in a window, in a
+chunk of their own; NULL is a group of ``by`` like any other.
 """
 
 from __future__ import annotations
@@ -15,10 +16,24 @@ from pyspark.sql import functions as F
 
 CHUNK_WIDTH = 10_000
 _CHUNK = "__chunk"
+# Below the chunk of every order value.
+_NO_ORDER = -(2**63)
 
 
 def _chunked(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn(_CHUNK, F.floor(F.col(order) / F.lit(width)))
+    chunk = F.floor(F.col(order) / F.lit(width))
+    return df.withColumn(_CHUNK, F.coalesce(chunk, F.lit(_NO_ORDER)))
+
+
+def _with_summary(work: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``work`` with the summary of its chunk; NULL groups meet as well."""
+    if not by:
+        return work.join(summary, _CHUNK)
+    other = summary.withColumnsRenamed({c: f"__of_{c}" for c in (*by, _CHUNK)})
+    same = F.col(_CHUNK) == F.col(f"__of_{_CHUNK}")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    return work.join(other, same).drop(*[f"__of_{c}" for c in (*by, _CHUNK)])
 
 
 def with_row_number(
@@ -41,7 +56,7 @@ def with_row_number(
     )
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     return (
-        work.join(starts, keys)
+        _with_summary(work, starts, by)
         .withColumn("row_no", F.col("__start") + inside)
         .drop(_CHUNK, "__start")
     )
@@ -60,13 +75,13 @@ def with_previous(
     row = F.struct(*cols)
     tails = (
         work.groupBy(*keys)
-        .agg(F.max_by(row, order).alias("__tail"))
+        .agg(F.max_by(row, F.struct(order, *cols)).alias("__tail"))
         .withColumn("__before", F.lag("__tail").over(Window.partitionBy(*by).orderBy(_CHUNK)))
         .drop("__tail")
     )
-    inside = F.lag(row).over(Window.partitionBy(*keys).orderBy(order))
+    inside = F.lag(row).over(Window.partitionBy(*keys).orderBy(order, *cols))
     return (
-        work.join(tails, keys)
+        _with_summary(work, tails, by)
         .withColumn("previous", F.coalesce(inside, F.col("__before")))
         .drop(_CHUNK, "__before")
     )
@@ -98,7 +113,7 @@ def with_running_max(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        work.join(peaks, keys)
+        _with_summary(work, peaks, by)
         .withColumn(into, F.greatest(inside, F.col("__before")))
         .drop(_CHUNK, "__before")
     )

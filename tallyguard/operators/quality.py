@@ -169,18 +169,23 @@ def check_test_set(
 ) -> DataFrame:
     """Size, shares and categories of a test set.
 
-    Only the first unexpected category is named, so no set of values is
-    gathered in one place.
+    ``categories`` gives the number of rows of unexpected categories; each of
+    these has a failed row ``unexpected_category`` of its own with its count.
     """
     unexpected = F.coalesce(F.col(category), F.lit("Unknown"))
     stranger = F.when(~unexpected.isin(*allowed), unexpected)
-    measured = _shares(
-        test, label, F.count(stranger).alias("strangers"), F.min(stranger).alias("stranger")
+    measured = _shares(test, label, F.count(stranger).alias("strangers"))
+    found = test.groupBy(stranger.alias("stranger")).agg(F.count("*").alias("n"))
+    named = found.where(F.col("stranger").isNotNull()).select(
+        F.lit("unexpected_category").alias("check_name"),
+        F.lit(False).alias("passed"),
+        F.concat_ws(": ", "stranger", F.col("n").cast("string")).alias("detail"),
     )
-    return _checks(
+    checks = _checks(
         measured,
         ("size", F.col("n") == size, F.col("n")),
         _within("normal_percent", normal_range),
         _within("anomaly_percent", anomaly_range),
-        ("categories", F.col("strangers") == 0, F.col("stranger")),
+        ("categories", F.col("strangers") == 0, F.when(F.col("strangers") > 0, F.col("strangers"))),
     )
+    return checks.unionByName(named)

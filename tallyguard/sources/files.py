@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import time_cutoff
-from ..operators.alerts import filled_alerts
+from ..operators.alerts import readable_alerts
 from ..operators.encode import align_schema, encode_features
 from ..schema import ALERT
 
 ALERTS_PER_FILE = 1_000
+# Where the reader puts the text of a document that it cannot parse.
+BROKEN = "_broken"
 # Full precision; the JSON default stops at milliseconds.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -73,7 +75,9 @@ def scan_alert_files(
 
     One file is one record, so files are spread over tasks, not their parts.
     """
-    alerts = filled_alerts(spark.read.schema(ALERT).json(path, multiLine=True))
+    schema = T.StructType([*ALERT.fields, T.StructField(BROKEN, T.StringType())])
+    read = spark.read.schema(schema).json(path, multiLine=True, columnNameOfCorruptRecord=BROKEN)
+    alerts = readable_alerts(read, BROKEN)
     if window:
         now = F.current_timestamp() if as_of is None else as_of
         alerts = alerts.where(F.col("timestamp") >= time_cutoff(now, window))

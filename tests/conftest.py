@@ -21,26 +21,31 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-# One normal and one anomalous flow, in the order of the columns.
-NORMAL_FLOW = (
-    "1.0 tcp http CON 10 10 1000 1000 100 64 64 1000 1000 0 0 1.0 1.0 0.1 0.1 8192 1000 1000 8192 "
-    "0.5 0.5 0.5 100 100 1 500 5 10 1 0 0 5 10 10 5 5 10 0 Normal 0"
-).split()
-ANOMALY_FLOW = (
-    "5.0 tcp - CON 200 100 50000 20000 1000 64 64 10000 5000 0 0 1.0 1.0 0.1 0.1 8192 10000 5000 8192 "
-    "0.5 0.5 0.5 250 200 1 500 150 200 0 0 0 150 300 100 50 50 200 0 Backdoors 1"
-).split()
-
-
-def _typed(cells):
-    casts = {"double": float, "int": lambda v: int(float(v)), "string": str}
-    return tuple(casts[f.dataType.simpleString()](v) for f, v in zip(FLOW.fields, cells))
+# One normal and one anomalous flow; columns that are not named hold 0.
+NORMAL_FLOW = {
+    "dur": 0.25, "proto": "tcp", "service": "http", "state": "FIN", "spkts": 12, "dpkts": 14,
+    "sbytes": 900, "dbytes": 7200, "rate": 104.0, "sttl": 62, "dttl": 60, "sload": 28800.0,
+    "dload": 230400.0, "sinpkt": 20.5, "dinpkt": 17.5, "smean": 75, "dmean": 514,
+    "trans_depth": 1, "response_body_len": 6400, "ct_srv_src": 3, "ct_srv_dst": 2,
+    "attack_cat": "Normal", "label": 0,
+}
+ANOMALY_FLOW = {
+    **NORMAL_FLOW,
+    "dur": 7.5, "service": "-", "spkts": 640, "dpkts": 310, "sbytes": 31000, "dbytes": 15500,
+    "rate": 126.5, "ct_srv_src": 44, "ct_srv_dst": 57, "ct_dst_ltm": 120,
+    "attack_cat": "Backdoors", "label": 1,
+}
+
+
+def _row(cells):
+    zero = {"double": 0.0, "int": 0, "string": ""}
+    return tuple(cells.get(f.name, zero[f.dataType.simpleString()]) for f in FLOW.fields)
 
 
 @pytest.fixture
 def flow_sample(spark):
     """Five equal normal rows and three equal anomalous rows."""
-    rows = [_typed(NORMAL_FLOW)] * 5 + [_typed(ANOMALY_FLOW)] * 3
+    rows = [_row(NORMAL_FLOW)] * 5 + [_row(ANOMALY_FLOW)] * 3
     return spark.createDataFrame(rows, FLOW)
 
 
@@ -91,4 +96,4 @@ def flow_table(spark):
 
 FLOW_TABLE_FEATURES = (*INT_RANGES, *DOUBLE_RANGES)
 
-assert len(NORMAL_FLOW) == len(ANOMALY_FLOW) == len(FLOW_COLUMNS) == 44
+assert len(FLOW_COLUMNS) == 44 and set(ANOMALY_FLOW) <= set(FLOW_COLUMNS)

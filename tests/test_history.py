@@ -26,8 +26,8 @@ def series(spark, values, name="accuracy"):
 @pytest.mark.parametrize(
     "values, expected",
     [
-        ([0.70, 0.75, 0.80, 0.85, 0.90], 0.125),
-        ([0.90, 0.85, 0.80, 0.75, 0.70], -0.125),
+        ([0.2, 0.4, 0.9, 0.5, 0.7], 0.4),
+        ([0.7, 0.5, 0.9, 0.4, 0.2], -0.1),
         ([0.9], 0.0),
         ([None, 0.5, None, 0.7], 0.2),
         ([None, None], 0.0),
@@ -42,11 +42,11 @@ def test_trend(spark, values, expected, width):
 @pytest.mark.parametrize(
     "values, threshold, expected",
     [
-        ([0.85, 0.85, 0.85, 0.65], 0.10, True),
-        ([0.85, 0.85, 0.85, 0.82], 0.05, False),
-        ([0.85, 0.85, 0.2], 0.10, False),
+        ([0.9, 0.7, 0.8, 0.6], 0.10, True),
+        ([0.9, 0.7, 0.8, 0.78], 0.05, False),
+        ([0.7, 0.7, 0.2], 0.10, False),
         ([0.0, 0.0, 0.0, 0.0], 0.10, False),
-        ([0.85, None, 0.85, 0.85, 0.65, None], 0.10, True),
+        ([0.6, None, 0.9, 0.75, 0.5, None], 0.10, True),
         ([], 0.10, False),
     ],
 )
@@ -56,9 +56,9 @@ def test_degradation(spark, values, threshold, expected, width):
 
 
 def test_stats(spark):
-    got = H.metric_stats(series(spark, [0.80, 0.85, 0.78, 0.82, 0.87]), ["accuracy"]).first()
-    assert (got.n, got.min, got.max) == (5, 0.78, 0.87)
-    assert got.mean == pytest.approx(0.824) and got["std"] == pytest.approx(0.0326190128606)
+    got = H.metric_stats(series(spark, [0.4, 0.6, 0.9, 0.5]), ["accuracy"]).first()
+    assert (got.n, got.min, got.max) == (4, 0.4, 0.9)
+    assert got.mean == pytest.approx(0.6) and got["std"] == pytest.approx(0.035**0.5)
     none = H.metric_stats(series(spark, []), ["accuracy"]).first()
     assert tuple(none) == ("accuracy", 0, 0.0, 0.0, 0.0, 0.0)
 
@@ -240,7 +240,22 @@ def test_check_distribution_and_test_set(spark):
     good = checks(Q.check_test_set(rows, 100, ["Normal", "DoS"]))
     assert all(passed for passed, _ in good.values())
     bad = checks(Q.check_test_set(rows, 500, ["Normal"]))
-    assert bad["size"] == (False, "100") and bad["categories"] == (False, "DoS")
+    assert bad["size"] == (False, "100") and bad["categories"] == (False, "20")
+    two = rows.withColumn("category", F.when(F.col("label") == 0, "Fuzzers").otherwise(F.col("category")))
+    named = Q.check_test_set(two, 100, ["Normal"]).where("check_name = 'unexpected_category'").collect()
+    assert sorted((r.passed, r.detail) for r in named) == [(False, "DoS: 20"), (False, "Fuzzers: 80")]
+
+
+@pytest.mark.parametrize("width", [1, 10_000])
+def test_rows_without_order_or_group_stay(spark, width):
+    rows = [(None, "a", 1.0), (1, "a", 2.0), (2, "a", 3.0), (1, None, 4.0), (None, None, 5.0)]
+    df = spark.createDataFrame(rows, "i int, g string, v double")
+    numbered = {r.v: (r.row_no, r.row_total) for r in O.with_row_number(df, "i", ["g"], width).collect()}
+    assert numbered == {1.0: (1, 3), 2.0: (2, 3), 3.0: (3, 3), 5.0: (1, 2), 4.0: (2, 2)}
+    before = {r.v: r.previous and r.previous.v for r in O.with_previous(df, "i", ["v"], ["g"], width).collect()}
+    assert before == {1.0: None, 2.0: 1.0, 3.0: 2.0, 5.0: None, 4.0: 5.0}
+    most = {r.v: r.most for r in O.with_running_max(df, "i", "v", "most", ["g"], width).collect()}
+    assert most == {1.0: 1.0, 2.0: 2.0, 3.0: 3.0, 5.0: 5.0, 4.0: 5.0}
 
 
 def test_profile(spark, flow_sample):

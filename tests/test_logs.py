@@ -153,8 +153,10 @@ def test_alert_files(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([one, {**one, "sample_id": 2}], indent=2))
     (tmp_path / "b.json").write_text(json.dumps({**one, "sample_id": 3, "timestamp": "2025-01-01T23:00:00"}))
     (tmp_path / "c.json").write_text('[{"sample_id": 4, ')
+    (tmp_path / "d.json").write_text('{"unknown_field": 1}')
     got = files.scan_alert_files(spark, str(tmp_path))
-    assert sorted(r.sample_id for r in got.collect()) == [1, 2, 3]
+    assert got.count() == 4
+    assert sorted(r.sample_id or 0 for r in got.collect()) == [0, 1, 2, 3]
     recent = files.scan_alert_files(spark, str(tmp_path), as_of(), "2 hours")
     assert [r.sample_id for r in recent.collect()] == [3]
 
@@ -174,12 +176,12 @@ def test_alert_documents_round_trip(spark, tmp_path):
 
 def test_alert_documents_in_rows(spark):
     docs = spark.createDataFrame(
-        [('[{"sample_id": 1}, {"sample_id": 2, "type": "t"}]',), ('{"sample_id": 3}',), ("[]",), ("{bro",)],
+        [('[{"sample_id": 1}, {"sample_id": 2, "type": "t"}, {"foo": 1}, null]',), ('{"sample_id": 3}',), ("[]",), ("{bro",)],
         "value string",
     )
     got = A.normalize_alerts(docs)
     kinds = {r.sample_id: r.k for r in got.select("sample_id", A.alert_kind(got).alias("k")).collect()}
-    assert kinds == {1: "Unknown", 2: "t", 3: "Unknown"}
+    assert kinds == {None: "Unknown", 1: "Unknown", 2: "t", 3: "Unknown"}
 
 
 def test_log_lines_and_flows(spark, tmp_path):
@@ -204,7 +206,7 @@ def test_flow_file_with_all_columns(spark, tmp_path, flow_sample):
     got = files.scan_flows(spark, path, FLOW_COLUMNS, FLOW_FEATURES, "label")
     assert got.columns == FLOW_COLUMNS and got.count() == 8
     row = got.where("label = 1").first()
-    assert (row.proto, row.service, row.sbytes, row.attack_cat) == (282.0, 692.0, 50000.0, "Backdoors")
+    assert (row.proto, row.service, row.sbytes, row.attack_cat) == (282.0, 692.0, 31000.0, "Backdoors")
 
 
 def alert_rows(spark):
