@@ -105,13 +105,20 @@ FIGURES = {
 HELPERS = ("_qt", "_qw", "_qh", "_qg", "_qp", "_qs", "_ql")
 
 
-def with_figures(df: DataFrame, text: str = "text", names: tuple[str, ...] = tuple(FIGURES)) -> DataFrame:
-    """Adds the struct ``_q`` of the named figures, computed once per row; other columns stay."""
+def with_figures(
+    df: DataFrame, text: str = "text", names: tuple[str, ...] = tuple(FIGURES), once: bool = False
+) -> DataFrame:
+    """Adds the struct ``_q`` of the named figures; other columns stay.
+
+    With ``once`` a later filter does not compute the figures again; without it
+    they are found below a limit, so that only figures are shuffled.
+    """
     df, fields = _with_text(df, text), []
     for name in names:
         df, figure = FIGURES[name](df)
         fields.append(figure.cast("long").alias(name))
-    return compute_once(df, {"_q": F.struct(*fields)}).drop(*HELPERS)
+    found = {"_q": F.struct(*fields)}
+    return (compute_once(df, found) if once else df.withColumns(found)).drop(*HELPERS)
 
 
 def _q(name: str) -> Column:
@@ -163,7 +170,7 @@ def judge(df: DataFrame, text: str = "text", order: list[str] | None = None) ->
     """``df`` with ``_q`` (all figures), ``_base_failed`` and ``_kept``."""
     order = order or cascade_order(df, text)
     base = [name for name in order if name in BASE_RULES]
-    return with_figures(df, text).withColumns({"_base_failed": ~verdict(base), "_kept": verdict(order)})
+    return with_figures(df, text, once=True).withColumns({"_base_failed": ~verdict(base), "_kept": verdict(order)})
 
 
 def keep_good(df: DataFrame, text: str = "text", order: list[str] | None = None) -> DataFrame:
