@@ -89,6 +89,27 @@ def test_near_duplicates_and_links(spark, docs):
     assert neardup.duplicate_classes(spark, docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("appended", [False, True])
+def test_near_duplicates_of_a_common_text(spark, appended):
+    """A third of the rows are one text with edits of their own that leave 0.80 to 0.85 of it."""
+    base = prose(20, 304).split()
+    found = {1000: " ".join(base)}
+    for i in range(60):
+        words = list(base)
+        if appended:
+            words += ["new%d-%d" % (i, k) for k in range(56 + i % 18)]
+        else:
+            for k in range(5 + i % 2):
+                words[20 + 50 * k] = "new%d-%d" % (i, k)
+        found[i] = " ".join(words)
+    found |= {2000 + i: prose(100 + i, 300) for i in range(120)}
+    near = neardup.similarities(pa.array([found[1000]] * 60), pa.array([found[i] for i in range(60)]))
+    assert 0.8 <= near.min() and near.max() < 0.86
+    rows = spark.createDataFrame(list(found.items()), "doc_id long, text string").repartition(3)
+    classes = {r.doc_id: r.class_id for r in neardup.duplicate_classes(spark, rows).collect()}
+    assert classes == {i: i if i >= 2000 else 0 for i in found}
+
+
 def test_weighted_jaccard():
     a, b = "a b c d e f a b c d e", "a b c d e f g"
     grams = lambda t: Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4))
