@@ -6,6 +6,9 @@ capacities to the two terminals.  Blocks that follow each other and blocks with
 the same parent element are tied by smoothness edges.  The minimum cut, found by
 maximum flow, labels all blocks of the page at once.
 
+The content of script, style, title, textarea and the like is no markup: it ends
+at their own closing tag, or with the page, whatever stands in between.
+
 Defined cases: a null or empty page gives an empty text; a tag cut off at the
 end of the page is dropped; a page without any content block gives an empty
 text; repeated rows are read one by one; an empty table gives an empty result;
@@ -36,6 +39,11 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Elements whose content is no text of the page.
 SKIPPED = set("script style template svg math iframe object canvas noscript title".split())
+# Elements whose content is read without tags and comments, except inside svg and math.
+RAW = set("script style title textarea xmp iframe noembed noframes".split())
+FOREIGN = ("svg", "math")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+_IN_SCRIPT = re.compile(r"<!--(?!-?>)|-->|<(?P<close>/?)script(?=[\s/>])", re.IGNORECASE)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that end one block and begin another.
 BLOCKS = set(
@@ -111,15 +119,37 @@ def _element_odds(tag: str, attrs: str, inside_article: bool) -> float:
     return odds
 
 
+def _raw_end(html: str, tag: str, start: int) -> int:
+    """Where the closing tag of a raw element begins, the end of the page if there is none."""
+    if tag != "script":
+        found = _RAW_END[tag].search(html, start)
+        return found.start() if found else len(html)
+    # Inside a comment of a script, a second opening tag takes the next closing tag.
+    comment = nested = False
+    for part in _IN_SCRIPT.finditer(html, start):
+        if part["close"] is None:
+            comment, nested = part[0] == "<!--", False
+        elif not part["close"]:
+            nested = comment
+        elif nested:
+            nested = False
+        else:
+            return part.start()
+    return len(html)
+
+
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order."""
     blocks: list[Block] = []
     stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]  # tag, odds so far, number, in article
-    n, links, block, skip = 0, 0, None, ""
-    for part in _PART.finditer(html):
-        tag = part["tag"]
+    n, links, block, skip, at, raw_end = 0, 0, None, "", 0, -1
+    while at < len(html):
+        if raw_end > at:
+            tag, text, at = None, html[at:raw_end], raw_end
+        else:
+            part = _PART.match(html, at)
+            tag, text, at = part["tag"], part["text"], part.end()
         if tag is None:
-            text = part["text"]
             if text and not skip:
                 if block is None:
                     top = stack[-1]
@@ -133,6 +163,8 @@ def blocks_of(html: str) -> list[Block]:
         tag = tag.lower()
         if not part["end"]:
             break  # cut off
+        if tag in RAW and not part["close"] and skip not in FOREIGN and not part["attrs"].endswith("/"):
+            raw_end = _raw_end(html, tag, at)
         if skip:
             if part["close"] and tag == skip:
                 skip = ""

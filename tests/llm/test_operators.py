@@ -222,3 +222,15 @@ def test_main_text(spark):
     got = html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert got[0].text == "A & B\nFirst para with a link in a sentence.\nSecond." and got[0].n_chars == len(got[0].text)
     assert [r.text for r in got[1:]] == [""] * 4
+
+
+@pytest.mark.parametrize("raw", [
+    "<script>for(i=0;i<n;i++){f(i)}</script>", "<script>if (a<b && c>'d') x = \"it's</p>\";</SCRIPT >",
+    "<script><!-- document.write('x')</script>", "<script><!--\nvar s = '<script>f()</script>';\n--></script>",
+    "<style>/* don't <!-- */ a<b{}</style>", "<title>a <b 'c</title>", "<noscript><style>a<b</style></noscript>",
+    "<form><textarea><!-- a<b 'c</textarea></form>", "<svg><style>a</style><title/></svg>", "<script>a<!-->b</script>",
+])
+def test_main_text_after_raw_elements(raw):
+    article = "<article><p>The article has a sentence that is long enough.</p><script>x</script><p>It has another.</p></article>"
+    kept = [text for text, good in html_main.label_blocks(f"<html><body>{raw}{article}</body></html>") if good]
+    assert kept == ["The article has a sentence that is long enough.", "It has another."]
