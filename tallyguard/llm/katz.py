@@ -8,9 +8,10 @@ Good-Turing discount of counts up to 5, and a(h) P1(w) otherwise.  The weight
 a(h) is the discounted mass over 1 - sum of P1 over the successors of h, so the
 distribution after every history sums to one.  P1 is Good-Turing discounted in
 the same way; what it takes away is the probability of an unknown word.  Words
-rarer than one token in ``FREQUENT`` share the mean probability of the rare
-words of their hash bucket.  That keeps the table that every task needs at a
-fixed size, and P1 still sums to one.  The base score uses exact counts.
+rarer than one token in ``FREQUENT`` are not in the table that every task needs,
+which keeps that at a fixed size.  Their P1 stays in a table partitioned by word
+and is joined to the tokens that back off to it and, where a history with a
+backed-off token has rare successors, to these before a(h) is formed.
 
 Bigrams are kept in tables partitioned by history; a history with more than half
 a partition's share of tokens is split by successor.  Each token is sent once to
@@ -38,7 +39,6 @@ from .words import LOWER, Prefix, U, mix, slices, small_batches, text_bytes, wor
 
 MOST_DISCOUNTED = 5
 FREQUENT = 1 << 21
-BUCKETS = 1 << 20
 BLOCK_TOKENS = 1_000_000
 START, END = U(0x1234567890ABCDEF), U(0x0FEDCBA987654321)
 W40 = U((1 << 40) - 1)
@@ -158,15 +158,12 @@ def discounts(n: list[int]) -> np.ndarray:
 
 
 class Unigrams:
-    """P1: frequent words one by one, the mean of each bucket for the others."""
+    """P1 of the frequent words, and the histories that are split."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, bucket_mass: np.ndarray, bucket_words: np.ndarray,
-                 unknown: float, scale: float, parts: dict[int, int]):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, unknown: float, scale: float, parts: dict[int, int]):
         order = np.argsort(words & W40)
         self.full, self.words, self.counts = words[np.argsort(words)], (words & W40)[order], counts[order]
         self.probability = counts[order] * scale
-        mass, n = bucket_mass * scale, np.maximum(bucket_words, 1)
-        self.bucket = np.where(bucket_mass > 0, mass / n, unknown)
         self.unknown = unknown
         self.full_counts = counts[np.argsort(words)]
         self.split = np.array(sorted(parts), U)
@@ -180,10 +177,9 @@ class Unigrams:
         return at, table[at] == words
 
     def of(self, words40: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P1 of words (rare ones as if known) and which are frequent."""
+        """P1 of words (0 for rare ones) and which are frequent."""
         at, frequent = self.find(words40, self.words)
-        rare = self.bucket[(words40 % U(BUCKETS)).astype(np.int64)]
-        return (np.where(frequent, self.probability[at], rare) if len(self.words) else rare), frequent
+        return (np.where(frequent, self.probability[at], 0.0) if len(self.words) else np.zeros(len(words40))), frequent
 
 
 # Bigrams: every token goes to the partition of its history.
@@ -284,14 +280,16 @@ def _counts_of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 SCORED = "kind int, key bigint, doc_id bigint, n double, value double, block binary"
-_SUM, _RARE, _SPLIT, _WEIGHT = range(4)
+_SUM, _RARE, _SPLIT, _LATE, _WEIGHT, _TAKEN = range(6)
 
 
 def _score_pairs(shared, classes: int):
     """Sums by document, packed; what needs another partition's knowledge goes out as rows.
 
-    ``_RARE``: an unseen bigram with a rare word, known or not; ``_SPLIT``: an
-    unseen bigram after a split history, and ``_WEIGHT``: its parts of a(h).
+    ``_RARE``: an unseen bigram with a rare word, known or not; ``_SPLIT`` and
+    ``_LATE``: an unseen bigram after a split history and after one with rare
+    successors; ``_WEIGHT``: the parts of a(h) of these histories known here, and
+    ``_TAKEN``: their rare successors.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,6 +309,9 @@ def _score_pairs(shared, classes: int):
             kept_total = np.maximum(total, 1)
             mass = np.add.reduceat((1 - discount) * count, first) / kept_total
             taken = np.add.reduceat(np.where(seen, p1, 0.0), first)
+            rare_seen = seen & ~frequent
+            is_late = np.logical_or.reduceat(~seen, first) & np.logical_or.reduceat(rare_seen, first) & ~is_split
+            open_ = is_split | is_late
             # Without a discounted successor, a share of one in c(h) + 1 is set apart.
             least = 1 / (kept_total + 1)
             plain = (mass < least) & ~is_split
@@ -321,22 +322,22 @@ def _score_pairs(shared, classes: int):
             log = np.empty(len(pair))
             log[seen] = np.log10(discount[seen] * count[seen] * scale[of_pair[seen]] / total[of_pair[seen]])
             back = ~seen
-            late = is_split[of_pair]
-            log[back] = np.where(late[back], 0.0, np.log10(weight[of_pair[back]])) + np.where(
-                frequent[back], np.log10(p1[back]), 0.0
-            )
+            log[back] = np.log10(np.where(open_, 1.0, weight)[of_pair[back]]) + np.log10(np.where(frequent, p1, 1.0)[back])
             entry = np.repeat(np.arange(len(pair)), _lengths(pair, len(h)))
             docs.append(doc)
             sums.append(log[entry] * times)
             rare = (back & ~frequent)[entry]
-            wait = (back & late)[entry]
             if rare.any():
-                yield _rows(_RARE, w[rare].view(np.int64), doc[rare], times[rare], np.log10(p1[entry[rare]]))
-            if wait.any():
-                yield _rows(_SPLIT, h[wait].view(np.int64), doc[wait], times[wait], np.zeros(wait.sum()))
-            if is_split.any():
-                here = history[is_split].view(np.int64)
-                yield _rows(_WEIGHT, here, np.zeros(len(here), np.int64), mass[is_split], taken[is_split])
+                yield _rows(_RARE, w[rare].view(np.int64), doc[rare], times[rare], np.zeros(rare.sum()))
+            for kind, which in ((_SPLIT, is_split), (_LATE, is_late)):
+                wait = (back & which[of_pair])[entry]
+                if wait.any():
+                    yield _rows(kind, h[wait].view(np.int64), doc[wait], times[wait], np.zeros(wait.sum()))
+            if open_.any():
+                here = history[open_].view(np.int64)
+                yield _rows(_WEIGHT, here, is_split[open_].astype(np.int64), mass[open_], taken[open_])
+                of = rare_seen & open_[of_pair]
+                yield _rows(_TAKEN, w[pair][of].view(np.int64), h[pair][of].view(np.int64), count[of], np.zeros(of.sum()))
         if docs:
             doc, value = np.concatenate(docs), np.concatenate(sums)
             ids, place = np.unique(doc, return_inverse=True)
@@ -413,7 +414,7 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     words = train.mapInArrow(_count_words(classes), BLOCK).repartition(parts, "p")
     words = steps.write(words.mapInArrow(_sum_words, "w bigint, c bigint"))
 
-    # Figures of the word counts; the frequent words and the buckets have a fixed size.
+    # Figures of the word counts; the frequent words have a fixed size.
     n_r = [F.count(F.when(F.col("c") == r, 1)).alias(f"n{r}") for r in range(1, MOST_DISCOUNTED + 2)]
     row = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), *n_r).first()
     n, v = row["n"], row["v"]
@@ -425,18 +426,13 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     discounted = F.col("c") * F.element_at(F.array(*[F.lit(float(x)) for x in d]), F.least("c", F.lit(MOST_DISCOUNTED + 1)).cast("int") + 1)
     often = F.col("c") * F.lit(FREQUENT) >= F.lit(n)
     top = words.where(often).select("w", "c", discounted.alias("m")).toArrow()
-    bucket = F.pmod(F.col("w").bitwiseAND(F.lit(int(W40))), F.lit(BUCKETS))
-    buckets = words.where(~often).groupBy(bucket.alias("b")).agg(F.sum(discounted).alias("m"), F.count(F.lit(1)).alias("k")).toArrow()
-    mass, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS, np.int64)
-    at = buckets.column("b").to_numpy()
-    mass[at], kinds[at] = buckets.column("m").to_numpy(), buckets.column("k").to_numpy()
     w, c = top.column("w").to_numpy().view(U), top.column("c").to_numpy()
     n_train = int(c[w == END][0]) if (w == END).any() else docs.where(~F.col("held_out")).count()
     share = max(1.0, n / classes)
     hot = {int(x): int(np.ceil(y / share)) for x, y in zip(w, c) if y > share and x != END}
     if n_train > share:
         hot[int(START)] = int(np.ceil(n_train / share))
-    model = Unigrams(w, c, mass, kinds, unknown, scale, hot)
+    model = Unigrams(w, c, unknown, scale, hot)
     model.probability = top.column("m").to_numpy()[np.argsort(w & W40)] * scale
     known = {**{int(x): float(y) for x, y in zip(w, c)}, int(START): float(n_train)}
     model.split_counts = np.array([known[h] for h in sorted(hot)])
@@ -456,17 +452,23 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     scored = steps.write(pairs.crossJoin(F.broadcast(n_r)).mapInArrow(_score_pairs(shared, classes), SCORED))
     sums = scored.where(F.col("kind") == _SUM).select(F.col("key").cast("int").alias("p"), "block")
     sums = sums.repartition(parts, "p").mapInArrow(_sum_documents, "doc_id bigint, value double")
+    zero = F.lit(0).cast("long")
     back = scored.where(F.col("kind") == _RARE).withColumnRenamed("key", "w40")
-    vocabulary = words.select(F.col("w").bitwiseAND(F.lit(int(W40))).alias("k40")).distinct().withColumn("known", F.lit(True))
-    back = back.join(vocabulary, F.col("w40") == F.col("k40"), "left")
-    log_rare = F.when(F.col("known"), F.col("value")).otherwise(F.lit(float(np.log10(unknown))))
-    back = back.select("doc_id", (F.col("n") * log_rare).alias("value"))
-    weights = scored.where(F.col("kind") == _WEIGHT).groupBy("key").agg(F.sum("n").alias("mass"), F.sum("value").alias("taken"))
+    w40 = F.col("w").bitwiseAND(F.lit(int(W40)))
+    rare_p1 = steps.write(words.where(~often).groupBy(w40.alias("k40")).agg((F.sum(discounted) * F.lit(scale)).alias("p1")))
+    back = back.join(rare_p1, F.col("w40") == F.col("k40"), "left")
+    back = back.select("doc_id", (F.col("n") * F.log10(F.coalesce("p1", F.lit(unknown)))).alias("value"))
+    # a(h) of the histories left open: the parts from every partition, and P1 of the rare successors.
+    taken = scored.where(F.col("kind") == _TAKEN).join(rare_p1, F.col("key") == F.col("k40"))
+    taken = taken.select(F.col("doc_id").alias("key"), F.lit(0.0).alias("mass"), F.col("p1").alias("taken"), zero.alias("split"))
+    known_here = scored.where(F.col("kind") == _WEIGHT).select("key", F.col("n").alias("mass"), F.col("value").alias("taken"), F.col("doc_id").alias("split"))
+    weights = known_here.unionByName(taken).groupBy("key").agg(F.sum("mass").alias("mass"), F.sum("taken").alias("taken"), F.max("split").alias("split"))
     alpha = F.greatest("mass", F.lit(1e-12)) / F.greatest(1 - F.col("taken"), F.lit(unknown))
-    weights = F.broadcast(weights.select(F.col("key").alias("h"), F.log10(alpha).alias("log_alpha")))  # split histories: at most twice the classes
-    late = scored.where(F.col("kind") == _SPLIT).join(weights, F.col("key") == F.col("h"))
-    late = late.select("doc_id", (F.col("n") * F.col("log_alpha")).alias("value"))
-    zero = F.lit(0).cast("long")
+    weights = steps.write(weights.select(F.col("key").alias("h"), F.log10(alpha).alias("log_alpha"), "split"))
+    # Split histories are at most twice the classes; the others have no more tokens than a partition's share.
+    split = scored.where(F.col("kind") == _SPLIT).join(F.broadcast(weights.where("split = 1")), F.col("key") == F.col("h"))
+    late = scored.where(F.col("kind") == _LATE).join(weights.where("split = 0"), F.col("key") == F.col("h"))
+    late = split.unionByName(late).select("doc_id", (F.col("n") * F.col("log_alpha")).alias("value"))
     parts_ = [x.select("doc_id", zero.alias("n_tokens"), F.lit(0.0).alias("n_known"), F.lit(0.0).alias("base"), F.col("value").alias("score")) for x in (sums, back, late)]
     every = base.select("doc_id", "n_tokens", "n_known", F.col("value").alias("base"), F.lit(0.0).alias("score"))
     for x in parts_:

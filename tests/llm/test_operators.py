@@ -189,6 +189,20 @@ def test_katz_equals_one_loop(spark, docs, texts, monkeypatch, frequent, rel):
     assert total > 0 and katz.score(spark, docs.limit(0).select("doc_id", "text", F.lit(True).alias("held_out"))).isEmpty()
 
 
+@pytest.mark.parametrize("frequent", [katz.FREQUENT, 400, 32])
+def test_katz_keeps_rare_words_apart(spark, monkeypatch, frequent):
+    """Rare words whose hashes end in the same 20 bits have their own P1, also after a history that is split ("the")."""
+    words, same = ["x%d" % i for i in range(60000)], {}
+    for word, token in zip(words, katz.token_pairs(pa.array([" ".join(words)]))[1].tolist()):
+        same.setdefault(token % (1 << 20), []).append(word)
+    pool = [word for found in same.values() if len(found) > 1 for word in found]
+    texts = {i: " ".join("the " + pool[zlib.crc32(b"%d-%d" % (i, k)) ** 2 % 9973 % (3 + k)] for k in range(300)) for i in range(1, 31)}
+    texts |= {100 + i: " ".join(pool[zlib.crc32(b"%d.%d" % (i, k)) % 400] for k in range(200)) for i in range(10)}
+    texts |= {200: None, 201: "never seen the never"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    test_katz_equals_one_loop(spark, docs, texts, monkeypatch, frequent, 1e-9)
+
+
 def test_languages_word_by_word(spark):
     a = ["alpha" + x for x in "abcdefgh"]
     b = ["über" + x for x in "stuvwxyz"]
