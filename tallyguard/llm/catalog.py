@@ -21,6 +21,9 @@ MODULES = {
     "op4_mix_sources": "mixing",
     "op9_license_scan": "licenses",
     "op10_quality_rules": "quality",
+    "op11_whitening": "whitening",
+    "op12_centroid_clusters": "clustering",
+    "op13_chat_formatting": "chat",
 }
 
 
