@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import time_cutoff
@@ -48,6 +48,48 @@ def alert_type_counts(alerts: DataFrame) -> DataFrame:
     return with_share(kinds.agg(F.count("*").alias("n")))
 
 
+def summary_rows(
+    alerts: DataFrame, key: Sequence[str], by: Sequence[str] = (), n: int = LATEST, ts: str = "ts"
+) -> DataFrame:
+    """A row for each kind (and ``by``): number of alerts and the newest ``n`` of them.
+
+    Such rows can be merged, see ``merge_summary_rows``.  The newest are ranked
+    within each task first, so at most ``n`` alerts of a kind leave a task.
+    """
+    age = F.coalesce(-F.unix_micros(F.col(ts).cast("timestamp")), F.lit((1 << 63) - 1))
+    kinds = alerts.select(
+        *by,
+        alert_kind(alerts).alias("alert_kind"),
+        F.struct(age.alias("age"), *key, F.col(ts).alias("ts"), alert_kind(alerts).alias("kind"), "confidence").alias("alert"),
+    )
+    groups = [*by, "alert_kind"]
+    ranked = kinds.withColumn("__rank", F.row_number().over(Window.partitionBy(*groups).orderBy("alert")))
+    newest = ranked.where(F.col("__rank") <= n).groupBy(*groups).agg(F.sort_array(F.collect_list("alert")).alias("newest"))
+    return kinds.groupBy(*groups).agg(F.count("*").alias("alerts")).join(newest, groups)
+
+
+def merge_summary_rows(rows: DataFrame, by: Sequence[str] = (), n: int = LATEST) -> DataFrame:
+    """Rows of several parts as those of one; a group has as many rows as there are parts."""
+    newest = F.slice(F.sort_array(F.flatten(F.collect_list("newest"))), 1, n)
+    return rows.groupBy(*by, "alert_kind").agg(F.sum("alerts").alias("alerts"), newest.alias("newest"))
+
+
+def summary_document(rows: DataFrame, by: Sequence[str] = (), n: int = LATEST) -> DataFrame:
+    """One nested row (for each ``by``): total, counts per kind, and the newest alerts of all kinds."""
+    kinds = F.sort_array(F.collect_list(F.struct("alert_kind", "alerts")))
+    newest = F.slice(F.sort_array(F.flatten(F.collect_list("newest"))), 1, n)
+    return rows.groupBy(*by).agg(
+        F.coalesce(F.sum("alerts"), F.lit(0)).alias("total_alerts"),
+        F.map_from_entries(kinds).alias("alert_types"),
+        F.transform(newest, lambda a: a.dropFields("age")).alias("latest_alerts"),
+    )
+
+
+def alert_summary(alerts: DataFrame, key: Sequence[str], n: int = LATEST, ts: str = "ts") -> DataFrame:
+    """The summary document of an alert table."""
+    return summary_document(summary_rows(alerts, key, (), n, ts), (), n)
+
+
 def alert_kpis(
     alerts: DataFrame, as_of: Column, window: str = "1 hour", minutes: int = 60, ts: str = "ts"
 ) -> DataFrame:

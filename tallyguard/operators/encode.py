@@ -12,6 +12,7 @@ from ..functions import bucket, clean_name, try_number
 # The category of normal rows and the attack categories studied.
 NORMAL_CATEGORY = "Normal"
 TARGET_CATEGORIES = ("Backdoors", "Reconnaissance", "Generic")
+UNKNOWN_CATEGORY = "Unknown"
 
 
 def encode_cell(col: Column) -> Column:
@@ -75,9 +76,9 @@ def filter_normal(df: DataFrame, normal: Column) -> DataFrame:
 
 
 def stratum(category: Column, normal: str, targets: Iterable[str]) -> Column:
-    """``normal``, ``target`` or ``other``; a missing category counts as normal."""
+    """``normal``, ``target`` or ``other``; only the normal category itself is normal, a missing one is not."""
     return (
-        F.when(category.isNull() | (category == normal), "normal")
+        F.when(category == normal, "normal")
         .when(category.isin(*targets), "target")
         .otherwise("other")
     )
@@ -95,8 +96,8 @@ def select_target_categories(
     normal: str = NORMAL_CATEGORY,
     targets: Sequence[str] = TARGET_CATEGORIES,
 ) -> DataFrame:
-    """Keep normal and target rows; targets get label 1, other categories go."""
-    kept = df.where(F.col(category).isNull() | F.col(category).isin(normal, *targets))
+    """Keep normal and target rows; targets get label 1, other and missing categories go."""
+    kept = df.where(F.col(category).isin(normal, *targets))
     return relabel_targets(kept, label, category, targets).withColumn(
         "stratum", stratum(F.col(category), normal, targets)
     )
@@ -108,10 +109,11 @@ def excluded_categories(
     normal: str = NORMAL_CATEGORY,
     targets: Sequence[str] = TARGET_CATEGORIES,
 ) -> DataFrame:
-    """Row counts of the categories that ``select_target_categories`` drops."""
+    """Row counts of the categories that ``select_target_categories`` drops, a missing one as Unknown."""
+    name = F.coalesce(category, F.lit(UNKNOWN_CATEGORY))
     return (
-        df.where(~F.col(category).isin(normal, *targets))
-        .groupBy(category)
+        df.where(~F.coalesce(F.col(category).isin(normal, *targets), F.lit(False)))
+        .groupBy(name.alias(category))
         .agg(F.count("*").alias("n"))
         .orderBy(category)
     )

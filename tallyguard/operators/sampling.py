@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import key_hash
-from ..session import bounded_broadcast, one_row
+from ..session import BROADCAST_ROWS, bounded_broadcast, one_row
 from .encode import NORMAL_CATEGORY, TARGET_CATEGORIES, relabel_targets, select_target_categories
 
 # Fixed values.
@@ -27,6 +27,8 @@ HASH_DIGITS = 4
 COPIES_PER_CHUNK = 65_536
 # Ways in which a hot row is spread when the other side is too big to broadcast.
 SALTS = 16
+# A bitmap of a megabyte: a value that is not among m ids is marked with m in 8.4 million.
+BITMAP_WORDS = 1 << 17
 
 Quotas = Callable[[Column, Column], tuple[Column, Column]]
 
@@ -104,19 +106,25 @@ def sample_two_strata(
 def with_copy_number(df: DataFrame, into: str = "copy_no") -> DataFrame:
     """Number the copies of equal rows, so that content and number make a key.
 
-    Equal rows are interchangeable: they are counted (which collapses them
-    before the shuffle) and written out again in chunks spread over the
-    cluster, so a row with very many copies never sits in one task.
+    Equal rows are interchangeable: they are counted, which collapses them before
+    the only shuffle of the table, and their numbers are drawn where the count
+    lies.  Just the rows with more than ``COPIES_PER_CHUNK`` copies, of which
+    there are few, are dealt out again in chunks, so that a row with very many
+    copies never sits in one task.
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("__n"))
+    numbers = F.sequence(F.lit(1).cast("bigint"), F.col("__n"))
+    few = counted.where(F.col("__n") <= COPIES_PER_CHUNK).withColumn(into, F.explode(numbers)).drop("__n")
     last_chunk = F.floor((F.col("__n") - 1) / F.lit(COPIES_PER_CHUNK))
-    chunks = counted.withColumn(
-        "__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
-    ).repartition(F.xxhash64(*cols), F.col("__chunk"))
+    chunks = (
+        counted.where(F.col("__n") > COPIES_PER_CHUNK)
+        .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+        .repartition(F.xxhash64(*cols), F.col("__chunk"))
+    )
     first = F.col("__chunk") * COPIES_PER_CHUNK
     numbers = F.sequence(first + 1, F.least(first + COPIES_PER_CHUNK, F.col("__n")))
-    return chunks.withColumn(into, F.explode(numbers)).drop("__n", "__chunk")
+    return few.unionByName(chunks.withColumn(into, F.explode(numbers)).drop("__n", "__chunk"))
 
 
 def fixed_test_set(
@@ -172,8 +180,6 @@ def choose_test_set(
     return fixed_test_set(fallback, key, size, seed, label, category, normal, targets), False
 
 
-
-
 def _salted_join(
     df: DataFrame, side: DataFrame, same: Column, how: str, max_rows: int | None
 ) -> DataFrame:
@@ -213,6 +219,13 @@ def train_minus_test(
     return _match_rows(df, test, "left_anti", max_test_rows)
 
 
+def rows_in_test(
+    df: DataFrame, test: DataFrame, max_test_rows: int | None = None
+) -> DataFrame:
+    """The rows that ``train_minus_test`` leaves out."""
+    return _match_rows(df, test, "left_semi", max_test_rows)
+
+
 def training_split(
     df: DataFrame,
     key: Sequence[str],
@@ -229,20 +242,59 @@ def training_split(
     return train_minus_test(relabelled, test, size)
 
 
+def _bit_of(value: Column) -> tuple[Column, Column]:
+    """Word and bit of a value in a bitmap of ``BITMAP_WORDS`` words of 64 bits."""
+    place = F.pmod(F.xxhash64(value), F.lit(BITMAP_WORDS * 64))
+    return F.floor(place / F.lit(64)).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+
+
+def id_bitmap(ids: DataFrame) -> DataFrame:
+    """One row ``bits``: a bitmap of fixed size that marks the hash of every id (its only column).
+
+    The ids are combined with OR word by word, so only marked words meet, and the
+    row has the same size however many ids there are.
+    """
+    word, bit = _bit_of(F.col(ids.columns[0]))
+    marked = ids.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bits"))
+    empty = ids.sparkSession.range(BITMAP_WORDS).select(
+        F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bits")
+    )
+    words = marked.groupBy("word").agg(F.bit_or("bits").alias("bits")).unionByName(empty)
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.sort_array(F.collect_list(F.struct("word", "bits")))
+    return words.agg(F.transform(ordered, lambda w: w["bits"]).alias("bits"))
+
+
+def split_by_bitmap(df: DataFrame, bitmap: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose value may be in the bitmap, and rows whose value is not; neither moves a row."""
+    word, bit = _bit_of(F.col(col))
+    side = one_row(bitmap.select(F.col("bits").alias("__bits")))
+    marked = F.getbit(F.get("__bits", word), bit) == 1
+    return df.join(side, marked, "left_semi"), df.join(side, marked, "left_anti")
+
+
 def exclude_by_fingerprint(
     df: DataFrame, test: DataFrame, fingerprint: str, max_test_rows: int | None = None
 ) -> DataFrame:
-    """Drop every row that shares its fingerprint with a test row."""
+    """Drop every row that shares its fingerprint with a test row.
+
+    A test set of small known size is broadcast.  Else a bitmap of its
+    fingerprints, which has a fixed size, is broadcast: rows it does not mark stay
+    where they are, and only the others are shuffled to be compared.
+    """
     ids = test.select(F.col(fingerprint).alias("__id"))
     same = F.col(fingerprint) == F.col("__id")
-    return _salted_join(df, ids, same, "left_anti", max_test_rows)
+    if max_test_rows is not None and max_test_rows <= BROADCAST_ROWS:
+        return _salted_join(df, ids, same, "left_anti", max_test_rows)
+    maybe, absent = split_by_bitmap(df, id_bitmap(ids), fingerprint)
+    return absent.unionByName(_salted_join(maybe, ids, same, "left_anti", None))
 
 
 def leakage_check(
     total: DataFrame, train: DataFrame, test: DataFrame, max_test_rows: int | None = None
 ) -> DataFrame:
     """Row counts of a split, the overlap, and whether the split is sound."""
-    overlap = _match_rows(train, test, "left_semi", max_test_rows)
+    overlap = rows_in_test(train, test, max_test_rows)
 
     def rows(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count("*").alias(name))

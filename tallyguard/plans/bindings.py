@@ -80,6 +80,12 @@ def ev(spark: SparkSession, sf: str) -> DataFrame:
     return as_flows(table(spark, sf, "events"))
 
 
+def ev_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Some clicks have no category."""
+    missing = (F.col("category") == "click") & (F.col("x2") >= 50.0)
+    return ev(spark, sf).withColumn("category", F.when(~missing, F.col("category")))
+
+
 def ev_normal() -> Column:
     """On the category, which is a source column, so that Parquet skips the rest."""
     return F.col("category") == "view"

@@ -35,6 +35,7 @@ from .sql import (
     CONFUSION,
     EV,
     EV_ALERTS,
+    EV_GAPS,
     EV_SCORED,
     LI,
     LI_FEATURES,
@@ -84,10 +85,23 @@ def _encoded(raw: DataFrame) -> DataFrame:
 # Sources and sinks ----------------------------------------------------------
 
 
-@query("scan_flows", ENCODED)
+@query(
+    "scan_flows",
+    f"""WITH {EV} SELECT event_id, {r('x1')} AS x1, {r("CASE WHEN category = 'click' THEN 0 ELSE x2 END")} AS x2,
+  {r('x3')} AS x3, {r("CASE WHEN category <> 'signup' THEN x4 END")} AS x4,
+  {r(f"CASE WHEN category = 'error' THEN 0 WHEN category <> 'signup' THEN {sql_bucket('category')} END")} AS x5,
+  CASE WHEN category <> 'signup' THEN label END AS label FROM ev""",
+)
 def scan_flows(spark, sf):
+    """Clicks have an empty cell, errors an empty quoted one, and the rows of signups end early."""
     folder = work_folder(spark, "flows")
-    files.write_flows(_raw_text(spark, sf), folder)
+    kind = F.col("event_type")
+    start = [F.col("event_id"), F.col("value"), F.when(kind == "click", "").otherwise(F.col("k")), F.col("hour")]
+    rest = [F.col("user_id"), F.when(kind == "error", '""').otherwise(kind), F.col("label")]
+    line = F.when(kind == "signup", F.concat_ws(",", *start)).otherwise(F.concat_ws(",", *start, *rest))
+    # A single column named like the header, so that each file has header and lines as they are.
+    lines = _raw_text(spark, sf).select(line.alias(",".join(RAW)))
+    lines.write.csv(folder, header=True, sep="\u0001", quote="")
     cells = ("value", "k", "hour", "user_id", "event_type")
     rows = files.scan_flows(spark, folder, RAW, cells, label="label")
     return rows.select(
@@ -125,9 +139,13 @@ def scan_alert_files(spark, sf):
 
 @query("sink_alerts", ALERT_ROWS)
 def sink_alerts(spark, sf):
-    folder = work_folder(spark, "alerts")
-    tables.append_alerts(D.ev_alerts(spark, sf), folder)
-    return tables.read_alerts(spark, folder).drop("alert_date")
+    """Two batches, both of them written twice as after a failure."""
+    folder, alerts = work_folder(spark, "alerts"), D.ev_alerts(spark, sf)
+    cut = F.col("ts") < F.lit(D.SLICE_DATES[0]).cast("timestamp")
+    for number, batch in enumerate([alerts.where(cut), alerts.where(~cut)]):
+        for _ in range(2):
+            tables.append_alerts(batch, folder, number)
+    return tables.read_alerts(spark, folder).drop("alert_date", "batch")
 
 
 @query(
@@ -148,8 +166,9 @@ def sink_training_log(spark, sf):
     summary = V.training_summary(
         D.ev_scored(spark, sf), model_id="first", created_at=D.newest_time(rows)
     )
-    summary.write.mode("append").parquet(folder)
-    return spark.read.parquet(folder)
+    for _ in range(2):
+        tables.append_training_log(summary, folder, "first")
+    return tables.read_table(spark, folder, summary.schema)
 
 
 def _save_versions(spark: SparkSession, sf: str, folder: str) -> None:
@@ -323,25 +342,27 @@ def filter_normal(spark, sf):
 
 @query(
     "select_target_categories",
-    f"""WITH {EV} SELECT event_id, category, label, CASE WHEN label = 0 THEN 'normal' ELSE 'target' END AS stratum
-  FROM ev WHERE category <> 'click'""",
+    f"""WITH {EV_GAPS} SELECT event_id, category, label, CASE WHEN label = 0 THEN 'normal' ELSE 'target' END AS stratum
+  FROM gaps WHERE category <> 'click'""",
 )
 def select_target_categories(spark, sf):
-    kept = E.select_target_categories(D.ev(spark, sf), **D.EV_KINDS)
+    kept = E.select_target_categories(D.ev_with_gaps(spark, sf), **D.EV_KINDS)
     return kept.select("event_id", "category", "label", "stratum")
 
 
 @query(
     "excluded_categories",
-    "SELECT event_type AS category, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1",
+    f"""WITH {EV_GAPS} SELECT coalesce(category, 'Unknown') AS category, count(*) AS n FROM gaps
+  WHERE category IS NULL OR category = 'click' GROUP BY 1""",
 )
 def excluded_categories(spark, sf):
-    return E.excluded_categories(D.ev(spark, sf), **D.EV_KINDS)
+    return E.excluded_categories(D.ev_with_gaps(spark, sf), **D.EV_KINDS)
 
 
 @query(
     "excluded_categories_documents",
-    "SELECT source AS category, count(*) AS n FROM documents WHERE source NOT IN ('src0', 'src1', 'src2') GROUP BY 1",
+    """SELECT coalesce(source, 'Unknown') AS category, count(*) AS n FROM documents
+  WHERE source IS NULL OR source NOT IN ('src0', 'src1', 'src2') GROUP BY 1""",
 )
 def excluded_categories_documents(spark, sf):
     rows = D.table(spark, sf, "documents").select(F.col("source").alias("category"))
@@ -723,6 +744,32 @@ def normalize_alerts(spark, sf):
     return A.normalize_alerts(documents).select("sample_id", "anomaly_type", "confidence")
 
 
+# Types and ids of an alert summary as one text each.
+SUMMARY_SQL = """string_agg(DISTINCT kind || '=' || kind_alerts, ', ' ORDER BY kind || '=' || kind_alerts) AS alert_types,
+  string_agg(CAST(event_id AS VARCHAR), ', ' ORDER BY place) FILTER (WHERE place <= 10) AS latest_alerts"""
+
+
+def summary_text(summary: DataFrame) -> DataFrame:
+    kinds = F.transform(
+        F.map_entries("alert_types"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
+    )
+    ids = F.transform("latest_alerts", lambda a: a["event_id"].cast("string"))
+    return summary.withColumns(
+        {"alert_types": F.array_join(F.array_sort(kinds), ", "), "latest_alerts": F.array_join(ids, ", ")}
+    )
+
+
+@query(
+    "alert_summary",
+    f"""WITH {EV_ALERTS}, placed AS (SELECT event_id, anomaly_type AS kind, count(*) OVER (PARTITION BY anomaly_type) AS kind_alerts,
+    row_number() OVER (ORDER BY ts DESC, event_id) AS place FROM alerts)
+  SELECT count(*) AS total_alerts, {SUMMARY_SQL} FROM placed""",
+)
+def alert_summary(spark, sf):
+    """Total, counts per type and the ten newest alerts as one document."""
+    return summary_text(A.alert_summary(D.ev_alerts(spark, sf), ["event_id"]))
+
+
 @query(
     "alert_type_counts",
     f"""WITH {EV_ALERTS} SELECT anomaly_type AS alert_kind, count(*) AS n,

@@ -13,7 +13,7 @@ from ..session import join_path, work_folder
 from ..sources import tables
 from . import bindings as D
 from .registry import query
-from .sql import DOC, EV, LI, SNAP, label_test_set, r, test_set
+from .sql import DOC, EV, EV_GAPS, LI, SNAP, label_test_set, r, test_set
 
 EV_TARGETS = ("error", "purchase", "signup")
 DOC_SIZE = 100
@@ -101,10 +101,10 @@ def training_mix(spark, sf):
 
 @query(
     "fixed_test_set",
-    f"WITH {EV}, {test_set('test', 'ev', 'event_id', 500, 'view', EV_TARGETS)} SELECT event_id, category, label FROM test",
+    f"WITH {EV_GAPS}, {test_set('test', 'gaps', 'event_id', 500, 'view', EV_TARGETS)} SELECT event_id, category, label FROM test",
 )
 def fixed_test_set(spark, sf):
-    test = T.fixed_test_set(D.ev(spark, sf), ["event_id"], **D.EV_KINDS)
+    test = T.fixed_test_set(D.ev_with_gaps(spark, sf), ["event_id"], **D.EV_KINDS)
     return test.select("event_id", "category", "label")
 
 
@@ -115,8 +115,22 @@ def _doc_test(spark, sf, seed: int = T.SEED):
     return T.synthetic_test_set(D.doc(spark, sf), ["doc_id"], DOC_SIZE, seed)
 
 
-@query("fixed_test_set_documents", f"WITH {DOC_TEST} SELECT doc_id, category, label FROM test")
+DOC_KINDS = {"normal": "src0", "targets": ("src1", "src2")}
+
+
+@query(
+    "fixed_test_set_documents",
+    f"""WITH {DOC}, {test_set('test', 'doc', 'doc_id', DOC_SIZE, *DOC_KINDS.values())}
+  SELECT doc_id, category, CAST(CASE WHEN is_target THEN 1 ELSE label END AS INTEGER) AS label FROM test""",
+)
 def fixed_test_set_documents(spark, sf):
+    """Documents by source: one is normal, two are targets, the others stay out."""
+    test = T.fixed_test_set(D.doc(spark, sf), ["doc_id"], DOC_SIZE, **DOC_KINDS)
+    return test.select("doc_id", "category", "label")
+
+
+@query("synthetic_test_set_documents", f"WITH {DOC_TEST} SELECT doc_id, category, label FROM test")
+def synthetic_test_set_documents(spark, sf):
     return _doc_test(spark, sf).select("doc_id", "category", "label")
 
 
@@ -170,14 +184,15 @@ def create_once(spark, sf):
     "testset_versions",
     f"""WITH {DOC}, {label_test_set('a', 'doc', 'doc_id', DOC_SIZE, 42)}, {label_test_set('b', 'doc', 'doc_id', DOC_SIZE, 43)}
   SELECT 1 AS version, doc_id, label FROM a UNION ALL SELECT 2, doc_id, label FROM b
-  UNION ALL SELECT 3, doc_id, label FROM a""",
+  UNION ALL SELECT 3, doc_id, label FROM a UNION ALL SELECT 5, doc_id, label FROM b""",
 )
 def testset_versions(spark, sf):
-    """A set, a second one, then the first one restored."""
+    """A set, a second one, the first one restored, and, after a reset (number 4), the second one built again."""
     folder = work_folder(spark, "test-sets")
     tables.add_test_set(_doc_test(spark, sf, 42), folder)
     tables.add_test_set(_doc_test(spark, sf, 43), folder)
     tables.restore_test_set(spark, folder)
+    tables.recreate_test_set(spark, folder, lambda: (_doc_test(spark, sf, 43), True))
     return tables.read_table(spark, folder).select("version", "doc_id", "label")
 
 
@@ -249,10 +264,28 @@ def exclude_by_fingerprint(spark, sf):
     return kept.select("l_orderkey", "l_linenumber", "l_returnflag", "label")
 
 
+@query(
+    "exclude_by_bitmap",
+    f"""WITH {LI_COPIES}, ids AS (SELECT DISTINCT {FINGERPRINT} AS id FROM test)
+  SELECT l_orderkey, l_linenumber, l_returnflag, label FROM li WHERE {FINGERPRINT} NOT IN (SELECT id FROM ids)""",
+)
+def exclude_by_bitmap(spark, sf):
+    """The same for a test set of unknown size: only rows that its bitmap marks are shuffled."""
+    cells = ("l_quantity", "l_extendedprice", "l_discount")
+
+    def printed(df):
+        return df.withColumn("fingerprint", E.row_fingerprint(*[F.col(c) for c in cells]))
+
+    kept = T.exclude_by_fingerprint(printed(D.li(spark, sf)), printed(_li_test(spark, sf)), "fingerprint")
+    return kept.select("l_orderkey", "l_linenumber", "l_returnflag", "label")
+
+
 @query(
     "leakage_check",
-    f"""WITH {DOC_TEST}, c AS (SELECT (SELECT count(*) FROM doc) AS total_rows, (SELECT count(*) FROM test) AS test_rows)
-  SELECT total_rows, total_rows - test_rows AS train_rows, test_rows, 0 AS overlap, true AS adds_up, true AS leak_free FROM c""",
+    f"""WITH {DOC_TEST}, train AS (SELECT * FROM doc EXCEPT ALL SELECT doc_id, lang, category, quality, label FROM test),
+  c AS (SELECT (SELECT count(*) FROM doc) AS total_rows, (SELECT count(*) FROM train) AS train_rows,
+    (SELECT count(*) FROM test) AS test_rows, (SELECT count(*) FROM train SEMI JOIN test USING (doc_id)) AS overlap)
+  SELECT *, total_rows = train_rows + test_rows AS adds_up, overlap = 0 AS leak_free FROM c""",
 )
 def leakage_check(spark, sf):
     """Checks a split as it is stored."""

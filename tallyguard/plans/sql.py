@@ -33,6 +33,9 @@ EV = """ev AS (
          CAST(CASE WHEN event_type <> 'view' THEN 1 ELSE 0 END AS INTEGER) AS label
   FROM events)"""
 
+EV_GAPS = f"""{EV}, gaps AS (
+  SELECT * REPLACE (CASE WHEN category = 'click' AND x2 >= 50 THEN NULL ELSE category END AS category) FROM ev)"""
+
 EV_FEATURES = ("x1", "x2", "x3", "x4")
 
 LI_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

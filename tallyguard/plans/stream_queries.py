@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.noise import inject_label_noise
+from ..operators.sampling import TEST_SIZE, choose_test_set, train_minus_test
 from ..operators.score import score, score_alerts
 from ..session import join_path, work_folder
 from ..sources import tables
 from ..streaming import jobs as J
 from . import bindings as D
-from .flow_queries import ALERT_ROWS, _noisy_sql
+from .flow_queries import ALERT_ROWS, SUMMARY_SQL, _noisy_sql, summary_text
 from .log_queries import LOGS, ROUTED
 from .registry import query
 from .sql import (
@@ -21,10 +25,12 @@ from .sql import (
     RATES,
     TARGET_COUNTS,
     TARGET_RATES,
+    label_test_set,
     metrics,
     r,
     scored,
     t,
+    test_set,
 )
 
 
@@ -119,34 +125,60 @@ def stream_snapshots(spark, sf):
 
 
 def _cycle_sql() -> str:
+    """Per tick: the test set, the training rows without it, and the model of these."""
     cuts = ", ".join(f"({i}, TIMESTAMP '{d}')" for i, d in enumerate(D.SLICE_DATES))
     stats = ", ".join(f"avg(x{i + 1}) AS m{i}, stddev_pop(x{i + 1}) AS s{i}" for i in range(4))
-    return f"""cuts AS (SELECT * FROM (VALUES {cuts}) c(iteration, cut)),
-  train AS (SELECT iteration, x1, x2, x3, x4, category FROM cuts, ev UNION ALL
-    SELECT iteration, x1, x2, x3, x4, category FROM cuts, ev WHERE ts < cut),
-  models AS (SELECT iteration, count(*) AS n, {stats} FROM train WHERE category = 'view' GROUP BY iteration)"""
+    return f"""{EV}, cuts AS (SELECT * FROM (VALUES {cuts}) c(iteration, cut)),
+  arrived AS (SELECT ev.* FROM ev, cuts WHERE iteration = 1 AND ts < cut),
+  {test_set('first_set', 'ev', 'event_id', 500, 'view', tuple(D.EV_TARGETS))},
+  {label_test_set('later_set', 'arrived', 'event_id', 500)},
+  tests AS (SELECT iteration, event_id FROM cuts, first_set WHERE iteration = 0
+    UNION ALL SELECT iteration, event_id FROM cuts, later_set WHERE iteration > 0),
+  history AS (SELECT iteration, ev.* FROM cuts, ev UNION ALL SELECT iteration, ev.* FROM cuts, ev WHERE ts < cut),
+  train AS (SELECT * FROM history ANTI JOIN tests USING (iteration, event_id)),
+  overlap AS (SELECT iteration, count(tests.event_id) AS overlap FROM cuts
+    LEFT JOIN (SELECT * FROM tests SEMI JOIN train USING (iteration, event_id)) tests USING (iteration) GROUP BY 1),
+  models AS (SELECT iteration, count(*) AS n, {stats} FROM train WHERE category = 'view' GROUP BY iteration),
+  judged AS (SELECT ev.*, iteration AS cycle FROM tests JOIN ev USING (event_id))"""
 
 
 @query(
     "stream_retrain",
-    f"""WITH {EV}, {_cycle_sql()}, {scored('s', 'ev', 'models', extra=', m.iteration')},
-  c AS (SELECT iteration, {CONFUSION}, {TARGET_COUNTS} FROM s GROUP BY iteration), m AS ({metrics('c', 'iteration', TARGET_RATES)})
-  SELECT iteration, {', '.join(COUNTS)}, {', '.join(f"{r(f'round({c}, 4)')} AS {c}" for c in RATES)}, fitted.n AS fitted_rows
-  FROM m JOIN (SELECT iteration, n FROM models) fitted USING (iteration)""",
+    f"""WITH {_cycle_sql()}, {scored('s', 'judged', 'models', extra=', m.iteration')},
+  c AS (SELECT iteration, {CONFUSION}, {TARGET_COUNTS} FROM s WHERE cycle = iteration GROUP BY iteration), m AS ({metrics('c', 'iteration', TARGET_RATES)})
+  SELECT iteration, {', '.join(COUNTS)}, {', '.join(f"{r(f'round({c}, 4)')} AS {c}" for c in RATES)},
+    models.n AS fitted_rows, overlap FROM m JOIN models USING (iteration) JOIN overlap USING (iteration)""",
 )
 def stream_retrain(spark, sf):
-    """Three ticks; each fits on all events plus the slices that have arrived."""
+    """Three ticks: each fits on all events plus the slices so far, without the rows of the test set.
+
+    In the first tick too few rows have arrived, so the test set is a fallback of
+    original rows; the second one draws the set that stays.  ``overlap`` compares
+    the rows that the stored model was fitted on with the rows that remain when
+    the test rows are taken out of the whole history.
+    """
     base = work_folder(spark, "stream-retrain")
     source = join_path(base, "source")
     flows = D.ev(spark, sf)
+    first_slice = flows.where(F.col("ts") < F.lit(D.SLICE_DATES[0]).cast("timestamp")).count()
+    used = []
+
+    def build_test(arrived):
+        test, is_real = choose_test_set(
+            arrived, flows, ["event_id"], TEST_SIZE, max(first_slice + 1, TEST_SIZE), **D.EV_KINDS
+        )
+        used.append(test)
+        return test, is_real
+
     step = J.retrain_step(
         original=flows,
-        test=flows,
+        build_test=build_test,
         features=D.EV_FEATURES,
         targets=D.EV_TARGETS,
         folder=base,
         min_new=30,
         normal=D.ev_normal(),
+        max_test_rows=TEST_SIZE,
     )
     for _ in _ticks(flows, "ts", D.SLICE_DATES, source):
         arrived = spark.readStream.schema(flows.schema).parquet(source)
@@ -155,8 +187,17 @@ def stream_retrain(spark, sf):
     fitted = models.groupBy(F.substring("model_id", 7, 6).cast("int").alias("iteration")).agg(
         F.max("n").alias("fitted_rows")
     )
+    snapshots = tables.read_table(spark, join_path(base, "snapshots"))
+    left = []
+    for tick in range(len(D.SLICE_DATES)):
+        test = used[0] if tick == 0 else tables.read_test_set(spark, join_path(base, "test_sets"))
+        rows = flows.unionByName(snapshots.where(F.col("snapshot_id") <= tick).select(*flows.columns))
+        kept = train_minus_test(rows, test.select(*flows.columns), TEST_SIZE)
+        left.append(kept.where(D.ev_normal()).agg(F.lit(tick).alias("iteration"), F.count("*").alias("left")))
     history = tables.read_history(spark, join_path(base, "history")).drop("ts")
-    return history.join(fitted, "iteration")
+    both = fitted.join(reduce(DataFrame.unionByName, left), "iteration")
+    both = both.withColumn("overlap", F.col("fitted_rows") - F.col("left")).drop("left")
+    return history.join(both, "iteration")
 
 
 @query(
@@ -172,6 +213,24 @@ def stream_summary_tumbling(spark, sf):
     return spark.read.parquet(out)
 
 
+@query(
+    "alert_summary_minutes",
+    f"""WITH {EV_ALERTS}, w AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS s, * FROM alerts),
+  placed AS (SELECT s, event_id, anomaly_type AS kind, count(*) OVER (PARTITION BY s, anomaly_type) AS kind_alerts,
+    row_number() OVER (PARTITION BY s ORDER BY ts DESC, event_id) AS place FROM w)
+  SELECT {t('s')} AS window_start, count(*) AS total_alerts, {SUMMARY_SQL} FROM placed GROUP BY s""",
+)
+def alert_summary_minutes(spark, sf):
+    """The alert summary of each minute, kept up to date over three ticks."""
+    base = work_folder(spark, "alert-summaries")
+    source, out = join_path(base, "source"), join_path(base, "out")
+    rows = D.ev_alerts(spark, sf)
+    for _ in _ticks(rows, "ts", D.SLICE_DATES, source):
+        arrived = spark.readStream.schema(rows.schema).parquet(source)
+        _finish(J.stream_alert_summary(arrived, out, join_path(base, "checkpoint"), ["event_id"]))
+    return summary_text(J.read_alert_summary(spark, out))
+
+
 @query(
     "stream_kpi_sliding",
     f"""WITH {EV_ALERTS}, w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS s, alerts.*
@@ -201,24 +260,42 @@ def stream_dedup(spark, sf):
   CAST(count_if(label = 1 OR flipped) AS BIGINT) AS anomalies, CAST(count_if(flipped) AS BIGINT) AS flipped FROM noisy GROUP BY 1""",
 )
 def stream_running_totals(spark, sf):
-    out, checkpoint = _folders(spark, "stream-totals")
-    noisy = inject_label_noise(
-        _flow_stream(spark, sf), 0.15, ["event_id"], 7, normal="view", flag="flipped"
-    ).withColumn("hour", F.col("x3").cast("int"))
-    _finish(J.stream_running_totals(noisy, out, checkpoint, flag="flipped", by=["hour"]))
-    return J.latest_totals(spark, out)
+    """Three ticks, added up in parts that fold."""
+    base = work_folder(spark, "stream-totals")
+    source, out = join_path(base, "source"), join_path(base, "out")
+    flows = D.ev(spark, sf)
+    for _ in _ticks(flows, "ts", D.SLICE_DATES, source):
+        arrived = spark.readStream.schema(flows.schema).parquet(source)
+        noisy = inject_label_noise(
+            arrived, 0.15, ["event_id"], 7, normal="view", flag="flipped"
+        ).withColumn("hour", F.col("x3").cast("int"))
+        checkpoint = join_path(base, "checkpoint")
+        _finish(J.stream_running_totals(noisy, out, checkpoint, flag="flipped", by=["hour"]))
+    return J.latest_totals(spark, out, ["hour"])
 
 
-@query(
-    "stream_late_rows",
-    f"""SELECT {t("date_trunc('day', ts)")} AS window_start, {t("date_trunc('day', ts) + INTERVAL 1 DAY")} AS window_end,
-  count(*) AS arrived, count(*) AS counted, 0 AS late FROM events
-  WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY date_trunc('day', ts)""",
-)
+LATE_SQL = f"""WITH w AS (SELECT date_trunc('day', ts) AS s, ts, event_type FROM events),
+  first AS (SELECT max(ts) - INTERVAL 10 MINUTE AS closed FROM events WHERE event_type <> 'error'),
+  last AS (SELECT max(ts) - INTERVAL 10 MINUTE AS closed FROM events),
+  c AS (SELECT s, count(*) AS arrived,
+    count_if(event_type = 'error' AND s + INTERVAL 1 DAY <= (SELECT closed FROM first)) AS late FROM w GROUP BY s)
+  SELECT {t('s')} AS window_start, {t('s + INTERVAL 1 DAY')} AS window_end, arrived,
+    CAST(arrived - late AS BIGINT) AS counted, CAST(late AS BIGINT) AS late
+  FROM c WHERE s + INTERVAL 1 DAY <= (SELECT closed FROM last)"""
+
+
+@query("stream_late_rows", LATE_SQL)
 def stream_late_rows(spark, sf):
-    out, checkpoint = _folders(spark, "stream-late")
-    rows = score(_flow_stream(spark, sf), _frozen_model(spark, sf), D.EV_FEATURES)
-    _finish(J.stream_summary(rows, out, checkpoint, "1 day"))
-    flows = D.ev(spark, sf)
-    closed = D.newest_time(flows) - F.expr("INTERVAL 10 MINUTES")
-    return J.late_rows(flows, spark.read.parquet(out), closed, "1 day")
+    """All errors arrive in a second tick, when the days before the last one are closed."""
+    base = work_folder(spark, "stream-late")
+    source, out, late = (join_path(base, name) for name in ("source", "out", "late"))
+    flows = score(D.ev(spark, sf), _frozen_model(spark, sf), D.EV_FEATURES)
+    is_error = F.col("category") == "error"
+    for rows in (flows.where(~is_error), flows.where(is_error)):
+        rows.write.mode("append").parquet(source)
+        arrived = spark.readStream.schema(flows.schema).parquet(source)
+        _finish(J.stream_summary(arrived, out, join_path(base, "checkpoint"), "1 day"))
+        _finish(J.stream_late(arrived, late, join_path(base, "late-checkpoint"), "1 day"))
+    stored = spark.read.schema(flows.schema).parquet(source)
+    closed = D.newest_time(stored) - F.expr("INTERVAL 10 MINUTES")
+    return J.late_rows(stored, spark.read.parquet(out), J.read_late(spark, late), closed, "1 day")

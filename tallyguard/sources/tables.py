@@ -19,6 +19,7 @@ from ..operators.models import latest_rows
 from ..operators.rules import MODEL_TYPE
 from ..schema import MODEL, RETRAIN_EVENT
 from ..session import join_path
+from . import store
 
 VERSION = "version"
 
@@ -44,10 +45,14 @@ def read_table(
 # Alerts ---------------------------------------------------------------------
 
 
-def append_alerts(alerts: DataFrame, path: str, ts: str = "ts") -> None:
-    """Append, partitioned by day so that a time window reads only its days."""
-    dated = alerts.withColumn("alert_date", F.to_date(ts))
-    dated.write.mode("append").partitionBy("alert_date").parquet(path)
+def append_alerts(alerts: DataFrame, path: str, batch: object, ts: str = "ts") -> None:
+    """Add the alerts of one batch, partitioned by day so that a time window reads only its days.
+
+    A batch that is written again replaces its own rows on all days, those on
+    which it has none any more included, and touches no other batch.
+    """
+    dated = alerts.withColumn("alert_date", F.to_date(ts)).drop("batch")
+    dated.write.mode("overwrite").partitionBy("alert_date").parquet(join_path(path, f"batch={batch}"))
 
 
 def read_alerts(
@@ -112,6 +117,11 @@ def capture_snapshot(rows: DataFrame, path: str, snapshot_id: object) -> bool:
     return True
 
 
+def append_training_log(summary: DataFrame, path: str, model_id: str) -> None:
+    """Store the summary row of one training run; the same run again replaces it."""
+    write_part(summary, path, "model_id", model_id)
+
+
 # History and events ---------------------------------------------------------
 
 
@@ -151,45 +161,79 @@ def read_retrain_events(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 # Test sets ------------------------------------------------------------------
+#
+# A version is a folder ``version=N``; its number is claimed first, by a file that
+# only one writer can create.  A reset claims a number as well and stores nothing
+# under it: versions before it can still be read and restored, but none is current.
+
+CLAIMS, SET, RESET = "_claims", "set", "reset"
+
+
+def _claims(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and kind of every claim, in order."""
+    found = [name.split(".") for name in store.names(spark, join_path(path, CLAIMS))]
+    return sorted((int(parts[0]), parts[1]) for parts in found if len(parts) == 2 and parts[0].isdigit())
+
+
+def _claim(spark: SparkSession, path: str, kind: str) -> int:
+    """The next number; of two writers that want the same one, the other takes the next."""
+    taken = [number for number, _ in _claims(spark, path)]
+    number = max([*taken, *stored_versions(spark, path)], default=0) + 1
+    # The number alone decides: a set and a reset cannot both have it.
+    while not store.claim(spark, join_path(path, CLAIMS, "taken", str(number))):
+        number += 1
+    store.claim(spark, join_path(path, CLAIMS, f"{number}.{kind}"))
+    return number
 
 
 def stored_versions(spark: SparkSession, path: str) -> list[int]:
-    table = read_table(spark, path)
-    if table is None:
-        return []
-    return sorted(row[0] for row in table.select(VERSION).distinct().collect())
+    """Numbers of the complete versions, resets aside."""
+    numbers = [int(name.split("=")[1]) for name in store.names(spark, path) if name.startswith(f"{VERSION}=")]
+    return sorted(n for n in numbers if store.is_complete(spark, join_path(path, f"{VERSION}={n}")))
+
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The current version: the newest, unless the set was reset since."""
+    reset = max((number for number, kind in _claims(spark, path) if kind == RESET), default=0)
+    return max((n for n in stored_versions(spark, path) if n > reset), default=None)
 
 
 def add_test_set(test: DataFrame, path: str) -> int:
     """Store a new version and keep the older ones; returns its number."""
-    have = stored_versions(test.sparkSession, path)
-    version = have[-1] + 1 if have else 1
-    write_part(test, path, VERSION, version, mode="errorifexists")
+    version = _claim(test.sparkSession, path, SET)
+    write_part(test, path, VERSION, version)
     return version
 
 
 def read_test_set(
     spark: SparkSession, path: str, version: int | None = None
 ) -> DataFrame | None:
-    """The named version or the newest."""
-    have = stored_versions(spark, path)
-    if not have or (version is not None and version not in have):
+    """The named version or the current one."""
+    wanted = newest_version(spark, path) if version is None else version
+    if wanted not in stored_versions(spark, path):
         return None
-    wanted = have[-1] if version is None else version
     return spark.read.parquet(join_path(path, f"{VERSION}={wanted}"))
 
 
 def restore_test_set(spark: SparkSession, path: str, version: int | None = None) -> int | None:
-    """Make an older version (by default the one before the newest) current again."""
-    have = stored_versions(spark, path)
-    wanted = version if version is not None else (have[-2] if len(have) > 1 else None)
+    """Make an older version (by default the one before the current) current again."""
+    have, current = stored_versions(spark, path), newest_version(spark, path)
+    older = [n for n in have if current is None or n < current]
+    wanted = version if version is not None else (older[-1] if older else None)
     if wanted not in have:
         return None
     return add_test_set(read_test_set(spark, path, wanted), path)
 
 
+def reset_test_set(spark: SparkSession, path: str) -> int | None:
+    """From now on there is no current version, so the next ``create_once`` builds one; None if there was none."""
+    if newest_version(spark, path) is None:
+        return None
+    return _claim(spark, path, RESET)
+
+
 def create_once(spark: SparkSession, path: str, build) -> DataFrame:
-    """The stored test set; built and stored only if there is none.
+    """The current test set; built and stored only if there is none.
 
     ``build`` returns the test set and whether it is the real one.  A fallback
     is handed back but not stored, so the next cycle tries again.
@@ -200,5 +244,10 @@ def create_once(spark: SparkSession, path: str, build) -> DataFrame:
     test, is_real = build()
     if not is_real:
         return test
-    write_part(test, path, VERSION, 1, mode="ignore")
-    return read_test_set(spark, path)
+    return read_test_set(spark, path, add_test_set(test, path))
+
+
+def recreate_test_set(spark: SparkSession, path: str, build) -> DataFrame:
+    """Reset and build anew; what was there stays as an older version."""
+    reset_test_set(spark, path)
+    return create_once(spark, path, build)

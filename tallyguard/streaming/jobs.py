@@ -7,6 +7,7 @@ long-running stream.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.accumulate import SNAPSHOT_ID
+from ..operators.alerts import LATEST, merge_summary_rows, summary_document, summary_rows
 from ..operators.evaluate import evaluate_model
 from ..operators.logs import route_alerts
-from ..operators.moments import feature_moments, merge_moments
+from ..operators.moments import feature_moments, merge_moments, subtract_moments, union_moments
+from ..operators.sampling import rows_in_test
 from ..operators.score import score, score_alerts
 from ..session import join_path
-from ..sources import tables
+from ..sources import parts, tables
 
 WATERMARK = "10 minutes"
 DEDUP_SALTS = 32
-ORIGINAL_PART = -1
 
 
 def read_stream(
@@ -85,9 +87,13 @@ def stream_snapshots(
     return start(rows.writeStream.foreachBatch(keep), checkpoint, interval)
 
 
+# The test set of a history: takes the snapshots so far and tells whether it is the real one.
+BuildTest = Callable[[DataFrame | None], tuple[DataFrame, bool]]
+
+
 def retrain_step(
     original: DataFrame,
-    test: DataFrame,
+    build_test: BuildTest,
     features: Sequence[str],
     targets: Mapping[str, str],
     folder: str,
@@ -95,49 +101,102 @@ def retrain_step(
     normal: Column,
     label: str = "label",
     category: str = "category",
+    max_test_rows: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """What one tick does: snapshot, gate, fit, store, evaluate, record.
+    """What one tick does: snapshot, gate, test set, fit, store, evaluate, record.
+
+    The fit covers the original rows and every snapshot so far, without the rows
+    of the test set (all copies of a test row are left out), yet a tick reads
+    only its own batch: the moments of all rows are kept in parts that fold, and
+    so are the moments of those rows that are in the test set; the model is made
+    from the difference.  History is read once, when the test set is drawn, to
+    find the test rows in it; while ``build_test`` only has a fallback, nothing
+    is stored and the fallback's rows are looked up each time.
 
-    The fit covers the original rows and every snapshot so far, yet a tick
-    reads only its own batch: the moments of each part are kept and merged.
     All outputs are parts named after the batch, so a batch that is run again
-    after a failure replaces its own rows and adds none.
+    after a failure replaces its own rows and adds none.  Success is recorded
+    last, when model, evaluation and history are there.
     """
     snapshots, models = join_path(folder, "snapshots"), join_path(folder, "models")
     history, events = join_path(folder, "history"), join_path(folder, "events")
-    moments = join_path(folder, "moments")
-
-    def remember(rows: DataFrame, part: int) -> None:
-        tables.write_part(feature_moments(rows, features, normal), moments, "part", part)
+    moments, tests = join_path(folder, "moments"), join_path(folder, "test_sets")
+    columns = original.columns
+
+    def measured(rows: DataFrame) -> DataFrame:
+        return feature_moments(rows, features, normal)
+
+    def in_test(rows: DataFrame, test: DataFrame) -> DataFrame:
+        return measured(rows_in_test(rows.select(*columns), test, max_test_rows))
+
+    def captured(spark: SparkSession, batch_id: int) -> DataFrame | None:
+        table = tables.read_table(spark, snapshots)
+        return None if table is None else table.where(F.col(SNAPSHOT_ID) <= batch_id).select(*columns)
+
+    def whole_history(spark: SparkSession, batch_id: int) -> DataFrame:
+        arrived = captured(spark, batch_id)
+        return original if arrived is None else original.unionByName(arrived)
+
+    def held_out(spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """The test set of this tick and the moments of its rows in the history."""
+        version = tables.newest_version(spark, tests)
+        if version is None:
+            test, is_real = build_test(captured(spark, batch_id))
+            if not is_real:
+                return test, in_test(whole_history(spark, batch_id), test)
+        else:
+            test, is_real = None, True
+        test = tables.create_once(spark, tests, lambda: (test, is_real))
+        version = tables.newest_version(spark, tests)
+        held = join_path(folder, "held_out", f"version-{version}")
+        base = tables.read_table(spark, join_path(held, "base"))
+        if base is None:
+            found = in_test(whole_history(spark, batch_id), test)
+            found.withColumn("upto", F.lit(batch_id)).write.mode("overwrite").parquet(join_path(held, "base"))
+            base = tables.read_table(spark, join_path(held, "base"))
+        if batch_id > base.first()["upto"]:
+            batch = tables.read_table(spark, join_path(snapshots, f"{SNAPSHOT_ID}={batch_id}"))
+            if batch is not None:
+                parts.fold_part(in_test(batch, test), join_path(held, "later"), batch_id, union_moments)
+        base = base.drop("upto")
+        later = parts.read_state(spark, join_path(held, "later"), base.schema, batch_id)
+        return test, base if later is None else union_moments(base.unionByName(later))
 
     def tick(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.read_table(spark, join_path(moments, f"part={ORIGINAL_PART}")) is None:
-            remember(original, ORIGINAL_PART)
+        spark, started = batch.sparkSession, time.monotonic()
+        first = tables.read_table(spark, join_path(moments, "original"))
+        if first is None:
+            measured(original).write.mode("overwrite").parquet(join_path(moments, "original"))
+            first = tables.read_table(spark, join_path(moments, "original"))
         if tables.capture_snapshot(batch, snapshots, batch_id):
             # Read the rows back from the snapshot, not again from the source.
             batch = spark.read.parquet(join_path(snapshots, f"{SNAPSHOT_ID}={batch_id}"))
-        remember(batch, batch_id)
-        # A batch that is run again must not see parts of later batches.
-        seen = tables.read_table(spark, moments).where(F.col("part") <= batch_id)
-        now = F.current_timestamp()
+        later = join_path(moments, "later")
+        parts.fold_part(measured(batch), later, batch_id, union_moments)
+        arrived = parts.read_state(spark, later, first.schema, batch_id)
         new_rows = (
-            seen.where((F.col("part") != ORIGINAL_PART) & (F.col("feature") == features[0]))
-            .agg(F.coalesce(F.sum("part_rows"), F.lit(0)))
-            .first()[0]
+            arrived.where(F.col("feature") == features[0]).agg(F.coalesce(F.sum("part_rows"), F.lit(0))).first()[0]
         )
+
+        def record(status: str, message: str = "", model_id: str = "") -> None:
+            took = time.monotonic() - started
+            tables.log_retrain_event(
+                spark, events, batch_id, status, F.current_timestamp(), message, took, model_id
+            )
+
         if new_rows < min_new:
-            tables.log_retrain_event(spark, events, batch_id, "skipped", now, "too few new rows")
+            record("skipped", "too few new rows")
             return
-        model_id = f"cycle_{batch_id:06d}"
+        model_id, now = f"cycle_{batch_id:06d}", F.current_timestamp()
+        test, gone = held_out(spark, batch_id)
+        rest = subtract_moments(union_moments(first.unionByName(arrived)), gone)
         try:
-            model = tables.save_model(merge_moments(seen, features), models, model_id, now)
+            model = tables.save_model(merge_moments(rest, features), models, model_id, now)
         except ValueError as error:
-            tables.log_retrain_event(spark, events, batch_id, "failed", now, str(error))
+            record("failed", str(error))
             return
-        tables.log_retrain_event(spark, events, batch_id, "success", now, model_id=model_id)
         evaluated = evaluate_model(score(test, model, features), targets, label, category)
         tables.append_history(evaluated.withColumn("ts", now), history, batch_id)
+        record("success", model_id=model_id)
 
     return tick
 
@@ -196,6 +255,40 @@ def stream_summary(
     return start(_to_parquet(summary, out), checkpoint, interval)
 
 
+def stream_alert_summary(
+    alerts: DataFrame,
+    out: str,
+    checkpoint: str,
+    key: Sequence[str],
+    length: str = "1 minute",
+    n: int = LATEST,
+    ts: str = "ts",
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Keep the summary of each window in ``out``: total, counts per kind, the newest ``n`` alerts.
+
+    The rows of a batch are merged into parts that fold, so an alert that comes
+    late still counts in its own window.
+    """
+    by = ["window_start"]
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.withColumn("window_start", F.window(F.col(ts).cast("timestamp"), length)["start"])
+        rows = summary_rows(placed, key, by, n, ts)
+        parts.fold_part(rows, out, batch_id, lambda several: merge_summary_rows(several, by, n))
+
+    return start(alerts.writeStream.foreachBatch(keep), checkpoint, interval)
+
+
+def read_alert_summary(spark: SparkSession, out: str, n: int = LATEST) -> DataFrame | None:
+    """A nested row for each window."""
+    stored = parts.stored_spans(spark, out)
+    if not stored:
+        return None
+    rows = parts.read_state(spark, out, parts.schema_of(spark, out, stored[-1]), max(last for _, last in stored))
+    return summary_document(merge_summary_rows(rows, ["window_start"], n), ["window_start"], n)
+
+
 def deduplicate(
     rows: DataFrame, key: Sequence[str], ts: str = "ts", watermark: str = WATERMARK
 ) -> DataFrame:
@@ -235,6 +328,10 @@ def running_totals(
     )
 
 
+def _add_totals(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    return totals.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("generated", "anomalies", "flipped")])
+
+
 def stream_running_totals(
     flows: DataFrame,
     out: str,
@@ -244,51 +341,100 @@ def stream_running_totals(
     by: Sequence[str] = (),
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Keep the newest totals in ``out``, one part per batch."""
+    """Keep the totals so far in ``out``, in parts that fold; no group is kept in the stream's own state."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        tables.write_part(batch, out, "batch_id", batch_id)
+        totals = running_totals(batch, label, flag, by)
+        parts.fold_part(totals, out, batch_id, lambda rows: _add_totals(rows, by))
 
-    totals = running_totals(flows, label, flag, by)
-    return start(totals.writeStream.outputMode("complete").foreachBatch(keep), checkpoint, interval)
+    return start(flows.writeStream.foreachBatch(keep), checkpoint, interval)
 
 
-def latest_totals(spark: SparkSession, out: str) -> DataFrame | None:
-    """Totals of the newest batch; only its folder is read."""
-    totals = tables.read_table(spark, out)
-    if totals is None:
+def latest_totals(spark: SparkSession, out: str, by: Sequence[str] = ()) -> DataFrame | None:
+    """Totals after the newest batch."""
+    stored = parts.stored_spans(spark, out)
+    if not stored:
         return None
-    newest = totals.agg(F.max("batch_id")).first()[0]
-    return totals.where(F.col("batch_id") == newest).drop("batch_id")
+    newest = max(last for _, last in stored)
+    schema = parts.schema_of(spark, out, stored[-1])
+    return _add_totals(parts.read_state(spark, out, schema, newest), by)
+
+
+def stream_late(
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    length: str,
+    ts: str = "ts",
+    watermark: str = WATERMARK,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Write the rows that a tumbling summary of ``length`` drops as too late, one part per batch.
+
+    A row is late if its window ended before the watermark that was in force when
+    its batch began: the newest time of all batches before, less ``watermark``.
+    The newest times are kept in parts that fold, so a batch that is run again
+    comes to the same rows.  Times count in milliseconds, as in the engine.
+    """
+    times, late = join_path(out, "times"), join_path(out, "late")
+
+    def newest(batch: DataFrame) -> DataFrame:
+        return batch.agg(F.max(ts).cast("timestamp").alias("newest"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = newest(batch)
+        before = parts.read_state(spark, times, seen.schema, batch_id - 1)
+        limit = before.agg(F.max("newest")).first()[0] if before is not None else None
+        if limit is not None:
+            in_force = F.date_trunc("millisecond", F.lit(limit)) - F.expr(f"INTERVAL {watermark}")
+            behind = batch.where(F.window(F.col(ts), length)["end"] <= in_force)
+            tables.write_part(behind, late, "batch_id", batch_id)
+        parts.fold_part(seen, times, batch_id, lambda rows: rows.agg(F.max("newest").alias("newest")))
+
+    return start(rows.writeStream.foreachBatch(keep), checkpoint, interval)
+
+
+def read_late(spark: SparkSession, out: str) -> DataFrame | None:
+    return tables.read_table(spark, join_path(out, "late"))
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows (after partial aggregation) that the engine reports as dropped by the watermark."""
+    progress = query.recentProgress
+    return sum(state["numRowsDroppedByWatermark"] for p in progress for state in p["stateOperators"])
 
 
 def late_rows(
     source: DataFrame,
     windows: DataFrame,
+    late: DataFrame | None,
     closed_before: Column,
     length: str,
     ts: str = "ts",
 ) -> DataFrame:
-    """Source rows per closed window against the rows that were counted in it.
+    """Source rows per closed window, how many were counted in it, and how many came too late.
 
-    What is missing came after the watermark.  ``windows`` is the output of a
-    tumbling ``stream_summary`` without further grouping.
+    ``windows`` is the output of a tumbling ``stream_summary`` without further
+    grouping, ``late`` that of ``stream_late`` over the same rows.  The three
+    figures come from three places: where ``arrived`` is not ``counted`` plus
+    ``late``, rows were lost in another way.
     """
-    arrived = (
-        source.groupBy(F.window(ts, length).alias("window"))
-        .agg(F.count("*").alias("arrived"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "arrived",
+
+    def by_window(rows: DataFrame, name: str) -> DataFrame:
+        counted = rows.groupBy(F.window(ts, length).alias("window")).agg(F.count("*").alias(name))
+        return counted.select(
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), name
         )
-        .where(F.col("window_end") <= closed_before)
-    )
+
+    arrived = by_window(source, "arrived").where(F.col("window_end") <= closed_before)
     counted = windows.select("window_start", F.col("alerts").alias("counted"))
-    return arrived.join(counted, "window_start", "left").select(
+    behind = by_window(source.limit(0) if late is None else late, "late").drop("window_end")
+    joined = arrived.join(counted, "window_start", "left").join(behind, "window_start", "left")
+    return joined.select(
         "window_start",
         "window_end",
         "arrived",
         F.coalesce("counted", F.lit(0)).alias("counted"),
-        (F.col("arrived") - F.coalesce("counted", F.lit(0))).alias("late"),
+        F.coalesce("late", F.lit(0)).alias("late"),
     )

@@ -194,6 +194,15 @@ def test_log_lines_and_flows(spark, tmp_path):
     got = files.scan_flows(spark, str(csv), columns, ["dur", "proto"], "label").collect()
     assert [(r.dur, r.label) for r in got] == [(1.5, 0), (2.0, None), (3.0, 1)]
     assert [r.proto for r in got][::2] == [282.0, 692.0]
+    # An empty cell is a value, a cell that a short row lacks is none; quotes may hide commas.
+    csv.write_text('dur,proto,label\n,tcp,1\n2,,0\n"",udp\n4\n5,"a,""b",1\n,\n')
+    cells = files.scan_flows(spark, str(csv), columns).collect()
+    assert [tuple(r) for r in cells] == [
+        ("", "tcp", "1"), ("2", "", "0"), ("", "udp", None), ("4", None, None), ("5", 'a,"b', "1"), ("", "", None),
+    ]
+    got = files.scan_flows(spark, str(csv), columns, ["dur", "proto"], "label").collect()
+    assert [r.dur for r in got] == [0.0, 2.0, 0.0, 4.0, 5.0, 0.0] and [r.proto is None for r in got][3] and got[1].proto == 0.0
+    assert files.scan_flows(spark, str(csv), columns).select("proto").where("proto IS NULL").count() == 1
     csv.write_text("la bel,proto,more,dur\n1,udp,9,4\n")
     moved = files.scan_flows(spark, str(csv), columns, ["dur"], "label")
     assert [tuple(r) for r in moved.collect()] == [(4.0, "udp", 1)]
@@ -231,10 +240,47 @@ def test_bands_and_kpis(spark):
 def test_stored_alerts_are_read_by_day(spark, tmp_path):
     path = str(tmp_path / "alerts")
     assert tables.read_alerts(spark, path) is None
-    tables.append_alerts(alert_rows(spark), path)
-    tables.append_alerts(alert_rows(spark).withColumn("ts", F.expr("ts + INTERVAL 1 DAY")), path)
+    tables.append_alerts(alert_rows(spark), path, 0)
+    later = alert_rows(spark).withColumn("ts", F.expr("ts + INTERVAL 1 DAY"))
+    tables.append_alerts(later.unionByName(later.withColumn("ts", F.expr("ts + INTERVAL 5 DAY"))), path, 1)
+    tables.append_alerts(later, path, 1)  # again, now without rows on the last day
+    assert tables.read_alerts(spark, path).count() == 10
     since = F.lit("2025-01-02 03:00:00").cast("timestamp")
     recent = tables.read_alerts(spark, path, since)
     assert recent.count() == 2
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(alert_date" in plan
+
+
+def test_a_report_written_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    for report_id, n in (("a", 1), ("b", 2), ("a", 3)):
+        files.write_report(spark.range(n).select(F.lit(n).alias("n")), path, report_id)
+    schema = spark.range(0).select(F.lit(0).alias("n")).schema
+    assert sorted(r.n for r in files.read_report(spark, path, schema).collect()) == [2, 2, 3, 3, 3]
+
+
+def test_alert_documents_do_not_grow_with_a_repeated_key(spark, tmp_path):
+    alerts = spark.range(0, 900, 1, 3).select(F.lit(7).alias("sample_id"), F.lit(0.5).alias("confidence"))
+    path = str(tmp_path / "documents")
+    files.write_alert_documents(alerts, path, ["sample_id"], 100)
+    sizes = spark.read.text(path).select(F.size(F.from_json("value", "array<map<string,string>>")).alias("n"))
+    assert sizes.agg(F.sum("n")).first()[0] == 900 and sizes.agg(F.max("n")).first()[0] < 300
+
+
+def test_alert_summary(spark):
+    rows = [(i, f"2025-01-01 00:00:{i % 40:02d}" if i else None, "b" if i % 3 else None, 0.5) for i in range(60)]
+    alerts = spark.createDataFrame(rows, "id int, t string, anomaly_type string, confidence double")
+    alerts = alerts.withColumn("ts", F.col("t").cast("timestamp")).repartition(4)
+    got = A.alert_summary(alerts, ["id"]).first()
+    assert got.total_alerts == 60 and got.alert_types == {"b": 40, "Unknown": 20}
+    newest = sorted((r for r in rows if r[1]), key=lambda r: (r[1], -r[0]), reverse=True)[:10]
+    assert [a.id for a in got.latest_alerts] == [r[0] for r in newest]
+    # Rows of parts merge to the rows of the whole.
+    halves = [A.summary_rows(alerts.where(F.col("id") % 2 == k), ["id"]) for k in (0, 1)]
+    merged = A.summary_document(A.merge_summary_rows(halves[0].unionByName(halves[1]))).first()
+    assert merged == got
+    empty = A.alert_summary(alerts.limit(0), ["id"]).first()
+    assert (empty.total_alerts, empty.alert_types, empty.latest_alerts) == (0, {}, [])
+    plan = A.summary_rows(alerts, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

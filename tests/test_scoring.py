@@ -205,8 +205,10 @@ def test_target_selection(spark):
         [("Normal", 0), ("Backdoors", 0), ("DoS", 1), (None, 0)], "category string, label int"
     )
     got = {(r.category, r.label, r.stratum) for r in E.select_target_categories(rows).collect()}
-    assert got == {("Normal", 0, "normal"), ("Backdoors", 1, "target"), (None, 0, "normal")}
-    assert [tuple(r) for r in E.excluded_categories(rows).collect()] == [("DoS", 1)]
+    assert got == {("Normal", 0, "normal"), ("Backdoors", 1, "target")}
+    assert [tuple(r) for r in E.excluded_categories(rows).collect()] == [("DoS", 1), ("Unknown", 1)]
+    strata = rows.select(E.stratum(F.col("category"), "Normal", ["Backdoors"]).alias("s")).collect()
+    assert [r.s for r in strata] == ["normal", "target", "other", "other"]
     layouts = [
         E.split_features_label(rows.withColumn("x", F.lit(1)), ["x"], include_category=flag).first().features
         for flag in (True, False)

@@ -233,3 +233,51 @@ def test_create_once_stores_only_the_real_set(spark, tmp_path):
     assert fallback.count() == 3 and tables.read_test_set(spark, path) is None
     assert tables.create_once(spark, path, lambda: (flows(spark, 4, 0), True)).count() == 4
     assert tables.create_once(spark, path, lambda: (flows(spark, 9, 0), True)).count() == 4
+
+
+def test_versions_of_two_writers_and_reset(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "sets")
+    with ThreadPoolExecutor(2) as pool:
+        numbers = list(pool.map(lambda n: tables.add_test_set(spark.range(n), path), (3, 4)))
+    assert sorted(numbers) == [1, 2] and tables.stored_versions(spark, path) == [1, 2]
+    assert tables.read_test_set(spark, path, numbers[1]).count() == 4
+    assert tables.reset_test_set(spark, path) == 3 and tables.reset_test_set(spark, path) is None
+    assert tables.read_test_set(spark, path) is None and tables.read_test_set(spark, path, 1) is not None
+    assert tables.create_once(spark, path, lambda: (spark.range(9), False)).count() == 9
+    assert tables.create_once(spark, path, lambda: (spark.range(5), True)).count() == 5
+    assert tables.newest_version(spark, path) == 4
+    assert tables.create_once(spark, path, lambda: (spark.range(6), True)).count() == 5
+    assert tables.restore_test_set(spark, path, numbers[0]) == 5 and tables.read_test_set(spark, path).count() == 3
+    assert tables.recreate_test_set(spark, path, lambda: (spark.range(8), True)).count() == 8
+
+
+def test_bitmap_keeps_unmarked_rows_in_place(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 4999, F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    test = rows.where("v >= 40 AND v < 60")
+    maybe, absent = T.split_by_bitmap(rows, T.id_bitmap(test.select("k")), "k")
+    assert maybe.count() + absent.where("k IS NOT NULL").count() == 4999 and absent.where("k IS NULL").count() == 1
+    assert test.join(absent, "k").count() == 0 and maybe.count() < 30
+    kept = T.exclude_by_fingerprint(rows, test, "k")
+    assert kept.count() == 4980 and kept.where("k IS NULL").count() == 1
+    bits = T.id_bitmap(test.select("k")).first().bits
+    assert len(bits) == T.BITMAP_WORDS and sum(b.bit_count() if b >= 0 else (b & (1 << 64) - 1).bit_count() for b in bits) == 20
+    # The branch of unmarked rows has no exchange above the table.
+    plan = absent._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in above and "Exchange SinglePartition" not in above
+
+
+def test_counted_rows_are_shuffled_once(spark, tmp_path):
+    spark.range(3000).select((F.col("id") % 100).alias("a"), F.lit("N").alias("category"), F.lit(0).alias("label")).write.parquet(
+        str(tmp_path / "rows")
+    )
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    numbered = T.with_copy_number(rows)
+    assert numbered.groupBy("a").agg(F.max("copy_no").alias("m")).where("m <> 30").isEmpty() and numbered.count() == 3000
+    sampled = T.fixed_test_set(numbered, ["a", "category", "label", "copy_no"], 100, normal="N", targets=("R",))
+    sampled.collect()
+    plan = sampled._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Shuffles keyed by the table's own columns: one, whichever branch reads it; the others reuse it.
+    assert plan.count("ReusedExchange") >= 1
