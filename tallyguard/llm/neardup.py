@@ -2,28 +2,33 @@
 
 A document is the multiset of its five-word shingles (lower-cased A-Z, words
 between ASCII white space).  Shingles are sampled by improved consistent
-weighted sampling, once with weight tf * idf and once with tf alone.  Four samples
-make a band, twenty bands of each kind a signature; documents that share a band
+weighted sampling, once with weight tf * idf and once with tf alone.  Three samples
+make a band, fifteen bands of each kind a signature; documents that share a band
 are candidates, and a candidate pair is a link if the weighted Jaccard similarity
 of the two multisets is 0.8 or more.  There the weights are the term frequencies
 alone: a link should not be lost because a group is large and its shingles
 therefore common.  The bands of tf sample just that similarity, so a pair at 0.8
-shares none of them in (1 - 0.8^4)^20 = 0.003 % of cases, whatever the idf.
+shares none of them in (1 - 0.8^3)^15 = 0.002 % of cases, whatever the idf.
 
 Document frequencies are kept in a table of ``COUNTERS`` hashed counters, whose
 size does not depend on the corpus; it is the only thing that is broadcast
 without a check.  A shingle that is rarer than about one document in ten
 thousand gets the idf of its counter, at every corpus size.
 
-Equal texts are one class from the start.  The classes that share a band are
-first compared with the smallest of them; components of these links are formed,
-and then all classes that share a band but lie in different components are
-compared, so no pair of candidates is left out.
+Equal texts are one node from the start.  In every band the most popular node (the
+one whose bands hold most members: a text that many others were made from) is
+compared with all others, components of the links are formed, and the rest goes on
+with the next pivot, so a large group is found by comparisons in proportion to its
+size.  When few pairs are left between different components, all of them are
+compared.  Only pairs that are in one component already are left out, so the
+classes are those of all candidate pairs.
 
 Defined cases: a document without a word (null, empty, white space) is a group
-of its own; a text of fewer than five words is one shingle; rows that repeat a
-doc_id count as one document; ties take the smallest id; an empty table gives an
-empty result; only the named columns are read.
+of its own; a text of fewer than five words is one shingle; a class is named by
+its smallest doc_id, and null ids count as the largest; rows that repeat a doc_id
+with other texts are nodes of their own and appear with the class of each; ties
+take the smallest id; an empty table gives an empty result; only the named
+columns are read, and extra columns may have any names.
 """
 
 from __future__ import annotations
@@ -38,16 +43,18 @@ from pyspark.sql import functions as F
 
 from tallyguard.session import bounded_broadcast
 
-from .tables import Steps, components, with_ids, without_ids
+from .tables import Steps, components
 from .words import LOWER, Prefix, U, mix, shingles, slices, small_batches, text_bytes, word_spans
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 4  # bands of each kind of weight
+BANDS, ROWS = 15, 3  # bands of each kind of weight
 COUNTERS = 1 << 22
 CHUNK = 1 << 16
 BINS = 256
 _KEEP = U((1 << 44) - 1)
+# Pivots are tried as long as a member has more candidates than this, but not in more rounds.
+PAIRS_A_MEMBER, PIVOTS = 4, 8
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,9 +78,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             if counts is None:
-                counts = np.zeros(COUNTERS, np.uint32)
+                counts = np.zeros(COUNTERS, U)
             _, hashes, _ = features(part.column("text"))
-            np.add.at(counts, (hashes % U(COUNTERS)).astype(np.int64), np.uint32(1))
+            np.add.at(counts, (hashes % U(COUNTERS)).astype(np.int64), U(1))
     if counts is not None:
         yield from _chunks(counts)
 
@@ -81,14 +88,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _chunks(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for i in range(0, COUNTERS, CHUNK):
         # Byte planes: the high ones are nearly all zero and compress away.
-        planes = np.ascontiguousarray(counts[i : i + CHUNK].view(np.uint8).reshape(-1, 4).T).tobytes()
+        planes = np.ascontiguousarray(counts[i : i + CHUNK].view(np.uint8).reshape(-1, 8).T).tobytes()
         yield pa.RecordBatch.from_pydict(
             {"chunk": [i // CHUNK], "counts": [planes]}, schema=pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
         )
 
 
 def _counts_of(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(U).ravel()
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +105,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = _counts_of(planes.as_buffer())
             total[chunk] = total[chunk] + counts if chunk in total else counts.copy()
     for chunk, counts in total.items():
-        planes = np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T).tobytes()
+        planes = np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes()
         yield pa.RecordBatch.from_pydict(
             {"chunk": [chunk], "counts": [planes]}, schema=pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
         )
@@ -109,7 +116,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     schema = "chunk int, counts binary"
     partial = texts.select("text").mapInArrow(_count, schema)
     summed = partial.repartition(COUNTERS // CHUNK, "chunk").mapInArrow(_sum, schema)
-    out = np.zeros(COUNTERS, np.uint32)
+    out = np.zeros(COUNTERS, U)
     for row in summed.collect():
         out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = _counts_of(bytes(row["counts"]))
     return out
@@ -127,33 +134,46 @@ def _gamma() -> tuple[np.ndarray, np.ndarray]:
     return low.astype(np.float32), np.log(low).astype(np.float32)
 
 
-def signatures(row: np.ndarray, hashes: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that have features and the band keys of each, ``BANDS`` for each of the weights.
+def signatures(row: np.ndarray, hashes: np.ndarray, idf: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that have features and the band keys of each: ``BANDS`` by tf * idf, then ``BANDS`` by tf.
 
     Sample k of a document is the pair (shingle, t) with the least ln a, where
     t = floor(ln w / r + b) and ln a = ln c - r (t - b) - r, with r and c from a
     gamma distribution and b uniform, all three drawn by hashing the shingle.
-    Bands of different weights are sampled by the same draws.
+    Both weights are sampled by the same draws.  For a weight of 1, that of most
+    shingles by tf, t is 0 and ln a is ln c - r (1 - b).
     """
     if not len(row):
-        return row, np.zeros((0, BANDS * len(weights)), np.int64)
+        return row, np.zeros((0, BANDS * 2), np.int64)
     quantile, log_quantile = _gamma()
     starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
     place = np.cumsum(np.append(True, row[1:] != row[:-1])) - 1
-    log_weights = [np.log(weight).astype(np.float32) for weight in weights]
-    bands = np.zeros((len(starts), BANDS * len(weights)), U)
+    log_weight = np.log(tf * idf).astype(np.float32)
+    many = np.flatnonzero(tf > 1)
+    log_many = np.log(tf[many]).astype(np.float32)
+    bands = np.zeros((len(starts), BANDS * 2), U)
+    t_of_tf = np.zeros(len(row), np.float32)
+
+    def least(log_a: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(log_a == np.minimum.reduceat(log_a, starts)[place])
+        if len(at) > len(starts):  # of ties the smallest hash
+            at = at[np.append(True, place[at][1:] != place[at][:-1])]
+        return at
+
     for k in range(BANDS * ROWS):
         drawn = mix(hashes + U(k + 1) * U(0xA0761D6478BD642F))
         r = quantile[(drawn >> U(48)).astype(np.int32)]
-        b = ((drawn >> U(16)) & U(0xFFFF)).astype(np.float32) / np.float32(65536)
-        log_c = log_quantile[((drawn >> U(32)) & U(0xFFFF)).astype(np.int32)]
-        for i, log_weight in enumerate(log_weights):
-            t = np.floor(log_weight / r + b)
-            log_a = log_c - r * (t - b) - r
-            least = np.minimum.reduceat(log_a, starts)
-            at = np.flatnonzero(log_a == least[place])
-            at = at[np.append(True, place[at][1:] != place[at][:-1])]  # of ties the smallest hash
-            sample = mix(hashes[at] ^ (t[at].astype(np.int64).astype(U) << U(44)))
+        b = (drawn >> U(16)).astype(np.uint16).astype(np.float32) * np.float32(1 / 65536)
+        by_tf = log_quantile[(drawn >> U(32)).astype(np.uint16)]
+        by_tf -= r * (1 - b)
+        t = np.floor(log_weight / r + b)
+        by_both = by_tf - r * t
+        if len(many):
+            t_of_tf[many] = np.floor(log_many / r[many] + b[many])
+            by_tf[many] -= r[many] * t_of_tf[many]
+        for i, (log_a, index) in enumerate(((by_both, t), (by_tf, t_of_tf))):
+            at = least(log_a)
+            sample = mix(hashes[at] ^ (index[at].astype(np.int64).astype(U) << U(44)))
             band = i * BANDS + k // ROWS
             bands[:, band] = mix(bands[:, band] ^ (sample + U(band + 1)))
     return row[starts], bands.view(np.int64)
@@ -175,22 +195,23 @@ def signed(texts: DataFrame, frequencies: np.ndarray, n_docs: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 row, hashes, tf = features(part.column("text"))
-                weight = tf * shared.value[(hashes % U(COUNTERS)).astype(np.int64)]
-                rows, bands = signatures(row, hashes, weight, tf)
-                lists: list = [None] * part.num_rows
-                for i, keys in zip(rows.tolist(), bands.tolist()):
-                    lists[i] = keys
+                rows, bands = signatures(row, hashes, shared.value[(hashes % U(COUNTERS)).astype(np.int64)], tf)
+                held = np.zeros(part.num_rows, np.int64)
+                held[rows] = bands.shape[1]
+                offsets = np.append(0, np.cumsum(held)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, bands.ravel(), mask=pa.array(held == 0))
                 size = pa.array(np.bincount(row, tf, part.num_rows).astype(np.int64))
                 counts = np.bincount(row * BINS + (hashes & U(BINS - 1)).astype(np.int64), tf, part.num_rows * BINS)
                 counts = counts.reshape(-1, BINS)
                 fits = counts.max(axis=1) < 1 << 15
-                counts = pa.array([c if ok else None for c, ok in zip(counts.astype(np.int16), fits)], pa.list_(pa.int16()))
+                offsets = np.arange(part.num_rows + 1, dtype=np.int32) * BINS
+                counts = pa.ListArray.from_arrays(offsets, np.where(fits[:, None], counts, 0).astype(np.int16).ravel(), mask=pa.array(~fits))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("fp"), size, counts, pa.array(lists, pa.list_(pa.int64()))],
+                    [part.column("doc_id"), part.column("fp"), size, counts, lists],
                     ["doc_id", "fp", "size", "counts", "bands"],
                 )
 
-    return texts.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text").mapInArrow(run, SIGNED)
+    return texts.select("doc_id", "fp", "text").mapInArrow(run, SIGNED)
 
 
 def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -215,12 +236,28 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def verified(steps: Steps, texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose texts are similar; texts are fetched for these ids alone."""
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v"))
-    needed = steps.write(with_ids(steps, texts, ids))
-    a = needed.select(F.col("doc_id").alias("u"), "text")
-    b = needed.select(F.col("doc_id").alias("v"), F.col("text").alias("text_b"))
+def verified(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of nodes (u, v) that are similar.
+
+    What two texts share is at most the sum of the lesser counts, so most others
+    go by their counts; only texts of the pairs that remain are fetched.
+    """
+    x = nodes.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("counts").alias("counts_u"))
+    y = nodes.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("counts").alias("counts_v"))
+    shared_most = F.aggregate(
+        F.zip_with("counts_u", "counts_v", lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
+    )
+    enough = shared_most * F.lit(1 + SIMILARITY) >= (F.col("size_u") + F.col("size_v")) * F.lit(SIMILARITY - 1e-9)
+    pairs = pairs.join(x, "u").join(y, "v").where(F.coalesce(enough, F.lit(True))).select("u", "v")
+    pairs = steps.write(pairs)
+    ids = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = steps.write(nodes.select("node", "fp", F.col("name").alias("doc_id")).join(ids, "node"))
+    same = texts["fp"].eqNullSafe(wanted["fp"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
+    found = texts.join(bounded_broadcast(wanted, wanted.count()), same).select("node", "text")
+    # A row may be repeated; its text is one all the same.
+    needed = steps.write(found.groupBy("node").agg(F.first("text").alias("text")))
+    a = needed.select(F.col("node").alias("u"), "text")
+    b = needed.select(F.col("node").alias("v"), F.col("text").alias("text_b"))
     rows = pairs.join(b, "v").join(a, "u").select("u", "v", "text", "text_b")
     return steps.write(rows.mapInArrow(_links, "u bigint, v bigint").distinct())
 
@@ -230,67 +267,125 @@ def _sizes_allow(a: str, b: str) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * F.lit(SIMILARITY)
 
 
-def duplicate_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, class_id for each row of ``docs``; the class is named by its smallest id."""
+def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows with the component of their node, in bands that hold several components."""
+    if roots is not None:
+        rows = rows.drop("root").join(roots.withColumnRenamed("id", "node"), "node", "left")
+        rows = rows.withColumn("root", F.coalesce("root", "node"))
+    mixed = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
+    return rows.join(mixed.select("band"), "band")
+
+
+def _pairs_left(rows: DataFrame) -> tuple[int, int]:
+    """Number of rows, and of pairs of one band between different components."""
+    by_root = rows.groupBy("band", "root").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    by_band = by_root.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    total = by_band.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
+    return total["n"] or 0, total["pairs"] or 0
+
+
+def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """id, root of every node that has a link; None without any."""
+    member = steps.write(nodes.select("node", "size", F.explode("bands").alias("band")).distinct())
+    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    member = steps.write(member.join(shared, "band"))
+    popular = member.groupBy("node").agg(F.sum("n").alias("popular"))
+    rows = member.drop("n").join(popular, "node").withColumn("root", F.col("node"))
+    rows, links, roots, tried = steps.write(rows), None, None, None
+    for step in range(PIVOTS + 1):
+        n, pairs = _pairs_left(rows)
+        if not pairs:
+            break
+        last = pairs <= PAIRS_A_MEMBER * n or step == PIVOTS
+        if last:
+            rows = steps.write(rows.join(nodes.select("node", "bands"), "node"))
+            x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in ("node", "root", "size", "bands")])
+            y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in ("node", "root", "size", "bands")])
+            # A pair comes from the first band that it shares, and from no other.
+            first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("band")
+            found = x.join(y, "band").where("node_u < node_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
+            found = found.where(first).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+        else:
+            order = F.struct(F.col("popular"), (-F.col("node")).alias("node"))
+            pivot = rows.groupBy("band").agg(F.max_by(F.struct("node", "root", "size"), order).alias("p"))
+            beside = rows.join(pivot, "band").where("node <> p.node").where("root <> p.root")
+            found = beside.where(_sizes_allow("size", "p.size")).select(
+                F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")
+            )
+            found = found.distinct()
+            rows = rows.join(pivot.select("band", F.col("p.node").alias("node")), ["band", "node"], "left_anti")
+        found = steps.write(found if tried is None else found.join(tried, ["u", "v"], "left_anti"))
+        more = verified(steps, texts, nodes, found)
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+            roots = components(steps, links)
+        if last:
+            break
+        tried = found if tried is None else tried.unionByName(found)
+        rows = steps.write(_with_roots(rows, roots))
+    return roots
+
+
+def classified(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """A row for each of ``docs``: doc_id, fp (digest of the text), blank, class_id, and the node that the class keeps.
+
+    ``keep_id`` and ``keep_fp`` are doc_id and digest of the first text of the class.
+    """
     small_batches(spark)
     steps = Steps(spark, "near-duplicates")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = steps.write(signed(texts, document_frequencies(texts), texts.count()))
-
-    same = table.where("bands IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "counts", "bands")]
+    text = F.col("text").cast("string")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(F.coalesce(text, F.lit(""))).alias("fp")
     )
-    same = steps.write(same)
-    member = same.where("rep IS NOT NULL").select("rep", "size", F.explode("bands").alias("band"))
-    member = steps.write(member.distinct())
-    low = F.min(F.struct("rep", "size")).alias("low")
-    shared = member.groupBy("band").agg(low, F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = steps.write(shared.select("band", F.col("low.rep").alias("low"), F.col("low.size").alias("low_size")))
-    stars = member.join(shared, "band").where("rep <> low").where(_sizes_allow("size", "low_size"))
-    stars = steps.write(stars.select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct())
-    links = verified(steps, texts, stars)
-    roots = components(steps, links)
-
-    # Members of one band that the links so far leave in different components.
-    # What two documents share is at most the sum of the lesser counts, so pairs
-    # that cannot reach the similarity end in the join.
-    open_ = member.join(shared.select("band"), "band").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    open_ = steps.write(open_.select("band", "rep", F.coalesce("root", "rep").alias("root")))
-    mixed = open_.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-    open_ = open_.join(mixed.select("band"), "band").join(same.select("rep", "size", "counts"), "rep")
-    open_ = steps.write(open_)
-    x = open_.select("band", *[F.col(c).alias(f"{c}_u") for c in ("rep", "root", "size", "counts")])
-    y = open_.select("band", *[F.col(c).alias(f"{c}_v") for c in ("rep", "root", "size", "counts")])
-    shared_most = F.aggregate(
-        F.zip_with("counts_u", "counts_v", lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
+    table = steps.write(signed(texts, document_frequencies(texts), texts.count()))
+    nodes = table.where("bands IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("name"), *[F.first(c).alias(c) for c in ("size", "counts", "bands")]
     )
-    enough = shared_most * F.lit(1 + SIMILARITY) >= (F.col("size_u") + F.col("size_v")) * F.lit(SIMILARITY - 1e-9)
-    rest = x.join(y, "band").where("rep_u < rep_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
-    rest = rest.where(F.coalesce(enough, F.lit(True)))
-    rest = rest.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")).distinct()
-    rest = steps.write(rest.join(stars, ["u", "v"], "left_anti"))
-    more = verified(steps, texts, rest)
-    roots = roots if more.isEmpty() else components(steps, links.unionByName(more))
-
-    named = same.select("fp", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("fp", F.coalesce("root", "rep").alias("class_id"))
-    return (
-        table.select("doc_id", "fp", F.col("bands").isNull().alias("blank"))
-        .join(named, "fp", "left")
-        .select("doc_id", F.when(F.col("blank"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    # Written at once, so that the numbers stay what they are.
+    nodes = steps.write(nodes.withColumn("node", F.monotonically_increasing_id()))
+    roots = node_components(steps, texts, nodes)
+    named = nodes.select("node", "fp", "name")
+    if roots is None:
+        named = named.withColumn("root", F.col("node"))
+    else:
+        named = named.join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = steps.write(named)
+    first = F.min_by(F.struct("name", "fp"), F.struct(F.col("name").isNull(), F.col("name"), F.col("fp"))).alias("keep")
+    classes = named.join(named.groupBy("root").agg(first), "root").select(
+        "fp", F.col("keep.name").alias("keep_id"), F.col("keep.fp").alias("keep_fp")
     )
+    found = table.select("doc_id", "fp", F.col("bands").isNull().alias("blank")).join(classes, "fp", "left")
+    return found.withColumn("class_id", F.when(F.col("blank"), F.col("doc_id")).otherwise(F.col("keep_id")))
+
+
+def duplicate_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, class_id for each row of ``docs``."""
+    return classified(spark, docs).select("doc_id", "class_id")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class, one for each class."""
+    """One row of ``docs`` for each class, and every row without a word.
+
+    A row is known by its doc_id and its text together, both null-safe, so no
+    text goes because of another one with the same id.
+    """
     steps = Steps(spark, "one-of-each")
-    classes = steps.write(duplicate_classes(spark, docs))
-    kept = without_ids(steps, docs, classes.where("doc_id <> class_id"))
-    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if ids.isEmpty():
-        return kept
-    again = kept.join(bounded_broadcast(ids.select(F.col("doc_id").alias("_again")), None), F.col("doc_id") == F.col("_again"), "left_semi")
-    return without_ids(steps, kept, ids).unionByName(again.dropDuplicates(["doc_id"]))
+    rows = steps.write(classified(spark, docs).where("NOT blank"))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("fp") == F.col("keep_fp"))
+    pairs = rows.groupBy("doc_id", "fp").agg(F.first(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = steps.write(pairs.where("NOT kept OR n > 1").select(F.col("doc_id").alias("id"), F.col("fp").alias("digest"), "kept"))
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("fp"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("digest"))
+    out = packed.join(bounded_broadcast(odd, odd.count()), same, "left_anti").select("row.*")
+    again = odd.where("kept")
+    if again.isEmpty():
+        return out
+    again = packed.join(bounded_broadcast(again, again.count()), same, "left_semi")
+    return out.unionByName(again.groupBy("doc_id", "fp").agg(F.first("row").alias("row")).select("row.*"))
 
 
 def query(spark: SparkSession, sf: str) -> DataFrame:

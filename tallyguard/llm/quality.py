@@ -7,8 +7,9 @@ cascade asks first the rule that rejects most per second.
 
 Defined cases: a null or empty text has no words, figures 0, and is rejected by
 the length rule; repeated rows are judged one by one; an empty table gives an
-empty result; columns of the input that clash with the names used here are
-left as they are, because all work is done under names of its own.
+empty result; columns of the input may have any names, because all work is done
+on columns known by their place (``judge`` alone replaces columns that have the
+names of its results).
 """
 
 from __future__ import annotations
@@ -166,11 +167,18 @@ def verdict(order: list[str], q=_q) -> Column:
     return passed
 
 
+def _by_place(df: DataFrame) -> DataFrame:
+    """The columns named ``c0``, ``c1``, ..., which no helper is named."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def judge(df: DataFrame, text: str = "text", order: list[str] | None = None) -> DataFrame:
     """``df`` with ``_q`` (all figures), ``_base_failed`` and ``_kept``."""
     order = order or cascade_order(df, text)
     base = [name for name in order if name in BASE_RULES]
-    return with_figures(df, text, once=True).withColumns({"_base_failed": ~verdict(base), "_kept": verdict(order)})
+    found = with_figures(_by_place(df), f"c{df.columns.index(text)}", once=True)
+    old = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c not in ("_q", "_base_failed", "_kept")]
+    return found.select(*old, "_q", (~verdict(base)).alias("_base_failed"), verdict(order).alias("_kept"))
 
 
 def keep_good(df: DataFrame, text: str = "text", order: list[str] | None = None) -> DataFrame:
@@ -179,8 +187,9 @@ def keep_good(df: DataFrame, text: str = "text", order: list[str] | None = None)
     A figure is computed when the first rule asks for it, so a rejected row
     never pays for the rules after that; each figure is computed once.
     """
-    out, known = _with_text(df, text), set()
-    for name in order or cascade_order(df, text):
+    order = order or cascade_order(df, text)
+    out, known = _with_text(_by_place(df), f"c{df.columns.index(text)}"), set()
+    for name in order:
         needs, rejects = RULES[name]
         fresh = {}
         for figure in needs:
@@ -190,7 +199,7 @@ def keep_good(df: DataFrame, text: str = "text", order: list[str] | None = None)
                 known.add(figure)
         out = compute_once(out, fresh) if fresh else out
         out = out.where(~rejects(lambda figure: F.col(f"_q_{figure}")))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def query(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,16 +55,22 @@ def components(steps: Steps, edges: DataFrame) -> DataFrame:
     return steps.write(root)
 
 
+def _match_ids(steps: Steps, docs: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    name = "id"
+    while name in docs.columns:
+        name += "_"
+    ids = steps.write(ids.select(F.col(key).alias(name)).distinct())
+    return docs.join(bounded_broadcast(ids, ids.count()), F.col(key).eqNullSafe(F.col(name)), how)
+
+
 def without_ids(steps: Steps, docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose key is among the (distinct) ``ids``.
 
     The ids are counted first and broadcast only while they are few.
     """
-    ids = steps.write(ids.select(F.col(key).alias("_gone")).distinct())
-    return docs.join(bounded_broadcast(ids, ids.count()), F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return _match_ids(steps, docs, ids, key, "left_anti")
 
 
 def with_ids(steps: Steps, docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose key is among ``ids``, found in the same way."""
-    ids = steps.write(ids.select(F.col(key).alias("_there")).distinct())
-    return docs.join(bounded_broadcast(ids, ids.count()), F.col(key).eqNullSafe(F.col("_there")), "left_semi")
+    return _match_ids(steps, docs, ids, key, "left_semi")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,17 @@ def test_licence_expressions():
     assert licenses.scan("submit license")["n_base"] == 0
 
 
+def test_columns_may_have_any_names(spark, docs):
+    odd = docs.selectExpr("*", "1 AS _qt", "2 AS _qw", "3 AS _q", "4 AS _q_n_words", "5 AS _kept", "6 AS _gone", "7 AS id", "8 AS c0")
+    kept = quality.keep_good(odd, order=ORDER)
+    assert kept.columns == odd.columns and kept.select("_qt", "_q", "_q_n_words", "_kept", "c0").distinct().collect() == [(1, 3, 4, 5, 8)]
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.keep_good(docs, order=ORDER).collect()}
+    judged = quality.judge(odd, order=ORDER)
+    assert {(r._qt, r._gone, r.c0) for r in judged.collect()} == {(1, 6, 8)} and judged.where("_kept").count() == kept.count()
+    bench = spark.createDataFrame([(1, prose(9, 30))], "item_id long, text string")
+    assert decontaminate.clean_documents(spark, odd, bench).columns == odd.columns
+
+
 def test_near_duplicates_and_links(spark, docs):
     classes = {r.doc_id: r.class_id for r in neardup.duplicate_classes(spark, docs).collect()}
     assert classes[1] == classes[2] == classes[3] == 1 and classes[8] == classes[7] == 7
@@ -89,6 +101,67 @@ def test_near_duplicates_and_links(spark, docs):
     assert neardup.duplicate_classes(spark, docs.limit(0)).isEmpty()
 
 
+def test_no_text_is_lost_by_its_id(spark):
+    """Repeated and null ids, and columns with the names that are used inside."""
+    a, b = prose(31, 40), prose(32, 40)
+    schema = "doc_id long, text string, fp string, row int, id int, digest int, keep_id int, node int"
+
+    def kept(rows):
+        frame = spark.createDataFrame([(k, t, "x", 1, 2, 3, 4, 5) for k, t in rows], schema).repartition(3)
+        out = neardup.one_of_each(spark, frame)
+        assert out.columns == frame.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert kept([(5, a), (5, b), (9, a), (2, b)]) == sorted([(5, a), (2, b)], key=str)
+    assert kept([(None, a), (None, a), (3, b)]) == sorted([(None, a), (3, b)], key=str)
+    assert kept([(None, a), (7, a), (7, a), (8, None), (8, None), (8, " ")]) == sorted(
+        [(7, a), (8, None), (8, None), (8, " ")], key=str
+    )
+
+
+def test_pivots_find_what_all_pairs_find(spark, monkeypatch):
+    """Chains, hubs and loners; the classes are those of all pairs at 0.8, whether or not pivots are tried."""
+    import random
+
+    rnd, found = random.Random(4), {}
+    for group in range(6):
+        words = prose(50 + group, 120).split()
+        for member in range(12):
+            if group % 2:
+                words = list(words)
+            edited = words if group % 2 else list(words)
+            for _ in range(rnd.randint(0, 3)):
+                edited[rnd.randrange(120)] = "e%d" % rnd.randrange(10**6)
+            found[group * 100 + rnd.randrange(100)] = " ".join(edited)
+    ids = sorted(found)
+    near = neardup.similarities(pa.array([found[a] for a in ids for _ in ids]), pa.array([found[b] for _ in ids for b in ids]))
+    root = {a: a for a in ids}
+    for (a, b), s in zip(((a, b) for a in ids for b in ids), near):
+        if s >= 0.8 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if v == high else v for k, v in root.items()}
+    rows = spark.createDataFrame(list(found.items()), "doc_id long, text string").repartition(3)
+    for bound in (0, 10**9):
+        monkeypatch.setattr(neardup, "PAIRS_A_MEMBER", bound)
+        assert {r.doc_id: r.class_id for r in neardup.duplicate_classes(spark, rows).collect()} == root
+
+
+def test_samples_collide_as_the_similarity(spark):
+    """Shares of equal samples of two weighted sets against their weighted Jaccard similarity."""
+    rng = np.random.default_rng(8)
+    hashes = np.sort(rng.integers(0, 1 << 44, 300).astype(np.uint64))
+    a, b = np.where(np.arange(300) < 240, 1, 3), np.where(np.arange(300) < 240, 1, 1 + np.arange(300) % 4)
+    want = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    equal = total = 0
+    for trial in range(40):
+        shifted = np.sort(neardup.mix(hashes + np.uint64(trial)) >> np.uint64(20))
+        row = np.repeat([0, 1], 300)
+        _, bands = neardup.signatures(row, np.tile(shifted, 2), np.ones(600), np.concatenate([a, b]))
+        equal += (bands[0] == bands[1]).sum()
+        total += bands.shape[1]
+    assert abs(equal / total - want**neardup.ROWS) < 0.05
+
+
 @pytest.mark.parametrize("appended", [False, True])
 def test_near_duplicates_of_a_common_text(spark, appended):
     """A third of the rows are one text with edits of their own that leave 0.80 to 0.85 of it."""
