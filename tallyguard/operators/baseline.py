@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,40 @@ def fit_baseline(
     )
 
 
+def fit_baselines(
+    df: DataFrame,
+    features: Sequence[str],
+    normals: Mapping[str, Column],
+    z_threshold: float = Z_THRESHOLD,
+    name: str = "baseline",
+) -> DataFrame:
+    """One model row for each entry of ``normals``, all of them in a single scan.
+
+    The statistics of each model are conditional aggregates over its own normal
+    rows.  ``score`` takes all the rows at once when given ``by=name``.
+    """
+    stats = []
+    for k, normal in enumerate(normals.values()):
+        stats.append(F.count_if(normal).alias(f"n_{k}"))
+        for i, feature in enumerate(features):
+            value = F.when(normal, finite(F.col(feature)))
+            stats += [F.avg(value).alias(f"mean_{k}_{i}"), F.stddev_pop(value).alias(f"std_{k}_{i}")]
+    models = []
+    for k, model in enumerate(normals):
+        pairs = [(F.col(f"mean_{k}_{i}"), F.col(f"std_{k}_{i}")) for i in range(len(features))]
+        models.append(
+            F.struct(
+                F.lit(model).alias(name),
+                F.array(*[F.lit(f) for f in features]).alias("features"),
+                F.array(*[m for m, _ in pairs]).alias("means"),
+                F.array(*[clean_std(m, s) for m, s in pairs]).alias("stds"),
+                F.col(f"n_{k}").alias("n"),
+                F.lit(float(z_threshold)).alias("z_threshold"),
+            )
+        )
+    return df.agg(*stats).select(F.inline(F.array(*models)))
+
+
 def model_rows(
     model: DataFrame,
     model_id: str | Column,

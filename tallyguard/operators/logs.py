@@ -104,6 +104,7 @@ def severity(kind: Column) -> Column:
 
 
 def _description(kind: Column) -> Column:
+    # The description of each kind of alert.
     return (
         F.when(kind == "high_confidence_anomaly", "High confidence anomaly detected")
         .when(kind == "performance_degradation", "Model performance has degraded")
@@ -256,26 +257,38 @@ def temporal_patterns(rows: DataFrame, ts: str = "ts", top: int = PEAK_HOURS) ->
 
 
 def log_report(
-    logs: DataFrame,
-    alerts: DataFrame,
+    lines: DataFrame,
     as_of: Column | None = None,
     min_confidence: float = LOG_ALERT_CONFIDENCE,
+    value: str = "value",
 ) -> DataFrame:
-    """Statistics, time pattern and alert count as one nested row.
+    """Statistics, time pattern and alert count of the lines as one nested row.
 
-    The lines are read once: every figure is first summed per hour of the day.
+    Each line is parsed once; a line without a type is no log entry but may
+    alert.  Every figure is first summed per hour of the day.
     """
     now = F.current_timestamp() if as_of is None else as_of
-    detection = F.col("type") == DETECTION
-    confidence = F.when(detection, F.coalesce("confidence", F.lit(0.0)))
+    typed = compute_once(
+        parse_lines(lines, value), {"type": log_type(), "alert": alert_type(min_confidence)}
+    )
+    is_log, detection = F.col("type").isNotNull(), F.coalesce(F.col("type") == DETECTION, F.lit(False))
+    entries = typed.select(
+        F.when(is_log, _time(now)).alias("ts"),
+        is_log.alias("is_log"),
+        F.col("alert").isNotNull().alias("alerts"),
+        detection.alias("detected"),
+        F.when(detection, _number("prediction")).alias("prediction"),
+        F.when(detection, F.coalesce(_number("confidence"), F.lit(0.0))).alias("confidence"),
+    )
     by_hour = _hour_counts(
-        logs,
+        entries,
         "ts",
-        F.count("*").alias("logs"),
-        F.count_if(detection).alias("detections"),
-        F.count_if(detection & (F.col("prediction") == 1)).alias("positives"),
-        F.sum(confidence).alias("confidence"),
-        F.count_if(confidence >= F.lit(float(min_confidence))).alias("confident"),
+        F.count_if("is_log").alias("logs"),
+        F.count_if("alerts").alias("alerted"),
+        F.count_if("detected").alias("detections"),
+        F.count_if(F.col("prediction") == 1).alias("positives"),
+        F.sum("confidence").alias("confidence"),
+        F.count_if(F.col("confidence") >= F.lit(float(min_confidence))).alias("confident"),
     )
     zero = F.lit(0)
     detections = F.coalesce(F.sum("detections"), zero)
@@ -285,16 +298,9 @@ def log_report(
         ratio(F.sum("confidence"), detections).alias("average_confidence"),
         F.coalesce(F.sum("confident"), zero).alias("high_confidence_alerts"),
     )
-    summed = by_hour.agg(
+    return by_hour.agg(
         F.coalesce(F.sum("logs"), zero).alias("total_logs_processed"),
         stats.alias("anomaly_statistics"),
         F.struct(*_pattern_columns(PEAK_HOURS)).alias("temporal_analysis"),
-    )
-    alerted = alerts.agg(F.struct(F.count("*").alias("total_alerts_generated")).alias("alert_summary"))
-    return summed.crossJoin(one_row(alerted)).select(
-        now.alias("ts"),
-        "total_logs_processed",
-        "anomaly_statistics",
-        "temporal_analysis",
-        "alert_summary",
-    )
+        F.struct(F.coalesce(F.sum("alerted"), zero).alias("total_alerts_generated")).alias("alert_summary"),
+    ).select(now.alias("ts"), "*")

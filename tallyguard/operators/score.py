@@ -15,9 +15,10 @@ from .rules import ALERT_CONFIDENCE, CONFIDENCE_DIVISOR, SCORE_GROUP, VOTE_SHARE
 from .vectors import model_side, score_vectors, z_array
 
 
-def _with_model(df: DataFrame, model: DataFrame) -> DataFrame:
-    """Every row beside the one model row: a broadcast of a global aggregate."""
+def _with_model(df: DataFrame, model: DataFrame, by: str | None = None) -> DataFrame:
+    """Every row beside the model row, or beside each row of a few: a broadcast of a global aggregate."""
     stats = model.select(
+        *([by] if by else []),
         F.col("means").alias("__means"),
         F.transform("stds", lambda s: F.nullif(s, F.lit(0.0))).alias("__stds"),
         F.col("z_threshold").alias("__limit"),
@@ -41,10 +42,10 @@ def _vector(features: Sequence[str]) -> Column:
 
 
 def _score_columns(
-    df: DataFrame, model: DataFrame, features: Sequence[str], vote_share: float
+    df: DataFrame, model: DataFrame, features: Sequence[str], vote_share: float, by: str | None, keep: Sequence[str]
 ) -> DataFrame:
     """Each z once, then the votes and the sum of the voting z, group by group."""
-    voted = _with_model(df, model)
+    voted = _with_model(df, model, by)
     votes, sums = [], []
     for start in range(0, len(features), SCORE_GROUP):
         group = list(enumerate(features))[start : start + SCORE_GROUP]
@@ -53,7 +54,9 @@ def _score_columns(
         counted = reduce(add, [F.when(beyond[z], 1).otherwise(0) for z in zs])
         summed = reduce(add, [F.when(beyond[z], F.col(z)).otherwise(F.lit(0.0)) for z in zs])
         totals = {f"__votes{start}": counted, f"__sum{start}": summed}
-        voted = compute_once(voted.withColumns(zs), totals).drop(*zs)
+        kept = {f"__z{i}": f"z_{f}" for i, f in group if f in keep}
+        gone = [z for z in zs if z not in kept]
+        voted = compute_once(voted.withColumns(zs), totals).drop(*gone).withColumnsRenamed(kept)
         votes.append(f"__votes{start}")
         sums.append(f"__sum{start}")
     n_votes = reduce(add, [F.col(v) for v in votes])
@@ -69,23 +72,30 @@ def _score_columns(
 
 def score(
     df: DataFrame,
-    model: DataFrame,
+    model: DataFrame | None,
     features: Sequence[str],
     vote_share: float = VOTE_SHARE,
+    by: str | None = None,
+    keep_z: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``prediction`` (0 or 1) and ``confidence`` (0..1).
 
     A row is anomalous if more than ``vote_share`` of all features lie beyond
     the model's threshold; features without deviation never vote but count.
+    Without a model nothing is an anomaly.  With ``by`` the model has a few rows,
+    told apart by that column, and each row of ``df`` comes out once for each,
+    from one scan.  ``keep_z`` names features whose z stays as ``z_<feature>``.
     """
-    if len(features) <= WIDE_SCORE:
-        return _score_columns(df, model, features, vote_share)
+    if model is None:
+        return df.withColumns({"prediction": F.lit(0), "confidence": F.lit(0.0)})
+    if len(features) <= WIDE_SCORE or by or keep_z:
+        return _score_columns(df, model, features, vote_share, by, keep_z)
     with_vector = df.withColumn("__v", _vector(features))
     return score_vectors(with_vector, model, "__v", vote_share).drop("__v")
 
 
 def predict(
-    df: DataFrame, model: DataFrame, features: Sequence[str], vote_share: float = VOTE_SHARE
+    df: DataFrame, model: DataFrame | None, features: Sequence[str], vote_share: float = VOTE_SHARE
 ) -> DataFrame:
     return score(df, model, features, vote_share).drop("confidence")
 
@@ -106,15 +116,18 @@ def score_alerts(
     ts: str | None = None,
     min_confidence: float = ALERT_CONFIDENCE,
     vote_share: float = VOTE_SHARE,
+    container: str | None = None,
 ) -> DataFrame:
-    """Alerts with the row key, its category and the confidence."""
+    """Alerts with the row key, its category and the confidence; ``container`` says who raised them."""
     times = [F.col(ts).cast("timestamp").alias("ts")] if ts else []
+    origin = [F.lit(container).alias("container")] if container else []
     return select_alerts(score(df, model, features, vote_share), min_confidence).select(
         *key,
         *times,
         F.lit("ANOMALY").alias("prediction"),
         F.coalesce(F.col(category), F.lit("Unknown")).alias("anomaly_type"),
         "confidence",
+        *origin,
     )
 
 

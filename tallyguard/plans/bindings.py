@@ -19,6 +19,7 @@ from ..functions import bucket
 from ..operators.baseline import fit_baseline
 from ..operators.history import cycle_history
 from ..operators.score import score, score_alerts
+from ..schema import history_schema
 from ..session import join_path, work_folder
 from ..sources import tables
 
@@ -191,6 +192,13 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
     return cycle_history(scored, "cycle", EV_TARGETS, "ts")
 
 
+def stored_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The history as a tracker finds it: stored, so that what reads it twice scores nothing again."""
+    folder = work_folder(spark, "history")
+    history(spark, sf).coalesce(1).write.parquet(folder)  # a row for each cycle
+    return tables.read_history(spark, folder, history_schema(EV_TARGETS))
+
+
 # SNAP -----------------------------------------------------------------------
 
 

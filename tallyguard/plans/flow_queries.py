@@ -221,7 +221,10 @@ def model_version_tag(spark, sf):
 
 @query(
     "latest_model_version",
-    f"WITH {VERSIONS} SELECT 'v3' AS model_id, '{D.MODEL_TIMES[2]}.000000' AS created_at, n FROM v3",
+    f"""WITH {VERSIONS}, stored AS ({' UNION ALL '.join(
+        f"SELECT 'v{i + 1}' AS model_id, TIMESTAMP '{at}' AS created_at, n FROM v{i + 1}" for i, at in enumerate(D.MODEL_TIMES))})
+  SELECT model_id, {t('created_at')} AS created_at, n FROM stored
+  WHERE (created_at, model_id) = (SELECT max((created_at, model_id)) FROM stored)""",
 )
 def latest_model_version(spark, sf):
     folder = work_folder(spark, "models")
@@ -258,10 +261,12 @@ def model_compare(spark, sf):
 
 @query(
     "check_model",
-    f"""WITH {VERSIONS} SELECT * FROM (VALUES ('required_columns', true, ''), ('equal_length', true, '4'),
-  ('std_not_negative', true, '0'), ('one_threshold', true, '1.400'),
-  ('model_type', true, 'statistical_anomaly_detector')) c(check_name, passed, detail)
-  WHERE (SELECT count(*) FROM v3 WHERE m0 + m1 + m2 + m3 IS NOT NULL) = 1""",
+    f"""WITH {VERSIONS}, stored AS ({_long_model('v3')}),
+  c AS (SELECT count(*) AS features, count(mean) AS means, count(std) AS stds, count_if(std < 0) AS negative FROM stored)
+  SELECT 'required_columns' AS check_name, true AS passed, '' AS detail UNION ALL
+  SELECT 'equal_length', means = features AND stds = features, CAST(features AS VARCHAR) FROM c UNION ALL
+  SELECT 'std_not_negative', negative = 0, CAST(negative AS VARCHAR) FROM c UNION ALL
+  SELECT 'one_threshold', true, '1.400' UNION ALL SELECT 'model_type', true, 'statistical_anomaly_detector'""",
 )
 def check_model(spark, sf):
     folder = work_folder(spark, "models")
@@ -518,7 +523,7 @@ def top_contributing_features(spark, sf):
 def score_broadcast_join(spark, sf):
     """Every row beside the one model row; the model side is a global aggregate."""
     fitted = D.li_model(spark, sf)
-    rows = S.score(S.z_scores(D.li(spark, sf), fitted, LI_FEATURES), fitted, LI_FEATURES)
+    rows = S.score(D.li(spark, sf), fitted, LI_FEATURES, keep_z=("l_quantity", "l_extendedprice"))
     return rows.groupBy("prediction", "label").agg(
         F.count("*").alias("n"),
         F.max("z_l_quantity").alias("max_z_quantity"),
@@ -609,7 +614,7 @@ PROFILE = f"""{EV_ALERTS}, p AS (SELECT (SELECT count(*) FROM ev) AS flows,
     f"""WITH {PROFILE} SELECT flows AS total_flows, anomalies, flows - anomalies AS normal, alerts FROM p""",
 )
 def flows_vs_alerts(spark, sf):
-    return P.flows_vs_alerts(D.ev(spark, sf), D.ev_alerts(spark, sf))
+    return P.flows_vs_alerts(D.ev_scored(spark, sf))
 
 
 @query(
@@ -619,7 +624,31 @@ def flows_vs_alerts(spark, sf):
   printf('%.1f%%', 100.0::DOUBLE * alerts / anomalies) AS alert_ratio FROM p""",
 )
 def traffic_profile(spark, sf):
-    return P.traffic_profile(D.ev(spark, sf), D.ev_alerts(spark, sf))
+    return P.traffic_profile(D.ev_scored(spark, sf))
+
+
+def _top_sql(value: str, source: str = "ev", limit: int = 5) -> str:
+    return f"""(SELECT string_agg(v || '=' || n, ', ' ORDER BY n DESC, v) FROM (
+    SELECT CAST({value} AS VARCHAR) AS v, count(*) AS n FROM {source} GROUP BY 1 ORDER BY n DESC, v LIMIT {limit}))"""
+
+
+@query(
+    "traffic_report",
+    f"""WITH {PROFILE} SELECT flows AS total_flows, flows - anomalies AS normal, anomalies,
+  {r('100.0 * anomalies / flows')} AS anomaly_percent, alerts, {r('100.0 * alerts / flows')} AS alert_percent,
+  printf('%.1f%%', 100.0::DOUBLE * alerts / anomalies) AS alert_ratio,
+  {_top_sql('CAST(x3 AS INTEGER)')} AS top_protocols, {_top_sql('CAST(x4 AS INTEGER)')} AS top_services,
+  {_top_sql('category', '(SELECT * FROM ev WHERE label = 1)', 1000)} AS attack_categories FROM p""",
+)
+def traffic_report(spark, sf):
+    """Hours stand for protocols and users for services; the lists are printed to be compared."""
+    scored_flows = D.ev_scored(spark, sf).withColumns(
+        {"proto": F.col("x3").cast("int"), "service": F.col("x4").cast("int")}
+    )
+    report = P.traffic_report(scored_flows)
+    lists = ("top_protocols", "top_services", "attack_categories")
+    printed = lambda e: F.concat_ws("=", e["value"], e["n"].cast("string"))
+    return report.withColumns({c: F.array_join(F.transform(c, printed), ", ") for c in lists})
 
 
 @query(
@@ -845,19 +874,14 @@ def noise_summary(spark, sf):
   m AS ({metrics('c', 'baseline')}) {_rounded('m', 'baseline, ' + COUNT_COLUMNS, RATE_COLUMNS)}""",
 )
 def noise_degradation(spark, sf):
-    """Baselines fitted on clean and on noisy labels, both judged by the clean ones."""
-    clean = D.ev(spark, sf)
-    fits = {
-        "clean": D.ev_model(spark, sf),
-        "noisy": B.fit_baseline(_noisy(spark, sf, 0.5), D.EV_FEATURES, F.col("label") == 0),
-    }
-    judged = [
-        V.classification_metrics(S.score(clean, fitted, D.EV_FEATURES)).withColumn(
-            "baseline", F.lit(name)
-        )
-        for name, fitted in fits.items()
-    ]
-    return reduce(DataFrame.unionByName, judged)
+    """Baselines fitted on clean and on noisy labels, both judged by the clean ones: two scans in all."""
+    flows = _noisy(spark, sf, 0.5).withColumns(
+        {"noisy_label": F.col("label"), "label": (F.col("flipped") | (F.col("label") == 1)).cast("int")}
+    )
+    fits = B.fit_baselines(
+        flows, D.EV_FEATURES, {"clean": F.col("label") == 0, "noisy": F.col("noisy_label") == 0}
+    )
+    return V.classification_metrics(S.score(flows, fits, D.EV_FEATURES, by="baseline"), by=["baseline"])
 
 
 # Scalar functions -----------------------------------------------------------

@@ -10,7 +10,7 @@ from ..operators import noise as N
 from ..operators import quality as Q
 from ..operators import score as S
 from ..operators.baseline import fit_baseline
-from ..schema import RETRAIN_EVENT, history_schema
+from ..schema import history_schema
 from ..session import work_folder
 from ..sources import tables
 from . import bindings as D
@@ -60,8 +60,10 @@ def history_append(spark, sf):
 
 @query("history_scan", f"WITH {HIST} SELECT {HIST_ROWS} FROM hist")
 def history_scan(spark, sf):
+    """All cycles stored at once, twice; each replaces itself."""
     folder = work_folder(spark, "history")
-    D.history(spark, sf).write.mode("append").parquet(folder)
+    for _ in range(2):
+        tables.append_cycles(D.history(spark, sf), folder)
     return tables.read_history(spark, folder, history_schema(D.EV_TARGETS))
 
 
@@ -69,18 +71,20 @@ EVENTS_SQL = f"{HIST}, events_log AS (SELECT iteration, CASE WHEN recall >= 0.55
 
 
 def _events(spark, sf, folder: str):
-    """One attempt per cycle; it counts as a success where recall is high enough."""
-    history = D.history(spark, sf)
+    """One attempt per cycle, recorded twice; it counts as a success where recall is high enough."""
+    history = D.stored_history(spark, sf)
     good = F.col("recall") >= F.lit(0.55)
-    history.select(
+    events = history.select(
         "iteration",
         "ts",
         F.when(good, "success").otherwise("skipped").alias("status"),
         F.when(good, "").otherwise("recall too low").alias("message"),
         F.lit(1.0).alias("duration_seconds"),
         F.concat(F.lit("m"), "iteration").alias("model_id"),
-    ).write.mode("append").parquet(folder)
-    return tables.read_table(spark, folder, RETRAIN_EVENT)
+    )
+    for _ in range(2):
+        tables.append_cycles(events, folder)
+    return tables.read_retrain_events(spark, folder)
 
 
 @query(
@@ -110,7 +114,7 @@ def cycle_history(spark, sf):
   {r('max(value)')} AS max, {r('stddev_pop(value)')} AS std FROM long GROUP BY metric""",
 )
 def metric_stats(spark, sf):
-    return H.metric_stats(D.history(spark, sf))
+    return H.metric_stats(D.stored_history(spark, sf))
 
 
 RANKED = f"{HIST}, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY iteration) AS rn, count(*) OVER (PARTITION BY metric) AS n FROM long)"
@@ -123,7 +127,7 @@ RANKED = f"{HIST}, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER
   FROM k GROUP BY metric""",
 )
 def metric_trend(spark, sf):
-    return H.metric_trend(D.history(spark, sf))
+    return H.metric_trend(D.stored_history(spark, sf))
 
 
 @query(
@@ -134,7 +138,7 @@ def metric_trend(spark, sf):
     (baseline - current) / baseline >= 0.02::DOUBLE AS alert FROM d""",
 )
 def degradation_alert(spark, sf):
-    return H.degradation_alert(D.history(spark, sf), threshold=0.02)
+    return H.degradation_alert(D.stored_history(spark, sf), threshold=0.02)
 
 
 COMPARED = {
@@ -161,7 +165,7 @@ def _compare_sql(m: str, factor: int) -> str:
   c AS (SELECT * FROM hist ORDER BY iteration DESC LIMIT 1) {' UNION ALL '.join(_compare_sql(m, f) for m, f in COMPARED.items())}""",
 )
 def baseline_vs_current(spark, sf):
-    return H.baseline_vs_current(D.history(spark, sf), COMPARED, 12)
+    return H.baseline_vs_current(D.stored_history(spark, sf), COMPARED, 12)
 
 
 @query(
@@ -173,7 +177,7 @@ def baseline_vs_current(spark, sf):
     CASE WHEN high > low THEN CAST(trunc((value - low) / (high - low) * 40) AS INTEGER) ELSE 40 END AS bar FROM l JOIN b USING (metric)""",
 )
 def scaled_series(spark, sf):
-    return H.scaled_series(D.history(spark, sf), ["recall", "accuracy", "false_negatives"])
+    return H.scaled_series(D.stored_history(spark, sf), ["recall", "accuracy", "false_negatives"])
 
 
 CHANGES = ", ".join(
@@ -188,7 +192,7 @@ CHANGES = ", ".join(
     f"WITH {HIST} SELECT h.iteration, {CHANGES} FROM hist h ASOF LEFT JOIN hist p ON h.iteration > p.iteration",
 )
 def cycle_deltas(spark, sf):
-    return H.cycle_deltas(D.history(spark, sf))
+    return H.cycle_deltas(D.stored_history(spark, sf))
 
 
 @query(
@@ -218,11 +222,12 @@ def noise_activation(spark, sf):
     "check_history",
     f"""WITH {HIST}, c AS (SELECT count(*) AS n, max_by(accuracy, iteration) AS a, max_by(recall, iteration) AS b FROM hist)
   SELECT 'required_columns' AS check_name, true AS passed, '' AS detail UNION ALL SELECT 'not_empty', n > 0, CAST(n AS VARCHAR) FROM c
-  UNION ALL SELECT m || '_range', true, '0' FROM (VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score')) v(m)
+  UNION ALL SELECT metric || '_range', count_if(value BETWEEN 0 AND 1) = (SELECT n FROM c),
+    CAST((SELECT n FROM c) - count_if(value BETWEEN 0 AND 1) AS VARCHAR) FROM long GROUP BY metric
   UNION ALL SELECT 'latest_accuracy', true, printf('%.3f', a) FROM c UNION ALL SELECT 'latest_recall', true, printf('%.3f', b) FROM c""",
 )
 def check_history(spark, sf):
-    return Q.check_history(D.history(spark, sf))
+    return Q.check_history(D.stored_history(spark, sf))
 
 
 @query(
@@ -231,7 +236,7 @@ def check_history(spark, sf):
   {r('avg(recall)')} AS mean_recall, {r('stddev_pop(f1_score)')} AS std_f1, 'active' AS status FROM hist""",
 )
 def history_report(spark, sf):
-    return H.history_report(D.history(spark, sf)).select(
+    return H.history_report(D.stored_history(spark, sf)).select(
         "history_count",
         F.col("current_metrics.iteration").alias("last_iteration"),
         F.col("current_metrics.accuracy").alias("last_accuracy"),

@@ -69,10 +69,20 @@ ROUTED = f"""SELECT event_id, alert_type, {SEVERITY} AS severity,
   FROM log WHERE alert_type IS NOT NULL"""
 
 
-@query("route_alerts", f"WITH {LOGS} {ROUTED}")
+@query(
+    "route_alerts",
+    f"""WITH {LOGS}, routed AS ({ROUTED}) SELECT *, 'ALT_' || replace(substring(ts, 1, 10), '-', '') AS id_day,
+  length('ALT__') + 8 + 32 AS id_chars FROM routed""",
+)
 def route_alerts(spark, sf):
+    """Of the id, which is a digest of the line, its day and its length."""
     as_of = F.lit("2024-02-01").cast("timestamp")
-    return L.route_alerts(D.log_lines(spark, sf), as_of).drop("alert_id")
+    routed = L.route_alerts(D.log_lines(spark, sf), as_of)
+    return routed.select(
+        *[c for c in routed.columns if c != "alert_id"],
+        F.substring("alert_id", 1, 12).alias("id_day"),
+        F.length("alert_id").alias("id_chars"),
+    )
 
 
 @query(
@@ -133,7 +143,7 @@ REPORT = f"""WITH {LOGS}, s AS ({STATS}), {_temporal('log', 'type IS NOT NULL')}
 def _report(spark, sf):
     lines = D.log_lines(spark, sf)
     as_of = F.lit("2024-02-01").cast("timestamp")
-    return L.log_report(L.classify_logs(lines, as_of), L.route_alerts(lines, as_of), as_of)
+    return L.log_report(lines, as_of)
 
 
 def _flat(report):

@@ -57,7 +57,7 @@ def _alert_stream(spark, sf):
     )
 
 
-@query("stream_score", ALERT_ROWS)
+@query("stream_score", f"SELECT *, 'monitor' AS container FROM ({ALERT_ROWS})")
 def stream_score(spark, sf):
     out, checkpoint = _folders(spark, "stream-score")
     _finish(
@@ -69,6 +69,7 @@ def stream_score(spark, sf):
             out,
             checkpoint,
             ts="ts",
+            container="monitor",
         )
     )
     return spark.read.parquet(out)

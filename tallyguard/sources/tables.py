@@ -156,6 +156,11 @@ def log_retrain_event(
     write_part(event, path, "iteration", iteration)
 
 
+def append_cycles(rows: DataFrame, path: str, cycle: str = "iteration") -> None:
+    """Store rows of many cycles at once, history or events; a cycle that is there already is replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(cycle).parquet(path)
+
+
 def read_retrain_events(spark: SparkSession, path: str) -> DataFrame | None:
     return read_table(spark, path, RETRAIN_EVENT)
 

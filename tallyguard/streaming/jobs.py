@@ -60,9 +60,10 @@ def stream_score(
     category: str = "category",
     ts: str | None = None,
     interval: str | None = None,
+    container: str | None = None,
 ) -> StreamingQuery:
     """Score each arriving row once with a stored model and write the alerts."""
-    alerts = score_alerts(flows, model, features, key, category, ts)
+    alerts = score_alerts(flows, model, features, key, category, ts, container=container)
     return start(_to_parquet(alerts, out), checkpoint, interval)
 
 

@@ -259,12 +259,25 @@ def test_rows_without_order_or_group_stay(spark, width):
 
 
 def test_profile(spark, flow_sample):
-    alerts = flow_sample.where("label = 1").limit(2)
-    got = P.traffic_profile(flow_sample, alerts).first()
+    scored = flow_sample.withColumns(
+        {"prediction": F.col("label"), "confidence": F.when(F.col("sbytes") > 0, F.lit(0.5)), "category": F.col("attack_cat")}
+    )
+    one_less = F.when(F.col("label") == 1, F.lit(0.3))
+    scored = scored.where("label = 0").unionByName(scored.where("label = 1").limit(2)).unionByName(
+        scored.where("label = 1").limit(1).withColumn("confidence", one_less)
+    )
+    got = P.traffic_profile(scored).first()
     assert (got.total_flows, got.normal, got.anomalies, got.alerts) == (8, 5, 3, 2)
     assert (got.anomaly_percent, got.alert_percent, got.alert_ratio) == (37.5, 25.0, "66.7%")
-    quiet = P.traffic_profile(flow_sample.where("label = 0"), alerts).first()
+    quiet = P.traffic_profile(scored.where("label = 0")).first()
     assert quiet.alert_ratio == "0.0%"
+    report = P.traffic_report(scored)
+    row = report.first()
+    assert (row.total_flows, row.alerts, row.alert_ratio) == (8, 2, "66.7%")
+    assert [tuple(e) for e in row.top_services] == [("http", 5), ("-", 3)]
+    assert [tuple(e) for e in row.top_protocols] == [("tcp", 8)] and [tuple(e) for e in row.attack_categories] == [("Backdoors", 3)]
+    empty = P.traffic_report(scored.where("false")).first()
+    assert (empty.total_flows, empty.top_services, empty.alert_ratio) == (0, [], "0.0%")
     parts = {(r.part, r.value): r.n for r in P.dataset_composition(flow_sample, category="attack_cat").collect()}
     assert parts == {("total", None): 8, ("label", "0"): 5, ("label", "1"): 3,
                      ("category", "Normal"): 5, ("category", "Backdoors"): 3}

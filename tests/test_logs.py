@@ -134,14 +134,15 @@ def test_temporal_patterns(spark):
 
 def test_report(spark):
     entries = lines(spark, *detections(), SYSTEM)
-    report = L.log_report(L.classify_logs(entries, as_of()), L.route_alerts(entries, as_of()), as_of()).first()
+    found = L.log_report(entries, as_of())
+    report = found.first()
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1  # the lines are read once
     assert report.total_logs_processed == 6
     assert report.anomaly_statistics.total_detections == 5
     assert report.anomaly_statistics.average_confidence == pytest.approx(0.716)
     assert report.temporal_analysis.peak_hours == [12]
     assert report.alert_summary.total_alerts_generated == 2
-    none = L.classify_logs(entries.where("false"), as_of())
-    empty = L.log_report(none, L.route_alerts(entries.where("false"), as_of()), as_of()).first()
+    empty = L.log_report(entries.where("false"), as_of()).first()
     assert empty.total_logs_processed == 0 and empty.anomaly_statistics.anomaly_rate == 0.0
 
 

@@ -8,7 +8,7 @@ from tallyguard.operators import encode as E
 from tallyguard.operators import evaluate as V
 from tallyguard.operators import score as S
 from tallyguard.operators import vectors as X
-from tallyguard.operators.moments import feature_moments, merge_moments
+from tallyguard.operators.moments import feature_moments, merge_moments, subtract_moments, union_moments
 from tallyguard.schema import FLOW_FEATURES
 
 from .conftest import FLOW_TABLE_FEATURES
@@ -216,3 +216,57 @@ def test_target_selection(spark):
     assert [len(x) for x in layouts] == [2, 1]
     prints = rows.select(E.row_fingerprint(F.lit(1.5), F.lit(None), F.lit(7)).alias("p")).first().p
     assert prints == "1.5__7"
+
+
+def test_several_models_in_one_scan(spark, tmp_path):
+    rows = spark.range(400).select(
+        "id", (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+        (F.col("id") % 3 == 0).alias("even"), (F.col("id") % 10 == 0).cast("int").alias("label"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    normals = {"one": F.col("label") == 0, "two": F.col("even"), "none": F.lit(False)}
+    fits = B.fit_baselines(rows, ["a", "b"], normals)
+    for name in ("one", "two"):
+        want = B.fit_baseline(rows, ["a", "b"], normals[name]).first()
+        got = fits.where(F.col("baseline") == name).drop("baseline").first()
+        assert got.n == want.n and got.means == pytest.approx(want.means) and got.stds == pytest.approx(want.stds)
+    both = S.score(rows, fits, ["a", "b"], by="baseline")
+    alone = S.score(rows, B.fit_baseline(rows, ["a", "b"], normals["one"]), ["a", "b"])
+    columns = ["id", "prediction", "confidence"]
+    assert both.where("baseline = 'one'").select(*columns).exceptAll(alone.select(*columns)).isEmpty()
+    assert both.where("baseline = 'none' AND prediction <> 0").isEmpty() and both.count() == 1200
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2  # one to fit, one to score
+
+
+def test_without_a_model_nothing_is_an_anomaly(spark):
+    rows = spark.range(3)
+    assert {tuple(r) for r in S.score(rows, None, ["id"]).select("prediction", "confidence").collect()} == {(0, 0.0)}
+    assert S.predict(rows, None, ["id"]).columns == ["id", "prediction"]
+    assert S.score_alerts(rows.withColumn("category", F.lit("x")), None, ["id"], ["id"]).isEmpty()
+
+
+def test_kept_z_and_container(spark):
+    rows = spark.range(20).select("id", F.col("id").cast("double").alias("a"), F.lit("x").alias("category"))
+    model = B.fit_baseline(rows.where("id < 5"), ["a"])
+    z = S.z_scores(rows, model, ["a"]).select("id", "z_a")
+    assert S.score(rows, model, ["a"], keep_z=["a"]).select("id", "z_a").exceptAll(z).isEmpty()
+    alerts = S.score_alerts(rows, model, ["a"], ["id"], container="monitor")
+    assert alerts.columns[-1] == "container" and {r.container for r in alerts.collect()} == {"monitor"}
+
+
+def test_moments_are_subtracted(spark):
+    rows = spark.range(200).select(
+        F.col("id").alias("k"), (F.col("id") * 1e6 + 1e9).alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).cast("double").alias("b")
+    )
+    part, rest = rows.where("k % 9 = 2"), rows.where("k % 9 <> 2")
+    of = lambda df: union_moments(feature_moments(df, ["a", "b"], F.col("k") >= 0))
+    got = {r.feature: r for r in subtract_moments(of(rows), of(part)).collect()}
+    want = {r.feature: r for r in of(rest).collect()}
+    for name, row in want.items():
+        assert tuple(got[name])[1:] == pytest.approx(tuple(row)[1:], rel=1e-9)
+    nothing = {r.feature: r for r in subtract_moments(of(rows), of(rows)).collect()}
+    assert nothing["a"].value_count == 0 and nothing["a"].mean is None and nothing["a"].part_rows == 0
+    same = subtract_moments(of(rows), of(rows.where("false"))).collect()
+    assert {r.feature: r.value_count for r in same} == {"a": 200, "b": of(rows).where("feature = 'b'").first().value_count}
