@@ -213,13 +213,83 @@ def test_contaminated_documents(spark):
     words = item.split()
     for i in (6, 13, 22):
         words[i] = "other"
-    rows = [(1, f"{prose(10, 50)} {item.upper()}. {prose(11, 9)}"), (2, prose(12, 80)), (3, " ".join(words)), (4, None), (5, "")]
+    rows = [(1, f"{prose(10, 50)} {item.upper()}. {prose(11, 9)}"), (2, prose(12, 80)), (3, " ".join(words)), (4, None), (5, ""),
+            (6, "the"), (7, "the end"), (1, prose(60, 30)), (None, item), (None, prose(61, 20)), (3, " ".join(words))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(1, item), (2, None), (3, "the"), (4, prose(13, 6))], "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.find_overlaps(spark, docs, bench).collect()}
-    assert found == {(1, 1): 30, (3, 1): 27}
-    assert {r.doc_id for r in decontaminate.clean_documents(spark, docs, bench).collect()} == {2, 4, 5}
+    assert found == {(1, 1): 30, (3, 1): 27, (None, 1): 30, (6, 3): 1, (7, 3): 1}
+    kept = sorted(((r.doc_id, r.text) for r in decontaminate.clean_documents(spark, docs, bench).collect()), key=str)
+    assert kept == sorted([rows[1], rows[3], rows[4], rows[6], rows[7], rows[9]], key=str)
     assert decontaminate.find_overlaps(spark, docs, bench.limit(0)).isEmpty()
+    assert decontaminate.find_overlaps(spark, docs.limit(0), bench).isEmpty()
+
+
+def overlap_by_hand(words, item):
+    """Score of the best stretch over all shifts, and equal words over places that lie together."""
+    score, places = 0, {}
+    for shift in range(-len(item) + 1, len(words)):
+        run = 0
+        same = {i for i in range(len(item)) if 0 <= shift + i < len(words) and words[shift + i] == item[i]}
+        for i in range(len(item)):
+            if 0 <= shift + i < len(words):
+                run = max(0, run + (1 if i in same else -1))
+                score = max(score, run)
+        places[shift] = same
+    return score, max((len(same) for same in places.values()), default=0)
+
+
+def test_contamination_against_all_places(spark):
+    import random
+
+    rnd = random.Random(11)
+    items = {i: ["b%d" % rnd.randrange(400) for _ in range(n)] for i, n in enumerate([5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 20, 30])}
+    rows = {}
+    for i, item in items.items():
+        for k in range(12):
+            part = list(item[rnd.randrange(len(item) // 2) if k % 3 == 2 else 0 :])
+            for at in rnd.sample(range(len(part)), min(len(part), k // 2)):
+                part[at] = "s%d" % rnd.randrange(10**6)
+            rows[i * 100 + k] = ["x%d" % rnd.randrange(50) for _ in range(k)] + part + ["x%d" % rnd.randrange(50) for _ in range(5)]
+    docs = spark.createDataFrame([(k, " ".join(v)) for k, v in rows.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.n_equal) for r in decontaminate.find_overlaps(spark, docs, bench).collect()}
+    want = {}
+    for k, words in rows.items():
+        for i, item in items.items():
+            score, equal = overlap_by_hand(words, item)
+            if score >= 10 or equal >= math.ceil(0.8 * len(item)):
+                want[k, i] = score
+    assert got.keys() == want.keys() and all(got[key][0] == score for key, score in want.items())
+
+
+def test_a_dropped_word_does_not_hide_an_item(spark):
+    item = prose(70, 16).split()
+    rows = [(1, " ".join(item[:8] + item[9:])), (2, " ".join(item[:8] + ["new"] + item[8:])), (3, " ".join(item[:8])), (4, " ".join(item[8:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r.n_equal for r in decontaminate.find_overlaps(spark, docs, bench).collect()}
+    assert found == {1: 15, 2: 16}
+
+
+def test_masks_leave_no_pattern_without_a_hit():
+    import itertools
+
+    def hit(equal, masks):
+        return any(
+            all(equal[at + i] for i, bit in enumerate(mask) if bit == "1")
+            for mask in masks
+            for at in range(len(equal) - len(mask) + 1)
+        )
+
+    for n, changed in [(10, 0), (12, 1), (14, 2), (16, 3), (18, 4), (20, 5), (22, 6)]:  # score 10 each
+        missed = sum(
+            not hit([i not in gone for i in range(n)], decontaminate.MASKS) for gone in map(set, itertools.combinations(range(n), changed))
+        )
+        assert missed == 0, (n, changed, missed)
+    for n in range(decontaminate.SHORTEST, decontaminate.LONG):
+        for gone in map(set, itertools.combinations(range(n), n - math.ceil(0.8 * n))):
+            assert hit([i not in gone for i in range(n)], decontaminate.SHORT_MASKS), (n, gone)
 
 
 @pytest.mark.parametrize(("frequent", "rel"), [(katz.FREQUENT, 1e-6), (400, 1e-3)])
