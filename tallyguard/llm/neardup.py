@@ -17,11 +17,12 @@ thousand gets the idf of its counter, at every corpus size.
 
 Equal texts are one node from the start.  In every band the most popular node (the
 one whose bands hold most members: a text that many others were made from) is
-compared with all others, components of the links are formed, and the rest goes on
-with the next pivot, so a large group is found by comparisons in proportion to its
-size.  When few pairs are left between different components, all of them are
-compared.  Only pairs that are in one component already are left out, so the
-classes are those of all candidate pairs.
+compared with all others and components of the links are formed, so most of a
+large group is found by comparisons in proportion to its size.  Then all pairs of
+a band are compared, each in the first band that it shares, but for those that
+need not be: pairs in one component already, and pairs whose distances to a pivot
+differ by more than two similar texts may (1 - weighted Jaccard similarity is a
+metric).  So the classes are those of all candidate pairs.
 
 Defined cases: a document without a word (null, empty, white space) is a group
 of its own; a text of fewer than five words is one shingle; a class is named by
@@ -53,8 +54,8 @@ COUNTERS = 1 << 22
 CHUNK = 1 << 16
 BINS = 256
 _KEEP = U((1 << 44) - 1)
-# Pivots are tried as long as a member has more candidates than this, but not in more rounds.
-PAIRS_A_MEMBER, PIVOTS = 4, 8
+# Pivots are tried while a member has more candidates than this, in at most so many rounds.
+PAIRS_A_MEMBER, PIVOTS = 4, 2
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,29 +228,35 @@ def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
     return both / np.maximum(total - both, 1)
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            near = similarities(part.column("text"), part.column("text_b")) >= SIMILARITY
+            found = similarities(part.column("text"), part.column("text_b"))
             yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(near)) for c in (part.column("u"), part.column("v"))], ["u", "v"]
+                [part.column("u"), part.column("v"), pa.array(found), pa.array(found)], ["u", "v", "least", "most"]
             )
 
 
-def verified(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of nodes (u, v) that are similar.
+MEASURED = "u bigint, v bigint, least double, most double"
 
-    What two texts share is at most the sum of the lesser counts, so most others
-    go by their counts; only texts of the pairs that remain are fetched.
+
+def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """u, v and bounds of the similarity of each pair of nodes; they are equal wherever it may reach ``SIMILARITY``.
+
+    What two texts share is at most the sum of the lesser counts, so most pairs
+    that are not similar go by their counts; only texts of the others are fetched.
     """
     x = nodes.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("counts").alias("counts_u"))
     y = nodes.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("counts").alias("counts_v"))
     shared_most = F.aggregate(
         F.zip_with("counts_u", "counts_v", lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
     )
-    enough = shared_most * F.lit(1 + SIMILARITY) >= (F.col("size_u") + F.col("size_v")) * F.lit(SIMILARITY - 1e-9)
-    pairs = pairs.join(x, "u").join(y, "v").where(F.coalesce(enough, F.lit(True))).select("u", "v")
-    pairs = steps.write(pairs)
+    shared_most = F.coalesce(shared_most, F.least("size_u", "size_v"))
+    most = shared_most / (F.col("size_u") + F.col("size_v") - shared_most)
+    bounded = pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), most.alias("most"))
+    bounded = steps.write(bounded)
+    may_be = F.col("most") >= SIMILARITY - 1e-9
+    pairs = bounded.where(may_be).select("u", "v")
     ids = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = steps.write(nodes.select("node", "fp", F.col("name").alias("doc_id")).join(ids, "node"))
     same = texts["fp"].eqNullSafe(wanted["fp"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
@@ -259,7 +266,7 @@ def verified(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame)
     a = needed.select(F.col("node").alias("u"), "text")
     b = needed.select(F.col("node").alias("v"), F.col("text").alias("text_b"))
     rows = pairs.join(b, "v").join(a, "u").select("u", "v", "text", "text_b")
-    return steps.write(rows.mapInArrow(_links, "u bigint, v bigint").distinct())
+    return steps.write(rows.mapInArrow(_similarities, MEASURED)).unionByName(bounded.where(~may_be))
 
 
 def _sizes_allow(a: str, b: str) -> Column:
@@ -284,6 +291,28 @@ def _pairs_left(rows: DataFrame) -> tuple[int, int]:
     return total["n"] or 0, total["pairs"] or 0
 
 
+def _with_distance(rows: DataFrame, pivot: DataFrame, found: DataFrame, step: int) -> DataFrame:
+    """Bounds of the distance (1 - similarity) of every member to the pivot of its band, as ``low``, ``high`` and the step."""
+    low, high = f"low{step}", f"high{step}"
+    rows = rows.join(pivot, "band").withColumns({"u": F.least("node", "p.node"), "v": F.greatest("node", "p.node")})
+    sizes = F.least("size", "p.size") / F.greatest("size", "p.size")
+    apart = F.col("root") != F.col("p.root")
+    return rows.join(found, ["u", "v"], "left").select(
+        *[c for c in rows.columns if c not in ("u", "v", "p")],
+        F.coalesce(1 - F.col("most"), F.when(apart, 1 - sizes), F.lit(0.0)).alias(low),
+        F.coalesce(1 - F.col("least"), F.lit(1.0)).alias(high),
+    )
+
+
+def _near_by_pivots(steps: int) -> Column:
+    """False for pairs that the triangle inequality shows to be too far apart; the distance is a metric."""
+    limit = 1 - SIMILARITY + 1e-9
+    near = F.lit(True)
+    for k in range(steps):
+        near = near & (F.col(f"low{k}_u") - F.col(f"high{k}_v") <= limit) & (F.col(f"low{k}_v") - F.col(f"high{k}_u") <= limit)
+    return near
+
+
 def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFrame | None:
     """id, root of every node that has a link; None without any."""
     member = steps.write(nodes.select("node", "size", F.explode("bands").alias("band")).distinct())
@@ -292,37 +321,47 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
     popular = member.groupBy("node").agg(F.sum("n").alias("popular"))
     rows = member.drop("n").join(popular, "node").withColumn("root", F.col("node"))
     rows, links, roots, tried = steps.write(rows), None, None, None
-    for step in range(PIVOTS + 1):
-        n, pairs = _pairs_left(rows)
-        if not pairs:
-            break
-        last = pairs <= PAIRS_A_MEMBER * n or step == PIVOTS
-        if last:
-            rows = steps.write(rows.join(nodes.select("node", "bands"), "node"))
-            x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in ("node", "root", "size", "bands")])
-            y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in ("node", "root", "size", "bands")])
-            # A pair comes from the first band that it shares, and from no other.
-            first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("band")
-            found = x.join(y, "band").where("node_u < node_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
-            found = found.where(first).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
-        else:
-            order = F.struct(F.col("popular"), (-F.col("node")).alias("node"))
-            pivot = rows.groupBy("band").agg(F.max_by(F.struct("node", "root", "size"), order).alias("p"))
-            beside = rows.join(pivot, "band").where("node <> p.node").where("root <> p.root")
-            found = beside.where(_sizes_allow("size", "p.size")).select(
-                F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")
-            )
-            found = found.distinct()
-            rows = rows.join(pivot.select("band", F.col("p.node").alias("node")), ["band", "node"], "left_anti")
-        found = steps.write(found if tried is None else found.join(tried, ["u", "v"], "left_anti"))
-        more = verified(steps, texts, nodes, found)
+
+    def linked(found: DataFrame) -> None:
+        nonlocal links, roots
+        more = found.where(F.col("least") >= SIMILARITY).select("u", "v")
         if not more.isEmpty():
             links = more if links is None else links.unionByName(more)
             roots = components(steps, links)
-        if last:
+
+    done = 0
+    while done < PIVOTS:
+        n, pairs = _pairs_left(rows)
+        if pairs <= PAIRS_A_MEMBER * n:
             break
-        tried = found if tried is None else tried.unionByName(found)
+        order = F.struct(F.col("popular"), (-F.col("node")).alias("node"))
+        pivot = rows.groupBy("band").agg(F.max_by(F.struct("node", "root", "size"), order).alias("p"))
+        pivot = steps.write(pivot)
+        beside = rows.join(pivot, "band").where("node <> p.node").where("root <> p.root")
+        pairs = beside.where(_sizes_allow("size", "p.size")).select(
+            F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")
+        )
+        pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["u", "v"], "left_anti")
+        found = measured(steps, texts, nodes, pairs)
+        linked(found)
+        rows = _with_distance(rows, pivot, found, done)
+        rows = rows.join(pivot.select("band", F.col("p.node").alias("node")), ["band", "node"], "left_anti")
         rows = steps.write(_with_roots(rows, roots))
+        compared = found.select("u", "v")
+        tried = compared if tried is None else tried.unionByName(compared)
+        done += 1
+    rows = rows.join(nodes.select("node", "bands"), "node")
+    rows = steps.write(rows)
+    carried = [c for c in rows.columns if c not in ("band", "popular")]
+    x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in carried])
+    y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in carried])
+    # A pair comes from the first band that it shares, and from no other.
+    first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("band")
+    pairs = x.join(y, "band").where("node_u < node_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
+    pairs = pairs.where(_near_by_pivots(done)).where(first).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+    if tried is not None:
+        pairs = pairs.join(tried, ["u", "v"], "left_anti")
+    linked(measured(steps, texts, nodes, pairs))
     return roots
 
 
