@@ -7,7 +7,8 @@ the same parent element are tied by smoothness edges.  The minimum cut, found by
 maximum flow, labels all blocks of the page at once.
 
 The content of script, style, title, textarea and the like is no markup: it ends
-at their own closing tag, or with the page, whatever stands in between.
+at their own closing tag, or with the page, whatever stands in between.  A page is
+read in one pass with counted elements, so the time follows its length.
 
 Defined cases: a null or empty page gives an empty text; a tag cut off at the
 end of the page is dropped; a page without any content block gives an empty
@@ -18,9 +19,10 @@ only the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +30,15 @@ from pyspark.sql import functions as F
 
 from .words import small_batches
 
+# A quote opens a value only right after an equals sign; nothing is tried twice, so reading takes one pass.
 _PART = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<end>>|\Z)"
-    r"|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</(?![A-Za-z])[^>]*+(?:>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*+)"
+    r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+)*+)(?P<end>>|\Z)"
+    r"|(?P<text>[^<]++|<)",
     re.DOTALL,
 )
-_ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Elements whose content is no text of the page.
@@ -138,11 +142,49 @@ def _raw_end(html: str, tag: str, start: int) -> int:
     return len(html)
 
 
+class _Open(NamedTuple):
+    """An open element and what its text needs to know of the elements around it."""
+
+    tag: str
+    odds: float  # of all elements so far
+    in_article: bool
+    container: int  # number of the innermost container
+    block: int  # place in the stack of the innermost block element
+    block_tag: str
+
+
+class _Stack:
+    """Open elements, with counts, so that no step looks through all of them."""
+
+    def __init__(self):
+        self.open, self.count, self.n = [_Open("", 0.0, False, 0, 0, "")], Counter(), 0
+
+    def push(self, tag: str, attrs: str) -> None:
+        self.n += 1
+        top = self.open[-1]
+        odds = max(-30.0, min(8.0, top.odds + _element_odds(tag, attrs, top.in_article)))
+        container = self.n if tag in CONTAINERS else top.container
+        block, block_tag = (len(self.open), tag) if tag in BLOCKS else (top.block, top.block_tag)
+        self.open.append(_Open(tag, odds, top.in_article or tag in ("article", "main"), container, block, block_tag))
+        self.count[tag] += 1
+
+    def cut(self, size: int) -> None:
+        while len(self.open) > size:
+            self.count[self.open.pop().tag] -= 1
+
+    def close(self, tag: str) -> None:
+        """End the innermost element of this kind and all in it, if there is one."""
+        if self.count[tag]:
+            while self.open[-1].tag != tag:
+                self.cut(len(self.open) - 1)
+            self.cut(len(self.open) - 1)
+
+
 def blocks_of(html: str) -> list[Block]:
-    """The text blocks of a page in order."""
+    """The text blocks of a page in order, in one pass over it."""
     blocks: list[Block] = []
-    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]  # tag, odds so far, number, in article
-    n, links, block, skip, at, raw_end = 0, 0, None, "", 0, -1
+    stack = _Stack()
+    block, skip, at, raw_end = None, "", 0, -1
     while at < len(html):
         if raw_end > at:
             tag, text, at = None, html[at:raw_end], raw_end
@@ -152,12 +194,11 @@ def blocks_of(html: str) -> list[Block]:
         if tag is None:
             if text and not skip:
                 if block is None:
-                    top = stack[-1]
-                    parent = next((e[2] for e in reversed(stack) if e[0] in CONTAINERS), 0)
-                    block = Block(top[1], parent, next((e[0] for e in reversed(stack) if e[0] in BLOCKS), ""))
+                    top = stack.open[-1]
+                    block = Block(top.odds, top.container, top.block_tag)
                     blocks.append(block)
                 block.pieces.append(text)
-                if links:
+                if stack.count["a"]:
                     block.linked += len(text.strip())
             continue
         tag = tag.lower()
@@ -174,11 +215,7 @@ def blocks_of(html: str) -> list[Block]:
         if part["close"]:
             if tag in BLOCKS:
                 block = None
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    links = sum(e[0] == "a" for e in stack)
-                    break
+            stack.close(tag)
             continue
         if tag in SKIPPED:
             skip = "" if part["attrs"].endswith("/") else tag
@@ -187,20 +224,10 @@ def blocks_of(html: str) -> list[Block]:
             block = None
         if tag in VOID:
             continue
-        ended = CLOSED_BY.get(tag)
-        if ended:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ended:
-                    del stack[i:]
-                    links = sum(e[0] == "a" for e in stack)
-                    break
-                if stack[i][0] in BLOCKS and stack[i][0] not in ended:
-                    break
-        n += 1
-        links += tag == "a"
-        top = stack[-1]
-        odds = top[1] + _element_odds(tag, part["attrs"], top[3])
-        stack.append((tag, max(-30.0, min(8.0, odds)), n, top[3] or tag in ("article", "main")))
+        top = stack.open[-1]
+        if tag in CLOSED_BY and top.block_tag in CLOSED_BY[tag]:
+            stack.cut(top.block)
+        stack.push(tag, part["attrs"])
     return blocks
 
 
@@ -220,39 +247,61 @@ def block_odds(block: Block, text: str) -> float:
 def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay with the source: minimises cut odds plus cut edges.
 
-    Maximum flow by shortest augmenting paths.  A node has either room from the
-    source (positive odds) or to the sink (negative), so only paths along
-    smoothness edges are left to search.
+    Maximum flow by blocking flows: each phase numbers the nodes by their distance
+    from the source and saturates all paths that lead one level on with each step.
+    A node has either room from the source (positive odds) or to the sink
+    (negative), so only paths along smoothness edges are left to search.
     """
-    room: list[dict[int, float]] = [{} for _ in odds]
+    tiny, n = 1e-9, len(odds)
+    out: list[list[int]] = [[] for _ in odds]  # numbers of the edges of a node; e ^ 1 is the way back
+    to, room, left = [], [], list(odds)
     for a, b, weight in edges:
-        room[a][b] = room[a].get(b, 0.0) + weight
-        room[b][a] = room[b].get(a, 0.0) + weight
-    left = list(odds)
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to += [b, a]
+        room += [weight, weight]
     while True:
-        came = {i: -1 for i, x in enumerate(left) if x > 1e-9}
-        queue, end = deque(came), -1
-        while queue and end < 0:
-            i = queue.popleft()
-            for j, free in room[i].items():
-                if free > 1e-9 and j not in came:
-                    came[j] = i
-                    if left[j] < -1e-9:
-                        end = j
+        queue = [i for i in range(n) if left[i] > tiny]
+        level = [-1] * n
+        for i in queue:
+            level[i] = 0
+        for i in queue:  # grows while it is read
+            for e in out[i]:
+                if room[e] > tiny and level[to[e]] < 0:
+                    level[to[e]] = level[i] + 1
+                    queue.append(to[e])
+        if not any(level[i] >= 0 and left[i] < -tiny for i in range(n)):
+            return [at >= 0 for at in level]
+        arc = [0] * n
+        for source in queue:
+            path, i = [], source
+            while left[source] > tiny and level[source] == 0:
+                if left[i] < -tiny:
+                    flow = min([left[source], -left[i], *[room[e] for e in path]])
+                    left[source] -= flow
+                    left[i] += flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    # Go on from the first edge that is full.
+                    full = next((k for k, e in enumerate(path) if room[e] <= tiny), len(path))
+                    if full < len(path):
+                        i = to[path[full] ^ 1]
+                        del path[full:]
+                    continue
+                while arc[i] < len(out[i]):
+                    e = out[i][arc[i]]
+                    if room[e] > tiny and level[to[e]] == level[i] + 1:
                         break
-                    queue.append(j)
-        if end < 0:
-            return [i in came for i in range(len(odds))]
-        path, i = [end], end
-        while came[i] >= 0:
-            i = came[i]
-            path.append(i)
-        flow = min(left[path[-1]], -left[end], *[room[b][a] for a, b in zip(path, path[1:])])
-        for a, b in zip(path, path[1:]):
-            room[b][a] -= flow
-            room[a][b] += flow
-        left[path[-1]] -= flow
-        left[end] += flow
+                    arc[i] += 1
+                if arc[i] < len(out[i]):
+                    path.append(out[i][arc[i]])
+                    i = to[path[-1]]
+                elif path:
+                    i = to[path.pop() ^ 1]
+                    arc[i] += 1
+                else:
+                    break
 
 
 def label_blocks(html: str | None) -> list[tuple[str, bool]]:
