@@ -140,7 +140,7 @@ def _automaton() -> ahocorasick.Automaton:
         kinds.setdefault(phrase, []).append(("notice", label))
     kinds.setdefault(TAG, []).append(("tag", ""))
     for phrase, found in kinds.items():
-        machine.add_word(f" {phrase} ", (len(phrase) + 2, found))
+        machine.add_word(f" {phrase} ", (len(phrase.split(" ")), found))
     machine.make_automaton()
     return machine
 
@@ -150,9 +150,10 @@ def scan(text: str | None) -> dict:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_BREAKS).split()
     line = (b" " + b" ".join(words) + b" ").decode("latin-1") if words else ""
     base, base_labels, notices, tags, places = [], set(), {}, 0, []
+    before = seen = 0  # words that end before the place ``seen``; matches come in the order of their ends
     for end, (width, kinds) in _automaton().iter(line) if line else ():
-        at = end + 1 - width
-        word = line.count(" ", 0, at)
+        before, seen = before + line.count(" ", seen, end), end
+        word = before - width
         for kind, label in kinds:
             places.append((word, kind, label))
             if kind == "base":
