@@ -200,35 +200,51 @@ class Labeller:
         return sums, np.bincount(text, letters, len(column)), gamma, first_word
 
 
+def windows_of(text: str) -> list[list[str]]:
+    """At most ``WINDOWS`` windows of ``WINDOW_WORDS`` words with letters, spread over a text."""
+    words = [w for w in text.lower().split() if has_letter(w)]
+    spread = np.linspace(0, max(0, len(words) - WINDOW_WORDS), WINDOWS).astype(int)
+    return [words[at : at + WINDOW_WORDS] for at in sorted(set(spread.tolist())) if words]
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cut = pa.array([windows_of(text.as_py()) for text in batch.column("text")], pa.list_(pa.list_(pa.string())))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("lang"), batch.column("place"), batch.column("doc_id"), cut], ["lang", "place", "doc_id", "windows"]
+        )
+
+
 def training_rows(steps: Steps, docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list:
-    """The sample, on the driver: at most ``per_language`` texts of each language.
+    """The sample, on the driver: windows of at most ``per_language`` texts of each language.
 
     Rows are ranked by a hash, first within salted parts of a language, so a
-    frequent language is not ranked in one task.
+    frequent language is not ranked in one task.  Of rows that repeat a doc_id
+    one is used, and the windows are cut where the texts are.
     """
     place = F.xxhash64(F.col("doc_id"), F.lit("language"))
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", place.alias("place"))
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = usable.select("doc_id", "lang", place.alias("place")).distinct()
     rows = rows.withColumn("salt", F.pmod("place", F.lit(64)))
     for keys in (["lang", "salt"], ["lang"]):
         w = Window.partitionBy(*keys).orderBy("place", "doc_id")
         rows = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_language)
-    found = with_ids(steps, docs.where("lang IS NOT NULL AND text IS NOT NULL"), rows.select("doc_id"))
-    return found.select("doc_id", "lang", "text").orderBy("lang", place, "doc_id").collect()
+    found = with_ids(steps, usable, rows.select("doc_id"))
+    found = found.groupBy("lang", place.alias("place"), "doc_id").agg(F.min(F.col("text").cast("string")).alias("text"))
+    kind = found.schema["doc_id"].dataType.simpleString()
+    cut = found.mapInArrow(_cut, f"lang string, place bigint, doc_id {kind}, windows array<array<string>>")
+    return cut.orderBy("lang", "place", "doc_id").collect()
 
 
 def learn(rows: list) -> Chain:
-    """A chain fitted on (lang, text) rows."""
+    """A chain fitted on (lang, windows) rows."""
     languages = sorted({row["lang"] for row in rows})
     number = {lang: i for i, lang in enumerate(languages)}
     windows, counts = [], [Counter() for _ in languages]
     for row in rows:
-        words = [w for w in row["text"].lower().split() if has_letter(w)]
-        spread = np.linspace(0, max(0, len(words) - WINDOW_WORDS), WINDOWS).astype(int)
-        for begin in sorted(set(spread.tolist())):
-            part = words[begin : begin + WINDOW_WORDS]
-            if part:
-                counts[number[row["lang"]]].update(part)
-                windows.append([(word, number[row["lang"]]) for word in part])
+        for part in row["windows"]:
+            counts[number[row["lang"]]].update(part)
+            windows.append([(word, number[row["lang"]]) for word in part])
     lexicon = {}
     totals = [max(1, sum(c.values())) for c in counts]
     for y, count in enumerate(counts):

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tallyguard.llm.tables import Steps
 from tallyguard.llm import decontaminate, html_main, katz, langid, licenses, mixing, neardup, quality, suffix
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, words int"
@@ -350,6 +351,7 @@ def test_languages_word_by_word(spark):
     a = ["alpha" + x for x in "abcdefgh"]
     b = ["über" + x for x in "stuvwxyz"]
     rows = [{"lang": "a", "text": " ".join(a * 8)}, {"lang": "b", "text": " ".join(b * 8)}]
+    rows = [{"lang": row["lang"], "windows": langid.windows_of(row["text"])} for row in rows]
     chain = langid.learn(rows * 6)
     texts = [(1, " ".join(a * 3)), (2, " ".join(a * 2 + b * 9)), (3, None), (4, "12 !"), (5, "")]
     got = {r.doc_id: r for r in langid.identify(spark, spark.createDataFrame(texts, "doc_id long, text string"), chain).collect()}
@@ -391,3 +393,140 @@ def test_main_text_after_raw_elements(raw):
     article = "<article><p>The article has a sentence that is long enough.</p><script>x</script><p>It has another.</p></article>"
     kept = [text for text, good in html_main.label_blocks(f"<html><body>{raw}{article}</body></html>") if good]
     assert kept == ["The article has a sentence that is long enough.", "It has another."]
+
+
+def test_markup_never_becomes_text():
+    page = (
+        "<article><p title=it's>Second sentence of some length goes here, as it were.</p>"
+        "<p class='a>b' data-x=\"<p>\">Third one, a < b, is longer still and ends as it should.</p></ >"
+        "<p a=b'c\"d>Fourth one has odd values, and it is just as long as the others.</p></article><nav><a href=x>menu</a></nav>"
+        '<p title="never closed> tail </p> and more'
+    )
+    kept = [text for text, good in html_main.label_blocks(page) if good]
+    assert kept == [
+        "Second sentence of some length goes here, as it were.",
+        "Third one, a < b, is longer still and ends as it should.",
+        "Fourth one has odd values, and it is just as long as the others.",
+    ]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<a " * n + '"',
+        lambda n: "<div>" * n + "text",
+        lambda n: "<div>" * n + "</b>" * n,
+        lambda n: "<span>" * n + "<i><li>x</li>" * n,
+        lambda n: ("<p>" + "This is a paragraph of content. " * 9 + "</p><nav>menu</nav>") * (n // 10),
+        lambda n: "<!-" * n + "x='" * n,
+    ],
+)
+def test_reading_time_follows_the_length(page):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        html_main.label_blocks(page(n))
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(32_000) < 8 * seconds(8000) + 0.5
+
+
+def test_blocking_flow_equals_all_labellings():
+    import itertools
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(60):
+        n = rnd.randint(1, 8)
+        odds = [rnd.choice([-3, -1, -0.5, 0.4, 1, 2.5]) for _ in range(n)]
+        edges = [(i, i + 1, 0.5) for i in range(n - 1)] + [(a, b, 0.7) for a, b in itertools.combinations(range(n), 2) if rnd.random() < 0.3]
+
+        def cost(keep, odds=odds, edges=edges):
+            return sum(abs(x) for x, k in zip(odds, keep) if (x > 0) != k) + sum(w for a, b, w in edges if keep[a] != keep[b])
+
+        found = html_main.minimum_cut(odds, edges)
+        assert cost(found) == pytest.approx(min(cost(k) for k in itertools.product([False, True], repeat=n)))
+
+
+def test_pages_of_an_empty_table(spark):
+    assert html_main.main_text(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+
+
+def test_licences_against_a_loop():
+    import random
+
+    rnd = random.Random(2)
+    vocabulary = ["MIT", "mit", "License", "license", "apache", "general", "public", "é", "the", "MIT-License"]
+    for _ in range(300):
+        text = "".join(rnd.choice(vocabulary) + rnd.choice([" ", ".", "\n", "-", ""]) for _ in range(rnd.randint(0, 30)))
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+        places = [
+            (i, label)
+            for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+            for i in range(len(words))
+            if words[i : i + len(phrase.split())] == phrase.split()
+        ]
+        got = licenses.scan(text)
+        assert (got["n_words"], got["n_base"]) == (len(words), len(places))
+        assert (got["first_word"], got["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert got["base_labels"] == ",".join(sorted({label for _, label in places}))
+        assert set(got["base_labels"].split(",")) <= set(got["labels"].split(",")) and 0 <= got["score"] <= 1
+
+
+def test_licences_of_long_and_empty_inputs(spark):
+    import time
+
+    start = time.perf_counter()
+    assert licenses.scan("mit license " * 100_000)["n_base"] == 100_000 and time.perf_counter() - start < 20
+    assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
+
+
+def test_forward_backward_against_all_labellings():
+    import itertools
+
+    rng = np.random.default_rng(6)
+    lengths = np.array([1, 4, 3])
+    starts = np.cumsum(lengths) - lengths
+    emit, move, first = rng.random((8, 3)) + 0.1, rng.random((3, 3)) + 0.1, rng.random(3) + 0.1
+    gamma, *_ = langid.posteriors(emit, starts, lengths, move, first)
+    for start, length in zip(starts, lengths):
+        want = np.zeros((length, 3))
+        for path in itertools.product(range(3), repeat=int(length)):
+            weight = first[path[0]] * np.prod([emit[start + t, y] for t, y in enumerate(path)])
+            weight *= np.prod([move[a, b] for a, b in zip(path, path[1:])])
+            for t, y in enumerate(path):
+                want[t, y] += weight
+        assert gamma[start : start + length] == pytest.approx(want / want.sum(axis=1, keepdims=True))
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(1, "a b " * 5000, "x")] * 40 + [(i, f"word{i} more", "x" if i % 2 else "y") for i in range(2, 60)] + [(None, "a", None), (61, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = langid.training_rows(Steps(spark, "sample"), docs, 10)
+    assert sorted(r.lang for r in found) == ["x"] * 10 + ["y"] * 10
+    assert all(len(r.windows) <= langid.WINDOWS and all(len(w) <= langid.WINDOW_WORDS for w in r.windows) for r in found)
+    assert langid.training_rows(Steps(spark, "sample"), docs.limit(0)) == []
+
+
+def test_pipeline_accounts_for_every_document(spark, tmp_path):
+    """Rejected, copied, contaminated or packed: each document has one fate."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    pytest.importorskip("public_tokenizers")
+    item = prose(9, 30)
+    good = {i: prose(200 + i, 60) for i in range(12)}
+    found = [(i, t, "en", "s1", 0) for i, t in good.items()]
+    found += [(100, good[3], "en", "s1", 0), (3, good[4], "en", "s2", 0), (101, "too short", "en", "s1", 0), (102, None, None, None, 0)]
+    found += [(103, prose(80, 40) + " " + item + " " + prose(81, 30), "en", "s1", 0), (None, prose(82, 50), "en", None, 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(found, schema).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        kept = Steps(spark, name).write(stage(spark, kept, str(tmp_path)))
+    assert kept.columns == docs.columns
+    texts = sorted(r.text for r in kept.collect())
+    assert texts == sorted([*good.values(), prose(82, 50)])
+    assert not corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
