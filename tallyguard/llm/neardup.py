@@ -54,8 +54,8 @@ COUNTERS = 1 << 22
 CHUNK = 1 << 16
 BINS = 256
 _KEEP = U((1 << 44) - 1)
-# Pivots are tried while a member has more candidates than this, in at most so many rounds.
-PAIRS_A_MEMBER, PIVOTS = 4, 2
+# Pivots of a band that all its members are compared with before any pair of others is.
+PIVOTS = 2
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,23 +240,34 @@ def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 MEASURED = "u bigint, v bigint, least double, most double"
 
 
-def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """u, v and bounds of the similarity of each pair of nodes; they are equal wherever it may reach ``SIMILARITY``.
+def _most(counts_u: str, counts_v: str, size_u: str, size_v: str) -> Column:
+    """An upper bound of the similarity: what two texts share is at most the sum of the lesser counts."""
+    shared = F.aggregate(
+        F.zip_with(counts_u, counts_v, lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
+    )
+    shared = F.coalesce(shared, F.least(size_u, size_v))
+    return shared / (F.col(size_u) + F.col(size_v) - shared)
 
-    What two texts share is at most the sum of the lesser counts, so most pairs
-    that are not similar go by their counts; only texts of the others are fetched.
-    """
+
+MAY_BE = SIMILARITY - 1e-9
+
+
+def bounded(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of nodes with bounds of their similarity, from their counts alone."""
     x = nodes.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("counts").alias("counts_u"))
     y = nodes.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("counts").alias("counts_v"))
-    shared_most = F.aggregate(
-        F.zip_with("counts_u", "counts_v", lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
-    )
-    shared_most = F.coalesce(shared_most, F.least("size_u", "size_v"))
-    most = shared_most / (F.col("size_u") + F.col("size_v") - shared_most)
-    bounded = pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), most.alias("most"))
-    bounded = steps.write(bounded)
-    may_be = F.col("most") >= SIMILARITY - 1e-9
-    pairs = bounded.where(may_be).select("u", "v")
+    most = _most("counts_u", "counts_v", "size_u", "size_v")
+    return pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), most.alias("most"))
+
+
+def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, bounds: DataFrame) -> DataFrame:
+    """u, v and bounds of the similarity of each pair; they are equal wherever it may reach ``SIMILARITY``.
+
+    Only the texts of those pairs are fetched.
+    """
+    bounds = steps.write(bounds)
+    may_be = F.col("most") >= MAY_BE
+    pairs = bounds.where(may_be).select("u", "v")
     ids = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = steps.write(nodes.select("node", "fp", F.col("name").alias("doc_id")).join(ids, "node"))
     same = texts["fp"].eqNullSafe(wanted["fp"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
@@ -266,7 +277,7 @@ def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, pairs: DataFrame)
     a = needed.select(F.col("node").alias("u"), "text")
     b = needed.select(F.col("node").alias("v"), F.col("text").alias("text_b"))
     rows = pairs.join(b, "v").join(a, "u").select("u", "v", "text", "text_b")
-    return steps.write(rows.mapInArrow(_similarities, MEASURED)).unionByName(bounded.where(~may_be))
+    return steps.write(rows.mapInArrow(_similarities, MEASURED)).unionByName(bounds.where(~may_be))
 
 
 def _sizes_allow(a: str, b: str) -> Column:
@@ -283,14 +294,6 @@ def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rows.join(mixed.select("band"), "band")
 
 
-def _pairs_left(rows: DataFrame) -> tuple[int, int]:
-    """Number of rows, and of pairs of one band between different components."""
-    by_root = rows.groupBy("band", "root").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    by_band = by_root.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    total = by_band.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-    return total["n"] or 0, total["pairs"] or 0
-
-
 def _with_distance(rows: DataFrame, pivot: DataFrame, found: DataFrame, step: int) -> DataFrame:
     """Bounds of the distance (1 - similarity) of every member to the pivot of its band, as ``low``, ``high`` and the step."""
     low, high = f"low{step}", f"high{step}"
@@ -330,10 +333,7 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
             roots = components(steps, links)
 
     done = 0
-    while done < PIVOTS:
-        n, pairs = _pairs_left(rows)
-        if pairs <= PAIRS_A_MEMBER * n:
-            break
+    while done < PIVOTS and not rows.isEmpty():
         order = F.struct(F.col("popular"), (-F.col("node")).alias("node"))
         pivot = rows.groupBy("band").agg(F.max_by(F.struct("node", "root", "size"), order).alias("p"))
         pivot = steps.write(pivot)
@@ -342,7 +342,7 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
             F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")
         )
         pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["u", "v"], "left_anti")
-        found = measured(steps, texts, nodes, pairs)
+        found = measured(steps, texts, nodes, bounded(nodes, pairs))
         linked(found)
         rows = _with_distance(rows, pivot, found, done)
         rows = rows.join(pivot.select("band", F.col("p.node").alias("node")), ["band", "node"], "left_anti")
@@ -350,18 +350,19 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
         compared = found.select("u", "v")
         tried = compared if tried is None else tried.unionByName(compared)
         done += 1
-    rows = rows.join(nodes.select("node", "bands"), "node")
-    rows = steps.write(rows)
+    rows = steps.write(rows.join(nodes.select("node", "bands", "counts"), "node"))
     carried = [c for c in rows.columns if c not in ("band", "popular")]
     x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in carried])
     y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in carried])
     # A pair comes from the first band that it shares, and from no other.
     first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("band")
     pairs = x.join(y, "band").where("node_u < node_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
-    pairs = pairs.where(_near_by_pivots(done)).where(first).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+    pairs = pairs.where(_near_by_pivots(done)).where(first)
+    most = _most("counts_u", "counts_v", "size_u", "size_v")
+    pairs = pairs.where(most >= MAY_BE).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
     if tried is not None:
         pairs = pairs.join(tried, ["u", "v"], "left_anti")
-    linked(measured(steps, texts, nodes, pairs))
+    linked(measured(steps, texts, nodes, pairs.select("u", "v", F.lit(0.0).alias("least"), F.lit(1.0).alias("most"))))
     return roots
 
 

@@ -142,8 +142,8 @@ def test_pivots_find_what_all_pairs_find(spark, monkeypatch):
             low, high = sorted((root[a], root[b]))
             root = {k: low if v == high else v for k, v in root.items()}
     rows = spark.createDataFrame(list(found.items()), "doc_id long, text string").repartition(3)
-    for bound in (0, 10**9):
-        monkeypatch.setattr(neardup, "PAIRS_A_MEMBER", bound)
+    for pivots in (0, neardup.PIVOTS):
+        monkeypatch.setattr(neardup, "PIVOTS", pivots)
         assert {r.doc_id: r.class_id for r in neardup.duplicate_classes(spark, rows).collect()} == root
 
 
