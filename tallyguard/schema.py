@@ -20,15 +20,19 @@ def _struct(fields: str) -> T.StructType:
 
 
 # Column order and types of a flow file.
-FLOW_COLUMNS = (
-    "dur proto service state spkts dpkts sbytes dbytes rate sttl dttl sload dload "
-    "sloss dloss sinpkt dinpkt sjit djit swin stcpb dtcpb dwin tcprtt synack ackdat "
-    "smean dmean trans_depth response_body_len ct_srv_src ct_state_ttl ct_flw_http_mthd "
-    "is_ftp_login ct_ftp_cmd ct_srv_dst ct_dst_ltm ct_src_ltm ct_src_dport_ltm "
-    "ct_dst_sport_ltm ct_dst_src_ltm is_sm_ips_ports attack_cat label"
-).split()
-FLOW_DOUBLES = set("dur rate sload dload sinpkt dinpkt sjit djit tcprtt synack ackdat".split())
-FLOW_STRINGS = set("proto service state attack_cat".split())
+FLOW_COLUMNS = [
+    "dur", "proto", "service", "state", "spkts", "dpkts", "sbytes", "dbytes", "rate", "sttl",
+    "dttl", "sload", "dload", "sloss", "dloss", "sinpkt", "dinpkt", "sjit", "djit", "swin",
+    "stcpb", "dtcpb", "dwin", "tcprtt", "synack", "ackdat", "smean", "dmean", "trans_depth",
+    "response_body_len", "ct_srv_src", "ct_state_ttl", "ct_flw_http_mthd", "is_ftp_login",
+    "ct_ftp_cmd", "ct_srv_dst", "ct_dst_ltm", "ct_src_ltm", "ct_src_dport_ltm",
+    "ct_dst_sport_ltm", "ct_dst_src_ltm", "is_sm_ips_ports", "attack_cat", "label",
+]
+FLOW_DOUBLES = {
+    "dur", "rate", "sload", "dload", "sinpkt", "dinpkt", "sjit", "djit", "tcprtt", "synack",
+    "ackdat",
+}
+FLOW_STRINGS = {"proto", "service", "state", "attack_cat"}
 FLOW_FEATURES = tuple(c for c in FLOW_COLUMNS if c not in ("attack_cat", "label"))
 
 
