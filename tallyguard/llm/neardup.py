@@ -260,20 +260,23 @@ def bounded(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), most.alias("most"))
 
 
-def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, bounds: DataFrame) -> DataFrame:
+def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, bounds: DataFrame, rows: int | None = None) -> DataFrame:
     """u, v and bounds of the similarity of each pair; they are equal wherever it may reach ``SIMILARITY``.
 
-    Only the texts of those pairs are fetched.
+    Only the texts of those pairs are fetched.  ``rows`` is the most that
+    ``bounds`` may hold, if known.
     """
-    bounds = steps.write(bounds)
+    bounds = steps.write(bounds, rows)
+    n = bounds.count()
     may_be = F.col("most") >= MAY_BE
     pairs = bounds.where(may_be).select("u", "v")
     ids = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = steps.write(nodes.select("node", "fp", F.col("name").alias("doc_id")).join(ids, "node"))
+    wanted = steps.write(nodes.select("node", "fp", F.col("name").alias("doc_id")).join(ids, "node"), 2 * n)
+    n_wanted = wanted.count()
     same = texts["fp"].eqNullSafe(wanted["fp"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
-    found = texts.join(bounded_broadcast(wanted, wanted.count()), same).select("node", "text")
+    found = texts.join(bounded_broadcast(wanted, n_wanted), same).select("node", "text")
     # A row may be repeated; its text is one all the same.
-    needed = steps.write(found.groupBy("node").agg(F.first("text").alias("text")))
+    needed = steps.write(found.groupBy("node").agg(F.first("text").alias("text")), n_wanted, 2_000)
     a = needed.select(F.col("node").alias("u"), "text")
     b = needed.select(F.col("node").alias("v"), F.col("text").alias("text_b"))
     rows = pairs.join(b, "v").join(a, "u").select("u", "v", "text", "text_b")
@@ -318,12 +321,13 @@ def _near_by_pivots(steps: int) -> Column:
 
 def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFrame | None:
     """id, root of every node that has a link; None without any."""
-    member = steps.write(nodes.select("node", "size", F.explode("bands").alias("band")).distinct())
+    member = nodes.select("node", "size", F.explode(F.array_distinct("bands")).alias("band"))
     shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    member = steps.write(member.join(shared, "band"))
-    popular = member.groupBy("node").agg(F.sum("n").alias("popular"))
-    rows = member.drop("n").join(popular, "node").withColumn("root", F.col("node"))
-    rows, links, roots, tried = steps.write(rows), None, None, None
+    # A node has at most 2 * BANDS bands, so its shared ones and their sum fit in one row.
+    shared = member.join(shared, "band").groupBy("node", "size").agg(F.collect_list("band").alias("bands"), F.sum("n").alias("popular"))
+    rows = shared.select(F.explode("bands").alias("band"), "node", "size", "popular", F.col("node").alias("root"))
+    rows = steps.write(rows, nodes.count() * 2 * BANDS)
+    links, roots, tried = None, None, None
 
     def linked(found: DataFrame) -> None:
         nonlocal links, roots
@@ -336,21 +340,22 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
     while done < PIVOTS and not rows.isEmpty():
         order = F.struct(F.col("popular"), (-F.col("node")).alias("node"))
         pivot = rows.groupBy("band").agg(F.max_by(F.struct("node", "root", "size"), order).alias("p"))
-        pivot = steps.write(pivot)
+        n = rows.count()
+        pivot = steps.write(pivot, n)
         beside = rows.join(pivot, "band").where("node <> p.node").where("root <> p.root")
         pairs = beside.where(_sizes_allow("size", "p.size")).select(
             F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")
         )
         pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["u", "v"], "left_anti")
-        found = measured(steps, texts, nodes, bounded(nodes, pairs))
+        found = measured(steps, texts, nodes, bounded(nodes, pairs), n)
         linked(found)
         rows = _with_distance(rows, pivot, found, done)
         rows = rows.join(pivot.select("band", F.col("p.node").alias("node")), ["band", "node"], "left_anti")
-        rows = steps.write(_with_roots(rows, roots))
+        rows = steps.write(_with_roots(rows, roots), n)
         compared = found.select("u", "v")
         tried = compared if tried is None else tried.unionByName(compared)
         done += 1
-    rows = steps.write(rows.join(nodes.select("node", "bands", "counts"), "node"))
+    rows = steps.write(rows.join(nodes.select("node", "bands", "counts"), "node"), rows.count(), 2_000)
     carried = [c for c in rows.columns if c not in ("band", "popular")]
     x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in carried])
     y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in carried])
@@ -377,19 +382,20 @@ def classified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(F.coalesce(text, F.lit(""))).alias("fp")
     )
-    table = steps.write(signed(texts, document_frequencies(texts), texts.count()))
+    n = texts.count()
+    table = steps.write(signed(texts, document_frequencies(texts), n))
     nodes = table.where("bands IS NOT NULL").groupBy("fp").agg(
         F.min("doc_id").alias("name"), *[F.first(c).alias(c) for c in ("size", "counts", "bands")]
     )
     # Written at once, so that the numbers stay what they are.
-    nodes = steps.write(nodes.withColumn("node", F.monotonically_increasing_id()))
+    nodes = steps.write(nodes.withColumn("node", F.monotonically_increasing_id()), n, 5_000)
     roots = node_components(steps, texts, nodes)
     named = nodes.select("node", "fp", "name")
     if roots is None:
         named = named.withColumn("root", F.col("node"))
     else:
         named = named.join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = steps.write(named)
+    named = steps.write(named, n)
     first = F.min_by(F.struct("name", "fp"), F.struct(F.col("name").isNull(), F.col("name"), F.col("fp"))).alias("keep")
     classes = named.join(named.groupBy("root").agg(first), "root").select(
         "fp", F.col("keep.name").alias("keep_id"), F.col("keep.fp").alias("keep_fp")
