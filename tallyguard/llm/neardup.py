@@ -52,7 +52,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 15, 3  # bands of each kind of weight
 COUNTERS = 1 << 22
 CHUNK = 1 << 16
-BINS = 256
+# Counts of BINS bins in unary: plane t holds a bit for each bin that counts more than t.
+BINS, PLANES = 256, 8
+WORDS = BINS * PLANES // 64
 _KEEP = U((1 << 44) - 1)
 # Pivots of a band that all its members are compared with before any pair of others is.
 PIVOTS = 2
@@ -180,14 +182,15 @@ def signatures(row: np.ndarray, hashes: np.ndarray, idf: np.ndarray, tf: np.ndar
     return row[starts], bands.view(np.int64)
 
 
-SIGNED = "doc_id bigint, fp string, size bigint, counts array<smallint>, bands array<bigint>"
+SIGNED = "doc_id bigint, fp string, size bigint, rest bigint, planes array<bigint>, bands array<bigint>"
 
 
 def signed(texts: DataFrame, frequencies: np.ndarray, n_docs: int) -> DataFrame:
-    """doc_id, fp (digest of the text), size (sum of tf), counts and bands.
+    """doc_id, fp (digest of the text), size (sum of tf), rest, planes and bands.
 
-    ``counts`` are the term frequencies summed by some bits of the shingle, NULL
-    if one does not fit; ``bands`` are NULL without a word.
+    ``planes`` are the term frequencies summed by some bits of the shingle, in
+    unary, and ``rest`` is what goes beyond ``PLANES`` in all bins; ``bands`` are
+    NULL without a word.
     """
     idf = np.log1p(n_docs / np.maximum(frequencies, 1).astype(np.float64)).astype(np.float32)
     shared = texts.sparkSession.sparkContext.broadcast(idf)
@@ -204,12 +207,13 @@ def signed(texts: DataFrame, frequencies: np.ndarray, n_docs: int) -> DataFrame:
                 size = pa.array(np.bincount(row, tf, part.num_rows).astype(np.int64))
                 counts = np.bincount(row * BINS + (hashes & U(BINS - 1)).astype(np.int64), tf, part.num_rows * BINS)
                 counts = counts.reshape(-1, BINS)
-                fits = counts.max(axis=1) < 1 << 15
-                offsets = np.arange(part.num_rows + 1, dtype=np.int32) * BINS
-                counts = pa.ListArray.from_arrays(offsets, np.where(fits[:, None], counts, 0).astype(np.int16).ravel(), mask=pa.array(~fits))
+                rest = np.maximum(counts - PLANES, 0).sum(axis=1).astype(np.int64)
+                planes = np.concatenate([np.packbits(counts > t, axis=1) for t in range(PLANES)], axis=1).view(np.int64)
+                offsets = np.arange(part.num_rows + 1, dtype=np.int32) * WORDS
+                planes = pa.ListArray.from_arrays(offsets, planes.ravel())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("fp"), size, counts, lists],
-                    ["doc_id", "fp", "size", "counts", "bands"],
+                    [part.column("doc_id"), part.column("fp"), size, pa.array(rest), planes, lists],
+                    ["doc_id", "fp", "size", "rest", "planes", "bands"],
                 )
 
     return texts.select("doc_id", "fp", "text").mapInArrow(run, SIGNED)
@@ -240,13 +244,19 @@ def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 MEASURED = "u bigint, v bigint, least double, most double"
 
 
-def _most(counts_u: str, counts_v: str, size_u: str, size_v: str) -> Column:
-    """An upper bound of the similarity: what two texts share is at most the sum of the lesser counts."""
-    shared = F.aggregate(
-        F.zip_with(counts_u, counts_v, lambda a, b: F.least(a, b).cast("long")), F.lit(0).cast("long"), lambda t, n: t + n
-    )
-    shared = F.coalesce(shared, F.least(size_u, size_v))
-    return shared / (F.col(size_u) + F.col(size_v) - shared)
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    """``rows`` with names that end in ``side``."""
+    return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in rows.columns])
+
+
+def _most() -> Column:
+    """An upper bound of the similarity: what two texts share is at most the sum of the lesser counts.
+
+    That of two counts in unary is the number of bits that both have.
+    """
+    both = F.zip_with("planes_u", "planes_v", lambda a, b: F.bit_count(a.bitwiseAND(b)).cast("long"))
+    shared = F.aggregate(both, F.least("rest_u", "rest_v"), lambda t, n: t + n)
+    return shared / (F.col("size_u") + F.col("size_v") - shared)
 
 
 MAY_BE = SIMILARITY - 1e-9
@@ -254,10 +264,9 @@ MAY_BE = SIMILARITY - 1e-9
 
 def bounded(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of nodes with bounds of their similarity, from their counts alone."""
-    x = nodes.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("counts").alias("counts_u"))
-    y = nodes.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("counts").alias("counts_v"))
-    most = _most("counts_u", "counts_v", "size_u", "size_v")
-    return pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), most.alias("most"))
+    counted = nodes.select("node", "size", "rest", "planes")
+    x, y = (_side(counted, side).withColumnRenamed(f"node_{side}", side) for side in "uv")
+    return pairs.join(x, "u").join(y, "v").select("u", "v", F.lit(0.0).alias("least"), _most().alias("most"))
 
 
 def measured(steps: Steps, texts: DataFrame, nodes: DataFrame, bounds: DataFrame, rows: int | None = None) -> DataFrame:
@@ -355,16 +364,14 @@ def node_components(steps: Steps, texts: DataFrame, nodes: DataFrame) -> DataFra
         compared = found.select("u", "v")
         tried = compared if tried is None else tried.unionByName(compared)
         done += 1
-    rows = steps.write(rows.join(nodes.select("node", "bands", "counts"), "node"), rows.count(), 2_000)
-    carried = [c for c in rows.columns if c not in ("band", "popular")]
-    x = rows.select("band", *[F.col(c).alias(f"{c}_u") for c in carried])
-    y = rows.select("band", *[F.col(c).alias(f"{c}_v") for c in carried])
+    rows = steps.write(rows.join(nodes.select("node", "bands", "rest", "planes"), "node"), rows.count(), 2_000)
+    x, y = (_side(rows.drop("popular"), side).withColumnRenamed(f"band_{side}", "band") for side in "uv")
     # A pair comes from the first band that it shares, and from no other.
     first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("band")
     pairs = x.join(y, "band").where("node_u < node_v AND root_u <> root_v").where(_sizes_allow("size_u", "size_v"))
-    pairs = pairs.where(_near_by_pivots(done)).where(first)
-    most = _most("counts_u", "counts_v", "size_u", "size_v")
-    pairs = pairs.where(most >= MAY_BE).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+    # The dearest test comes last.
+    pairs = pairs.where(_near_by_pivots(done)).where(first).where(_most() >= MAY_BE)
+    pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
     if tried is not None:
         pairs = pairs.join(tried, ["u", "v"], "left_anti")
     linked(measured(steps, texts, nodes, pairs.select("u", "v", F.lit(0.0).alias("least"), F.lit(1.0).alias("most"))))
@@ -385,7 +392,7 @@ def classified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = texts.count()
     table = steps.write(signed(texts, document_frequencies(texts), n))
     nodes = table.where("bands IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("name"), *[F.first(c).alias(c) for c in ("size", "counts", "bands")]
+        F.min("doc_id").alias("name"), *[F.first(c).alias(c) for c in ("size", "rest", "planes", "bands")]
     )
     # Written at once, so that the numbers stay what they are.
     nodes = steps.write(nodes.withColumn("node", F.monotonically_increasing_id()), n, 5_000)
