@@ -15,6 +15,7 @@ result; only the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +30,8 @@ ROW_TOKENS = 2048
 BLOCK_TOKENS = 1 << 22
 # Fixed value: the id that the vocabulary leaves free.
 END = 50256
-CACHE = 400_000
+CACHE = 100_000
+UNITS = 10_000
 PACKED = (
     "doc_ids array<bigint>, offsets array<bigint>, cu_seqlens array<int>, "
     "n_tokens int, ids binary, position_ids binary"
@@ -100,11 +102,17 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Tokenizer:
-    """Token ids of many texts; each different word is encoded once."""
+    """Token ids of many texts; each different word is encoded once.
+
+    The ids of a known word are held as the bytes of 32-bit numbers.  Once
+    ``CACHE`` words are known they become the older ones, which go when the next
+    ``CACHE`` are full; a word that is met again moves to the newer ones.
+    """
 
     def __init__(self, vocabulary: str):
         self.encode = encoding(vocabulary).encode_ordinary
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the offsets of each text in them."""
@@ -114,16 +122,20 @@ class Tokenizer:
             len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))
         )
         coded = units.dictionary_encode()
-        if len(self.known) > CACHE:
-            self.known.clear()
         ids = []
-        for unit in coded.dictionary.to_pylist():
-            got = self.known.get(unit)
-            if got is None:
-                got = self.known[unit] = self.encode(unit)
-            ids.append(got)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for part in ids for i in part), np.uint32, int(sizes.sum()))
+        for begin in range(0, len(coded.dictionary), UNITS):
+            for unit in coded.dictionary.slice(begin, UNITS).to_pylist():
+                got = self.known.get(unit)
+                if got is None:
+                    got = self.older.get(unit)
+                    if got is None:
+                        got = array("I", self.encode(unit)).tobytes()
+                    if len(self.known) >= CACHE:
+                        self.older, self.known = self.known, {}
+                    self.known[unit] = got
+                ids.append(got)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         begins = np.cumsum(sizes) - sizes
         code = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[code] if len(code) else np.zeros(0, np.int64)
@@ -193,9 +205,9 @@ def _packed(pieces: list, row_tokens: int, pad: int, kind: np.dtype) -> Iterator
             ("ids", pa.binary()), ("position_ids", pa.binary()),
         ]
     )
-    for begin in range(0, len(rows), 512):
+    for begin in range(0, len(rows), 128):
         out = []
-        for row in rows[begin : begin + 512]:
+        for row in rows[begin : begin + 128]:
             ids, positions = np.full(row_tokens, pad, kind), np.zeros(row_tokens, "<u4")
             ends = [0]
             for i in row:

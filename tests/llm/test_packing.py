@@ -1,6 +1,7 @@
 """Token packing: exact tokens, exact round trip, and the best fit."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,21 @@ def test_units_give_the_tokens_of_the_whole_text(vocabulary):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == encode(text or ""), repr(text)
 
 
+def test_known_words_take_little_memory(vocabulary):
+    """Ids of known words are packed, the oldest words go, and the ids stay those of the encoder."""
+    tokenizer, encode = Tokenizer(vocabulary), encoding(vocabulary).encode_ordinary
+    tokenizer(pa.array(["warm up"]))
+    tracemalloc.start()
+    for k in range(5):
+        texts = [" ".join(f"the w{k}{i}x{j}" for j in range(100)) for i in range(700)]
+        ids, bounds = tokenizer(pa.array(texts))
+        assert ids[bounds[5] : bounds[6]].tolist() == encode(texts[5])
+        del texts, ids, bounds
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 50e6, held
+
+
 def test_best_fit_equals_a_search_over_all_rows():
     rnd = random.Random(2)
     for capacity in (1, 7, 50):
