@@ -75,11 +75,22 @@ def _join(parts: list[bytes]) -> bytes:
     return np.array([len(p) for p in parts], "<i8").tobytes() + b"".join(parts)
 
 
-def _split(raw: bytes, n: int) -> list[memoryview]:
+def _split(raw: pa.Buffer, n: int) -> list[memoryview]:
     ends = 8 * n + np.cumsum(np.frombuffer(raw[: 8 * n], "<i8"))
     return [memoryview(raw)[a:b] for a, b in zip([8 * n, *ends[:-1]], ends)]
 
 
+def _buffers(column: pa.Array) -> list[pa.Buffer]:
+    """The blocks of a batch where they lie, not copied."""
+    return [block.as_buffer() for block in column]
+
+
+def _sum_by(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sum of the values of each."""
+    found, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(values), len(found))
+
+
 def _runs(*columns: np.ndarray) -> np.ndarray:
     """Where a row differs from the one before."""
     new = np.zeros(len(columns[0]), bool)
@@ -101,7 +112,9 @@ def _count_words(classes: int):
         held, n = [], 0
 
         def blocks() -> Iterator[pa.RecordBatch]:
-            words = np.sort(np.concatenate(held))
+            words = np.concatenate(held)
+            held.clear()
+            words.sort()
             at = _runs(words)
             words, counts = words[at], _lengths(at, len(words))
             p = (mix(words) % U(classes)).astype(np.int64)
@@ -120,7 +133,7 @@ def _count_words(classes: int):
                 n += len(token)
                 if n >= 2 * BLOCK_TOKENS:
                     yield from blocks()
-                    held, n = [], 0
+                    n = 0
         if held:
             yield from blocks()
 
@@ -128,9 +141,9 @@ def _count_words(classes: int):
 
 
 def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, list[bytes]] = {}
+    found: dict[int, list[pa.Buffer]] = {}
     for batch in batches:
-        for p, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for p, block in zip(batch.column(0).to_pylist(), _buffers(batch.column(1))):
             found.setdefault(p, []).append(block)
     for blocks in found.values():
         split = [_split(block, 2) for block in blocks]
@@ -194,14 +207,20 @@ def _send_pairs(shared, classes: int):
 
         def blocks() -> Iterator[pa.RecordBatch]:
             h, w, d = (np.concatenate(x) for x in zip(*held))
-            w = w & W40
+            held.clear()
+            w &= W40
             p = mix(h)
             at, is_split = model.find(h, model.split)
             if is_split.any():
                 p[is_split] += mix(w[is_split] % model.parts[at[is_split]].astype(U) + U(1))
-            p = (p % U(classes)).astype(np.int64)
+            p = (p % U(classes)).astype(np.int32)
             order = np.lexsort((w, h, p))
-            h, w, d, p = h[order], w[order], d[order], p[order]
+            # One column after the other, so that only one is there twice.
+            h = h[order]
+            w = w[order]
+            d = d[order]
+            p = p[order]
+            del order
             at = _runs(p, h, w, d)
             times, h, w, d, p = _lengths(at, len(h)), h[at], w[at], d[at], p[at]
             cuts = np.searchsorted(p, np.arange(classes + 1))
@@ -216,13 +235,13 @@ def _send_pairs(shared, classes: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 h, w, row = token_pairs(part.column("text"))
-                held.append((h, w, row + len(docs)))
+                held.append((h, w, (row + len(docs)).astype(np.uint32)))
                 docs += part.column("doc_id").to_pylist()
                 flags += part.column("held_out").to_pylist()
                 n += len(h)
                 if n >= BLOCK_TOKENS:
                     yield from blocks()
-                    held, n, docs, flags = [], 0, [], []
+                    n, docs, flags = 0, [], []
         if held:
             yield from blocks()
 
@@ -241,7 +260,7 @@ def _encode(h, w, d, times, ids, held_out) -> bytes:
     ])
 
 
-def _decode(block: bytes):
+def _decode(block: pa.Buffer):
     a = _split(block, 8)
     w5 = np.frombuffer(a[2], np.uint8).reshape(-1, 5)
     w = np.zeros((len(w5), 8), np.uint8)
@@ -256,17 +275,23 @@ def _decode(block: bytes):
 
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The merged table of each partition, sorted by history and successor, and its columns after the block."""
-    found: dict[int, list[bytes]] = {}
+    found: dict[int, list[pa.Buffer]] = {}
     extra: list = []
     for batch in batches:
-        for p, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for p, block in zip(batch.column(0).to_pylist(), _buffers(batch.column(1))):
             found.setdefault(p, []).append(block)
         if batch.num_columns > 2 and batch.num_rows and not extra:
             extra = batch.slice(0, 1).to_pylist()
     for p in sorted(found):
         h, w, doc, held_out, times = (np.concatenate(x) for x in zip(*map(_decode, found.pop(p))))
         order = np.lexsort((w, h))
-        h, w, doc, held_out, times = h[order], w[order], doc[order], held_out[order], times[order]
+        # One column after the other, so that only one is there twice.
+        h = h[order]
+        w = w[order]
+        doc = doc[order]
+        held_out = held_out[order]
+        times = times[order]
+        del order
         pair = _runs(h, w)
         count = np.add.reduceat(np.where(held_out, 0, times), pair)
         yield h, w, doc, times, pair, count, extra[0] if extra else None
@@ -293,39 +318,38 @@ def _score_pairs(shared, classes: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, docs, sums = shared.value, [], []
+        model, ids, total = shared.value, np.zeros(0, np.int64), np.zeros(0)
         for h, w, doc, times, pair, count, extra in _tables(batches):
             d = discounts([0] + [extra[f"n{r}"] for r in range(1, MOST_DISCOUNTED + 2)])
             first = _runs(h[pair])
             n_pairs = _lengths(first, len(pair))
             history = h[pair][first]
             at, is_split = model.find(history, model.split)
-            total = np.add.reduceat(count, first).astype(float)
+            size = np.add.reduceat(count, first).astype(float)
             if is_split.any():
-                total[is_split] = model.split_counts[at[is_split]]
+                size[is_split] = model.split_counts[at[is_split]]
             p1, frequent = model.of(w[pair])
             discount = d[np.minimum(count, MOST_DISCOUNTED + 1)]
             seen = count > 0
-            kept_total = np.maximum(total, 1)
-            mass = np.add.reduceat((1 - discount) * count, first) / kept_total
+            kept_size = np.maximum(size, 1)
+            mass = np.add.reduceat((1 - discount) * count, first) / kept_size
             taken = np.add.reduceat(np.where(seen, p1, 0.0), first)
             rare_seen = seen & ~frequent
             is_late = np.logical_or.reduceat(~seen, first) & np.logical_or.reduceat(rare_seen, first) & ~is_split
             open_ = is_split | is_late
             # Without a discounted successor, a share of one in c(h) + 1 is set apart.
-            least = 1 / (kept_total + 1)
+            least = 1 / (kept_size + 1)
             plain = (mass < least) & ~is_split
             scale = np.where(plain, (1 - least) / np.maximum(1 - mass, 1e-12), 1.0)
             mass = np.where(plain, least, mass)
-            weight = np.where(total > 0, mass / np.maximum(1 - taken, model.unknown), 1.0)
+            weight = np.where(size > 0, mass / np.maximum(1 - taken, model.unknown), 1.0)
             of_pair = np.repeat(np.arange(len(first)), n_pairs)
             log = np.empty(len(pair))
-            log[seen] = np.log10(discount[seen] * count[seen] * scale[of_pair[seen]] / total[of_pair[seen]])
+            log[seen] = np.log10(discount[seen] * count[seen] * scale[of_pair[seen]] / size[of_pair[seen]])
             back = ~seen
             log[back] = np.log10(np.where(open_, 1.0, weight)[of_pair[back]]) + np.log10(np.where(frequent, p1, 1.0)[back])
             entry = np.repeat(np.arange(len(pair)), _lengths(pair, len(h)))
-            docs.append(doc)
-            sums.append(log[entry] * times)
+            ids, total = _sum_by([ids, doc], [total, log[entry] * times])
             rare = (back & ~frequent)[entry]
             if rare.any():
                 yield _rows(_RARE, w[rare].view(np.int64), doc[rare], times[rare], np.zeros(rare.sum()))
@@ -338,10 +362,7 @@ def _score_pairs(shared, classes: int):
                 yield _rows(_WEIGHT, here, is_split[open_].astype(np.int64), mass[open_], taken[open_])
                 of = rare_seen & open_[of_pair]
                 yield _rows(_TAKEN, w[pair][of].view(np.int64), h[pair][of].view(np.int64), count[of], np.zeros(of.sum()))
-        if docs:
-            doc, value = np.concatenate(docs), np.concatenate(sums)
-            ids, place = np.unique(doc, return_inverse=True)
-            total = np.bincount(place, value)
+        if len(ids):
             p = (mix(ids.astype(U)) % U(classes)).astype(np.int64)
             order = np.argsort(p, kind="stable")
             cuts = np.searchsorted(p[order], np.arange(classes + 1))
@@ -358,13 +379,13 @@ def _sum_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Adds up the packed sums of each document."""
     ids, values = [], []
     for batch in batches:
-        for block in batch.column(1).to_pylist():
+        for block in _buffers(batch.column(1)):
             a, b = _split(block, 2)
             ids.append(np.cumsum(_from_planes(a, np.int64)))
             values.append(np.frombuffer(b, float))
     if ids:
-        doc, place = np.unique(np.concatenate(ids), return_inverse=True)
-        yield pa.RecordBatch.from_pydict({"doc_id": doc, "value": np.bincount(place, np.concatenate(values))})
+        doc, value = _sum_by(ids, values)
+        yield pa.RecordBatch.from_pydict({"doc_id": doc, "value": value})
 
 
 def _rows(kind: int, key, doc, n, value, block=None) -> pa.RecordBatch:

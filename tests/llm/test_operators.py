@@ -3,8 +3,10 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -347,6 +349,33 @@ def test_katz_keeps_rare_words_apart(spark, monkeypatch, frequent):
     test_katz_equals_one_loop(spark, docs, texts, monkeypatch, frequent, 1e-9)
 
 
+def test_katz_task_holds_sums_by_document_not_tokens():
+    """The memory of a task that scores many classes is that of one class, a document's sums and the packed blocks."""
+    classes, n = 24, 40_000
+    rnd = np.random.default_rng(1)
+    model = katz.Unigrams(np.arange(50, dtype=np.uint64), np.full(50, 9), 0.01, 0.001, {})
+    figures = {f"n{r}": 1000 // r**2 for r in range(1, katz.MOST_DISCOUNTED + 2)}
+
+    def batches(of):
+        for k in range(of):
+            h, w = (np.sort(rnd.integers(0, 1 << 39, n).astype(np.uint64)) for _ in range(2))
+            d = rnd.integers(0, 100, n)
+            block = katz._encode(h, w, d, np.ones(n, np.int64), np.arange(100), np.zeros(100, np.uint8))
+            yield pa.RecordBatch.from_pylist([{"p": k, "block": block, **figures}])
+
+    def most(of):
+        given = list(batches(of))
+        tracemalloc.start()
+        rows = [r for b in katz._score_pairs(SimpleNamespace(value=model), classes)(iter(given)) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        sums = [katz._split(pa.py_buffer(r["block"]), 2) for r in rows if r["kind"] == katz._SUM]
+        assert sorted(x for a, _ in sums for x in np.cumsum(katz._from_planes(a, np.int64))) == list(range(100))
+        return peak
+
+    assert most(classes) < 1.3 * most(4)
+
+
 def test_languages_word_by_word(spark):
     a = ["alpha" + x for x in "abcdefgh"]
     b = ["über" + x for x in "stuvwxyz"]
